@@ -1,0 +1,5 @@
+"""No streaming operator: every job of this library is a batch job.
+
+The row-wise steps (``operators.clean``, ``functions``) hold no state, so they can also
+be applied to a streaming DataFrame.
+"""
