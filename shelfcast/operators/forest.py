@@ -47,7 +47,7 @@ class Tuning:
     depths: tuple[int, ...] = DEPTHS
     train_ratio: float = TRAIN_RATIO
     seed: int = SEED
-    parallelism: int = 2
+    parallelism: int = 4
     memory_mb: int = 64
 
 

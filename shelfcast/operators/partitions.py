@@ -6,7 +6,7 @@ from math import ceil
 
 from pyspark.sql import DataFrame
 
-ROWS_PER_PARTITION = 2_000
+ROWS_PER_PARTITION = 4_000
 MAX_PARTITIONS = 1_024
 
 

@@ -20,24 +20,25 @@ def feature_correlation(
 ) -> DataFrame:
     """Pearson correlation of every pair of columns, in long form.
 
-    One pass with one row of output; a pair ignores rows where either side is null.
+    Each row is unfolded into its pairs of values and every task folds them back into
+    one partial result per pair, so the shuffle carries a few numbers per task. (One
+    wide aggregation with a correlation per pair is slower: its generated method grows
+    past what the JVM compiles.) A pair ignores rows where either side is null.
     """
-    def value(a: str, b: str):
-        r = F.corr(F.col(a).cast("double"), F.col(b).cast("double"))
-        return r if places is None else F.round(r, places)
-
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    single = features.agg(*[value(a, b).alias(f"{a}|{b}") for a, b in pairs])
-    cells = [
-        F.struct(
-            F.lit(a).alias("col_a"),
-            F.lit(b).alias("col_b"),
-            F.col(f"`{a}|{b}`" if (a, b) in pairs else f"`{b}|{a}`").alias("corr"),
-        )
-        for a in columns
-        for b in columns
-    ]
-    return single.select(F.inline(F.array(*cells)))
+    cells = ", ".join(
+        f"'{a}', '{b}', CAST(`{a}` AS DOUBLE), CAST(`{b}` AS DOUBLE)" for a, b in pairs
+    )
+    r = F.corr("x", "y")
+    upper = (
+        features.selectExpr(f"stack({len(pairs)}, {cells}) AS (a, b, x, y)")
+        .groupBy("a", "b")
+        .agg((r if places is None else F.round(r, places)).alias("corr"))
+    )
+    as_is = F.struct(F.col("a").alias("col_a"), F.col("b").alias("col_b"), "corr")
+    mirrored = F.struct(F.col("b").alias("col_a"), F.col("a").alias("col_b"), "corr")
+    both = F.when(F.col("a") == F.col("b"), F.array(as_is)).otherwise(F.array(as_is, mirrored))
+    return upper.select(F.inline(both))
 
 
 def correlation_matrix(

@@ -88,12 +88,10 @@ def phrases(docs: DataFrame) -> DataFrame:
 
 def phrase_vocabulary(docs: DataFrame, size: int = TFIDF_TERMS) -> DataFrame:
     """Vocabulary with its smoothed inverse document frequency."""
-    n = docs.agg(F.sum("n_rows").alias("_n"))
-    weight = F.log((F.col("_n") + 1) / (F.col("documents") + 1)) + 1
-    # One-row side: a global aggregate.
+    rows = docs.agg(F.sum("n_rows")).first()[0] or 0
+    weight = F.log(F.lit(rows + 1.0) / (F.col("documents") + 1)) + 1
     return (
         vocabulary(docs, "terms", size, min_documents=1)
-        .join(F.broadcast(n))
         .select("term", "occurrences", "documents", weight.alias("idf"))
         .orderBy(F.col("occurrences").desc(), F.col("term").asc())
     )
