@@ -484,9 +484,7 @@ def stage_audit(spark: SparkSession, folder: str) -> DataFrame:
 
     def stage(df: DataFrame, name: str) -> DataFrame:
         path = scratch_path(spark, name)
-        watched, seen = audit.counted(df, name)
-        tables.write_stage(watched, path)
-        counts[name] = seen.get["n_rows"]
+        counts[name] = tables.write_stage(df, path)
         return tables.read_stage(spark, path, df.schema)
 
     raw = stage(star_transactions(spark, folder), "transactions")

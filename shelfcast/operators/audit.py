@@ -7,9 +7,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
-def counted(df: DataFrame, stage: str) -> tuple[DataFrame, Observation]:
+def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     """Attach a row count to a table; it is filled by the next action, with no extra scan."""
-    seen = Observation(stage)
+    seen = Observation()
     return df.observe(seen, F.count(F.lit(1)).alias("n_rows")), seen
 
 

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfcast import schema
 from shelfcast.operators import (
-    audit,
     clean,
     clusters,
     features,
@@ -40,15 +39,8 @@ class Stages:
     def read(self, spark: SparkSession, name: str, table) -> DataFrame:
         return tables.read_stage(spark, self.path(name), table, self.fmt)
 
-    def write(self, df: DataFrame, name: str, sort_by=None, single_file=False) -> None:
-        tables.write_stage(df, self.path(name), self.fmt, sort_by, single_file)
-
-
-def _write_counted(stages: Stages, df: DataFrame, name: str, sort_by=None) -> int:
-    """Write a stage and return its row count, taken from the write itself."""
-    watched, seen = audit.counted(df, name)
-    stages.write(watched, name, sort_by)
-    return seen.get["n_rows"]
+    def write(self, df: DataFrame, name: str, sort_by=None, single_file=False) -> int:
+        return tables.write_stage(df, self.path(name), self.fmt, sort_by, single_file)
 
 
 def monthly_job(
@@ -58,7 +50,7 @@ def monthly_job(
     sales = clean.clean_transactions(tx, c)
     monthly = rollup.monthly_sales(sales, n)
     keys = ["Description", "InvoiceMonth"]
-    return {"monthly_sales": _write_counted(stages, monthly, "monthly_sales", keys)}
+    return {"monthly_sales": stages.write(monthly, "monthly_sales", keys)}
 
 
 def features_job(spark: SparkSession, stages: Stages, holiday_table: DataFrame) -> dict[str, int]:
@@ -71,11 +63,11 @@ def features_job(spark: SparkSession, stages: Stages, holiday_table: DataFrame)
     months = holidays.holiday_months(holidays.parse_calendar(holiday_table))
     labeled = features.label_stock_decision(features.build_features(monthly, months))
     counts = {
-        "features_with_labels": _write_counted(stages, labeled, "features_with_labels"),
+        "features_with_labels": stages.write(labeled, "features_with_labels"),
     }
     written = stages.read(spark, "features_with_labels", schema.FEATURES_LABELED)
     plain = written.select(*schema.FEATURES.names)
-    counts["features"] = _write_counted(stages, plain, "features")
+    counts["features"] = stages.write(plain, "features")
     return counts
 
 
@@ -102,7 +94,7 @@ def holiday_products_job(
     """Best sellers of holiday months, from uncleaned lines."""
     months = holidays.holiday_months(holidays.parse_calendar(holiday_table))
     products = holidays.holiday_products(clean.with_sales(tx, c), months)
-    return {"top_holiday_products": _write_counted(stages, products, "top_holiday_products")}
+    return {"top_holiday_products": stages.write(products, "top_holiday_products")}
 
 
 def seasonality_job(spark: SparkSession, stages: Stages) -> dict[str, int]:
@@ -110,8 +102,8 @@ def seasonality_job(spark: SparkSession, stages: Stages) -> dict[str, int]:
     quarterly = seasonality.quarterly_summary(table)
     seasonal = seasonality.newyear_vs_christmas(table)
     return {
-        "quarterly_summary": _write_counted(stages, quarterly, "quarterly_summary"),
-        "newyear_vs_christmas": _write_counted(stages, seasonal, "newyear_vs_christmas"),
+        "quarterly_summary": stages.write(quarterly, "quarterly_summary"),
+        "newyear_vs_christmas": stages.write(seasonal, "newyear_vs_christmas"),
     }
 
 
@@ -140,7 +132,7 @@ def stock_job(
 def clusters_job(spark: SparkSession, stages: Stages) -> dict[str, int]:
     found = clusters.count_clusters(_labeled(spark, stages))
     names = found.assigned.dropDuplicates()
-    return {"description_clusters": _write_counted(stages, names, "description_clusters")}
+    return {"description_clusters": stages.write(names, "description_clusters")}
 
 
 def correlation_job(spark: SparkSession, stages: Stages) -> None:

@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfcast.operators import audit
+
 _OVERFLOW = "_overflow"
 
 
@@ -94,13 +96,15 @@ def write_stage(
     fmt: str = "parquet",
     sort_by: list[str] | None = None,
     single_file: bool = False,
-) -> None:
-    """Overwrite a stage folder.
+) -> int:
+    """Overwrite a stage folder; returns the rows written.
 
     ``sort_by`` range-partitions, so file order is global order and the write stays
     parallel. ``single_file`` is for summaries whose size does not grow with the data;
     it adds a one-task exchange after the aggregation instead of running the
-    aggregation itself in one task.
+    aggregation itself in one task. Rows are counted as they are written, with no extra
+    scan; the counter is the last step, because a step below a sort runs a second time
+    when the sort samples its range bounds.
     """
     if single_file:
         df = df.repartition(1)
@@ -108,10 +112,12 @@ def write_stage(
             df = df.sortWithinPartitions(*sort_by)
     elif sort_by:
         df = df.orderBy(*sort_by)
-    writer = df.write.mode("overwrite")
+    watched, seen = audit.counted(df)
+    writer = watched.write.mode("overwrite")
     if fmt == "csv":
         writer = writer.option("header", True).option("quote", '"').option("escape", '"')
     writer.format(fmt).save(path)
+    return seen.get["n_rows"]
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:

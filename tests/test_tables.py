@@ -101,8 +101,15 @@ def test_header_and_column_gate(spark):
     assert not tables.is_usable(tidy.limit(0), {"k"})
 
 
-def test_counts_come_from_the_write(spark, tmp_path):
-    watched, seen = audit.counted(spark.range(123).toDF("id"), "ids")
-    tables.write_stage(watched, str(tmp_path / "ids"))
-    table = audit.audit_table(spark, {"ids": seen.get["n_rows"]})
-    assert [tuple(r) for r in table.collect()] == [("ids", 123)]
+@pytest.mark.parametrize("options", [{}, {"sort_by": ["k"]}, {"sort_by": ["k"], "single_file": True}])
+@pytest.mark.parametrize("n", [0, 123])
+def test_rows_are_counted_once(spark, tmp_path, options, n):
+    df = spark.range(n).selectExpr("CAST(id AS STRING) AS k", "1.0D AS v").repartition(3)
+    written = tables.write_stage(df, str(tmp_path / "out"), **options)
+    assert written == n == tables.read_stage(spark, str(tmp_path / "out"), PAIR).count()
+    table = audit.audit_table(spark, {"out": written})
+    assert [tuple(r) for r in table.collect()] == [("out", n)]
+
+
+def test_empty_table_is_written(spark, tmp_path):
+    assert tables.write_stage(tables.empty_table(spark, PAIR), str(tmp_path / "none")) == 0
