@@ -22,6 +22,7 @@ JOBS = [
     "stock",
     "clusters",
     "correlation",
+    "report",
 ]
 
 
@@ -60,6 +61,7 @@ def main() -> None:
         "stock": lambda: jobs.stock_job(spark, stages).best_parameters,
         "clusters": lambda: jobs.clusters_job(spark, stages),
         "correlation": lambda: jobs.correlation_job(spark, stages),
+        "report": lambda: jobs.report_job(spark, stages),
     }
     for name in JOBS if args.job == "all" else [args.job]:
         print(name, steps[name]() or "")

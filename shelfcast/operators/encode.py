@@ -27,7 +27,7 @@ def frequency_index(df: DataFrame, column: str, index: str) -> DataFrame:
     The same numbers MLlib's string indexer gives, without sending the values to the
     driver or ranking them in one task: values are range-partitioned in rank order,
     ranked inside each partition, and shifted by the sizes of the partitions before.
-    The partitioned values are checkpointed because range bounds are sampled, so a
+    The partitioned values are stored because range bounds are sampled, so a
     recomputation could draw them differently.
     """
     rank = [F.col("n_rows").desc(), F.col(column).asc()]

@@ -102,7 +102,7 @@ def demand_forecast(
     The default inputs hold the label in disguise (``sales_delta`` plus
     ``rolling_3m_avg`` is the month's own sales), so scores say little about
     forecasting; pass other ``inputs`` for a model that only knows the past.
-    ``features`` is read many times: pass a stored table or a checkpoint.
+    ``features`` is read many times: pass a stored table.
     """
     vectors, levels = model_inputs(features, inputs)
     parts = split_by_key(vectors, REGRESSION_PARTS)

@@ -173,3 +173,12 @@ def report_tables(spark: SparkSession, stages: Stages) -> dict[str, DataFrame]:
         "match_counts": reports.match_counts(decisions),
         "class_by_match": reports.class_by_match(decisions),
     }
+
+
+def report_job(spark: SparkSession, stages: Stages) -> dict[str, int]:
+    """Write every report table below ``report/``."""
+    return {
+        name: stages.write(df, f"report/{name}")
+        for name, df in report_tables(spark, stages).items()
+        if name not in ("regression_metrics", "inventory_metrics")
+    }

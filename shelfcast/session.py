@@ -4,9 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+SETTING = "spark.checkpoint.dir"
+
+
+@cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"shelfcast-{application}-")
+
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
@@ -16,18 +24,13 @@ def shared_folder(spark: SparkSession) -> str:
     loss of that machine.
     """
     context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get(
-        "spark.checkpoint.dir"
-    )
-    current = context.getCheckpointDir()
-    if current:
-        return named or current
-    if not named:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        named = tempfile.mkdtemp(prefix="shelfcast-")
-    context.setCheckpointDir(named)
-    return named
+    named = spark.conf.get(SETTING, None) or context.getConf().get(SETTING)
+    named = named or context.getCheckpointDir()
+    if named:
+        return named
+    if not context.master.startswith("local"):
+        raise RuntimeError(f"set {SETTING} to a folder all executors share")
+    return _local_folder(context.applicationId)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -36,6 +39,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint, so that iterative jobs do not go back to the raw scan."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Store a table in the shared folder and go on from there.
+
+    For tables that are read many times, or whose rows must not be drawn again. Later
+    steps survive lost executors without going back to the raw scan, read only the
+    columns they need, and Spark knows the size when it chooses a join.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -190,3 +190,4 @@ def test_jobs_end_to_end(spark, tmp_path, fmt):
     assert all(df.count() > 0 for df in report.values())
     assert report["quarterly_heatmap"].count() == 12
     assert report["regression_metrics"].first().RMSE > 0
+    assert jobs.report_job(spark, stages)["quarterly_heatmap"] == 12
