@@ -266,7 +266,7 @@ def label_index(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _vector_columns(spark: SparkSession, folder: str, inputs: list[str]) -> DataFrame:
-    vectors, _ = forest.model_inputs(cut_lineage(_labeled(spark, folder)), inputs)
+    vectors, *_ = forest.model_inputs(cut_lineage(_labeled(spark, folder)), inputs)
     array = vector_to_array("features")
     return _iso(
         vectors.select(

@@ -27,8 +27,10 @@ class DescriptionClusters:
     model: KMeansModel
 
 
-def _fit(vectors: DataFrame, vocab: list[str], k: int, seed: int) -> DescriptionClusters:
-    points = stable_partitions(vectors, ["Description"], vectors.count()).persist()
+def _fit(
+    vectors: DataFrame, names: int, vocab: list[str], k: int, seed: int
+) -> DescriptionClusters:
+    points = stable_partitions(vectors, ["Description"], names).persist()
     try:
         # A name counts once per row it stands for, as if it had been repeated.
         model = KMeans(k=k, seed=seed, weightCol="n_rows", predictionCol="NLP_Category").fit(
@@ -44,7 +46,8 @@ def count_clusters(features: DataFrame, k: int = CLUSTERS, seed: int = SEED) ->
     """Clusters on plain term counts."""
     docs = cut_lineage(text.tokens(text.descriptions(features)))
     vocab = [row.term for row in text.vocabulary(docs, "filtered").select("term").collect()]
-    return _fit(text.count_vectors(docs, vocab, "filtered", "features"), vocab, k, seed)
+    vectors = text.count_vectors(docs, vocab, "filtered", "features")
+    return _fit(vectors, docs.count(), vocab, k, seed)
 
 
 def tfidf_clusters(features: DataFrame, k: int = CLUSTERS, seed: int = SEED) -> DescriptionClusters:
@@ -52,7 +55,7 @@ def tfidf_clusters(features: DataFrame, k: int = CLUSTERS, seed: int = SEED) ->
     docs = cut_lineage(text.phrases(text.descriptions(features)))
     vocab = [(row.term, row.idf) for row in text.phrase_vocabulary(docs).collect()]
     terms = [term for term, _ in vocab]
-    return _fit(text.tfidf_vectors(docs, vocab, "features"), terms, k, seed)
+    return _fit(text.tfidf_vectors(docs, vocab, "features"), docs.count(), terms, k, seed)
 
 
 def cluster_terms(clusters: DescriptionClusters, n: int = TERMS_PER_CLUSTER) -> DataFrame:
@@ -72,7 +75,7 @@ def cluster_terms(clusters: DescriptionClusters, n: int = TERMS_PER_CLUSTER) ->
     order = Window.partitionBy("NLP_Category").orderBy(F.col("weight").desc(), F.col("term"))
     return (
         spark.createDataFrame(table, "NLP_Category int, weights array<double>")
-        .select("NLP_Category", F.inline(F.arrays_zip(words.alias("term"), F.col("weights").alias("weight"))))
+        .select("NLP_Category", F.inline(F.arrays_zip(words, "weights")))
         .toDF("NLP_Category", "term", "weight")
         .withColumn("position", F.row_number().over(order))
         .filter(F.col("position") <= n)

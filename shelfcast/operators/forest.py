@@ -64,14 +64,15 @@ class Forecast:
         return {"numTrees": best.getNumTrees, "maxDepth": best.getOrDefault("maxDepth")}
 
 
-def model_inputs(features: DataFrame, inputs: list[str]) -> tuple[DataFrame, int]:
-    """Feature vectors and the number of product levels behind them."""
+def model_inputs(features: DataFrame, inputs: list[str]) -> tuple[DataFrame, int, int]:
+    """Feature vectors, the number of products behind them, and their row count."""
     index = product_index(features)
-    levels = index.count()
-    return assemble(with_product_index(features, index, levels), inputs), levels
+    size = index.agg(F.count(F.lit(1)).alias("levels"), F.sum("n_rows").alias("rows")).first()
+    vectors = assemble(with_product_index(features, index, size.levels), inputs)
+    return vectors, size.levels, size.rows or 0
 
 
-def tune(forest, evaluator: Evaluator, train: DataFrame, tuning: Tuning):
+def tune(forest, evaluator: Evaluator, train: DataFrame, rows: int, tuning: Tuning):
     """Best forest of the grid by one seeded hold-out split of the training rows."""
     grid = (
         ParamGridBuilder()
@@ -87,11 +88,11 @@ def tune(forest, evaluator: Evaluator, train: DataFrame, tuning: Tuning):
         seed=tuning.seed,
         parallelism=tuning.parallelism,
     )
-    rows = stable_partitions(train, KEYS, train.count()).persist()
+    placed = stable_partitions(train, KEYS, rows).persist()
     try:
-        return search.fit(rows)
+        return search.fit(placed)
     finally:
-        rows.unpersist()
+        placed.unpersist()
 
 
 def demand_forecast(
@@ -104,7 +105,7 @@ def demand_forecast(
     forecasting; pass other ``inputs`` for a model that only knows the past.
     ``features`` is read many times: pass a stored table.
     """
-    vectors, levels = model_inputs(features, inputs)
+    vectors, levels, rows = model_inputs(features, inputs)
     parts = split_by_key(vectors, REGRESSION_PARTS)
     forest = RandomForestRegressor(
         featuresCol="features",
@@ -114,7 +115,7 @@ def demand_forecast(
         maxMemoryInMB=tuning.memory_mb,
     )
     rmse = RegressionEvaluator(labelCol="TotalPrice", metricName="rmse")
-    model = tune(forest, rmse, parts.filter(F.col("split") == "train"), tuning)
+    model = tune(forest, rmse, parts.filter(F.col("split") == "train"), rows, tuning)
     scored = model.transform(parts.filter(F.col("split") == "test"))
     return Forecast(scored.select(*KEYS, "TotalPrice", "prediction"), model)
 
@@ -124,7 +125,7 @@ def stock_forecast(
 ) -> Forecast:
     """Predict the stock decision of a product-month; read many times, as above."""
     labels = StringIndexer(inputCol="stock_decision", outputCol="label").fit(labeled)
-    vectors, levels = model_inputs(labels.transform(labeled), inputs)
+    vectors, levels, rows = model_inputs(labels.transform(labeled), inputs)
     parts = split_by_key(vectors, INVENTORY_PARTS)
     forest = RandomForestClassifier(
         featuresCol="features",
@@ -134,7 +135,7 @@ def stock_forecast(
         maxMemoryInMB=tuning.memory_mb,
     )
     accuracy = MulticlassClassificationEvaluator(metricName="accuracy")
-    model = tune(forest, accuracy, parts.filter(F.col("split") == "train"), tuning)
+    model = tune(forest, accuracy, parts.filter(F.col("split") == "train"), rows, tuning)
     named = IndexToString(
         inputCol="prediction", outputCol="predicted_label", labels=labels.labels
     )
