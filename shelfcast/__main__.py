@@ -31,7 +31,8 @@ def arguments() -> argparse.Namespace:
     parser.add_argument("job", choices=[*JOBS, "all"])
     parser.add_argument("--root", required=True, help="shared folder for stage tables")
     parser.add_argument("--format", default="parquet", choices=["parquet", "csv"])
-    parser.add_argument("--transactions", help="raw transaction CSV")
+    parser.add_argument("--transactions", help="raw transaction lines")
+    parser.add_argument("--transactions-format", default="csv", help="csv, parquet or orc")
     parser.add_argument("--star", help="folder with lineitem, orders and part tables")
     parser.add_argument("--holidays", help="calendar CSV; the bundled calendar if omitted")
     parser.add_argument("--top", type=int, default=rollup.TOP_PRODUCTS)
@@ -47,7 +48,7 @@ def main() -> None:
         if args.star:
             return star_transactions(spark, args.star)
         if args.transactions:
-            return read_transactions(spark, args.transactions)
+            return read_transactions(spark, args.transactions, fmt=args.transactions_format)
         raise SystemExit("this job needs --transactions or --star")
 
     calendar = read_holidays(spark, args.holidays) if args.holidays else uk_bank_holidays(spark)

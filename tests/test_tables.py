@@ -32,6 +32,17 @@ def test_transaction_file(spark, tmp_path):
     ]
 
 
+def test_columnar_transactions_push_the_cleaning_filters(spark, tmp_path):
+    (tmp_path / "tx.csv").write_text(HEADER + "1,A,MUG,2,2010-03-17 09:30:00,1.25,13085.0,UK\n")
+    read_transactions(spark, str(tmp_path / "tx.csv")).write.parquet(str(tmp_path / "tx"))
+    tx = clean.clean_transactions(read_transactions(spark, str(tmp_path / "tx"), fmt="parquet"))
+    plan = tx.select("TotalPrice")._jdf.queryExecution().executedPlan().toString()
+    for pushed in ("GreaterThan(Quantity,0)", "IsNotNull(Customer ID)", "Not(StringStartsWith(Invoice,C))"):
+        assert pushed in plan
+    assert "StockCode" not in plan.split("ReadSchema")[1]
+    assert tx.first().TotalPrice == 2.5
+
+
 def test_other_header_is_an_error(spark, tmp_path):
     (tmp_path / "tx.csv").write_text(HEADER.replace("Price", "Amount") + "1,A,B,1,2010-01-01,1,1,UK\n")
     with pytest.raises(Exception, match="header does not conform"):
