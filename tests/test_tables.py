@@ -37,7 +37,7 @@ def test_columnar_transactions_push_the_cleaning_filters(spark, tmp_path):
     read_transactions(spark, str(tmp_path / "tx.csv")).write.parquet(str(tmp_path / "tx"))
     tx = clean.clean_transactions(read_transactions(spark, str(tmp_path / "tx"), fmt="parquet"))
     plan = tx.select("TotalPrice")._jdf.queryExecution().executedPlan().toString()
-    for pushed in ("GreaterThan(Quantity,0)", "IsNotNull(Customer ID)", "Not(StringStartsWith(Invoice,C))"):
+    for pushed in ("GreaterThan(Quantity,0)", "IsNotNull(`Customer ID`)", "Not(StringStartsWith(Invoice,C))"):
         assert pushed in plan
     assert "StockCode" not in plan.split("ReadSchema")[1]
     assert tx.first().TotalPrice == 2.5
