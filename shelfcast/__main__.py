@@ -35,7 +35,9 @@ def arguments() -> argparse.Namespace:
     parser.add_argument("--transactions-format", default="csv", help="csv, parquet or orc")
     parser.add_argument("--star", help="folder with lineitem, orders and part tables")
     parser.add_argument("--holidays", help="calendar CSV; the bundled calendar if omitted")
-    parser.add_argument("--top", type=int, default=rollup.TOP_PRODUCTS)
+    parser.add_argument(
+        "--top", type=int, default=rollup.TOP_PRODUCTS, help="best sellers kept; 0 keeps all"
+    )
     return parser.parse_args()
 
 
@@ -53,7 +55,7 @@ def main() -> None:
 
     calendar = read_holidays(spark, args.holidays) if args.holidays else uk_bank_holidays(spark)
     steps = {
-        "monthly": lambda: jobs.monthly_job(transactions(), stages, args.top),
+        "monthly": lambda: jobs.monthly_job(transactions(), stages, args.top or None),
         "features": lambda: jobs.features_job(spark, stages, calendar),
         "holiday-impact": lambda: jobs.holiday_impact_job(spark, stages, calendar),
         "holiday-products": lambda: jobs.holiday_products_job(transactions(), stages, calendar),

@@ -10,6 +10,7 @@ from shelfcast.functions.money import from_units, to_units
 from shelfcast.functions.text import product_key
 from shelfcast.schema import TxColumns
 
+# Fixed value: how the invoice number of a cancellation starts.
 CANCELLED_PREFIX = "C"
 
 

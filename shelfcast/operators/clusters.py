@@ -13,6 +13,7 @@ from shelfcast.operators import text
 from shelfcast.operators.partitions import stable_partitions
 from shelfcast.session import cut_lineage
 
+# Number of clusters, seed, and terms that describe a cluster.
 CLUSTERS = 10
 SEED = 42
 TERMS_PER_CLUSTER = 5

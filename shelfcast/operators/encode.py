@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.session import cut_lineage
 
+# What the two models look at, and the most levels a nominal input may have.
 REGRESSION_INPUTS = [
     "prev_month_sales",
     "sales_delta",
@@ -16,8 +17,6 @@ REGRESSION_INPUTS = [
     "DescriptionIndex",
 ]
 INVENTORY_INPUTS = ["prev_month_sales", "sales_delta", "is_holiday_month", "DescriptionIndex"]
-
-# Fixed value: the most levels a nominal model input may have.
 MAX_LEVELS = 2048
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.money import mean_of_units, to_units
 
+# Length of the trailing mean and the band of the stock decision.
 ROLLING_MONTHS = 3
 INCREASE_ABOVE = 1.2
 REDUCE_BELOW = 0.8

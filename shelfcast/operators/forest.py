@@ -28,6 +28,7 @@ from shelfcast.operators.metrics import classification_metrics, regression_metri
 from shelfcast.operators.partitions import stable_partitions
 from shelfcast.operators.split import INVENTORY_PARTS, REGRESSION_PARTS, split_by_key
 
+# The tuning grid, its hold-out ratio and the seed.
 TREES = (10, 20)
 DEPTHS = (5, 10)
 TRAIN_RATIO = 0.8

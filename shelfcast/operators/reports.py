@@ -21,6 +21,7 @@ EXPLORER_PRODUCTS = [
 COMPARISON_PRODUCTS = ["ASSORTED COLOUR BIRD ORNAMENT", "PARTY BUNTING", "POSTAGE"]
 MONTH_LABELS = {1: "New Year (Jan)", 12: "Christmas (Dec)"}
 
+# Default lengths of the top lists, and the heat-map columns.
 TOP_HOLIDAY_PRODUCTS = 10
 HEATMAP_PRODUCTS = 12
 QUARTERS = ["Q1", "Q2", "Q3", "Q4"]

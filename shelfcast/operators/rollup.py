@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.money import from_units, sum_units
 
+# Fixed value: how many best sellers are analysed.
 TOP_PRODUCTS = 1000
 
 
@@ -33,8 +34,8 @@ def top_products(revenue: DataFrame, n: int = TOP_PRODUCTS) -> DataFrame:
     return revenue.orderBy(F.col("Revenue").desc(), F.col("Description").asc()).limit(n)
 
 
-def monthly_sales(sales: DataFrame, n: int = TOP_PRODUCTS) -> DataFrame:
-    """Monthly totals of the ``n`` best-selling products.
+def monthly_sales(sales: DataFrame, n: int | None = TOP_PRODUCTS) -> DataFrame:
+    """Monthly totals of the ``n`` best-selling products; ``None`` keeps every product.
 
     Both the ranking and the result are derived from the same monthly totals, which
     Spark computes once and reads twice (the plan shows a reused exchange): the sales
@@ -44,6 +45,8 @@ def monthly_sales(sales: DataFrame, n: int = TOP_PRODUCTS) -> DataFrame:
     aggregation. Unnamed products compete for a place in the ranking but have no series.
     """
     totals = monthly_totals(sales)
+    if n is None:
+        return totals.filter(F.col("Description").isNotNull())
     ranked = (
         top_products(product_revenue(totals), n)
         .filter(F.col("Description").isNotNull())

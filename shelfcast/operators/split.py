@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Shares of the two splits.
 REGRESSION_PARTS = {"train": 0.70, "validation": 0.15, "test": 0.15}
 INVENTORY_PARTS = {"train": 0.80, "test": 0.20}
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.text import plain_text
 
+# Vocabulary limits, and what counts as a word in a phrase.
 VOCABULARY_SIZE = 1000
 MIN_DOCUMENTS = 5
 TFIDF_TERMS = 100

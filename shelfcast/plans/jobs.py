@@ -44,7 +44,10 @@ class Stages:
 
 
 def monthly_job(
-    tx: DataFrame, stages: Stages, n: int = rollup.TOP_PRODUCTS, c: TxColumns = TxColumns()
+    tx: DataFrame,
+    stages: Stages,
+    n: int | None = rollup.TOP_PRODUCTS,
+    c: TxColumns = TxColumns(),
 ) -> dict[str, int]:
     """Raw transactions to monthly sales of the best sellers."""
     sales = clean.clean_transactions(tx, c)

@@ -105,6 +105,12 @@ def test_unnamed_products_take_a_place_but_have_no_series(dirty):
     assert {r.Description for r in rollup.monthly_sales(sales, 2).collect()} == {'THE "BIG" BOX'}
 
 
+def test_no_limit_keeps_every_named_product(dirty):
+    sales = clean.clean_transactions(dirty)
+    kept = {r.Description for r in rollup.monthly_sales(sales, None).collect()}
+    assert kept == {"MUG", "RED  BOX", 'THE "BIG" BOX'}
+
+
 def test_ties_at_the_cut_go_by_name(spark):
     sales = spark.createDataFrame(
         [(name, month(1), price) for name, price in zip("FEDCBA", [9.0, 5.0, 5.0, 5.0, 5.0, 1.0])],

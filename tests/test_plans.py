@@ -91,6 +91,7 @@ def test_demand_forecast_repeats_and_beats_last_month(labeled):
     assert (
         first.predictions.orderBy(*keys).collect() == again.predictions.orderBy(*keys).collect()
     )
+    assert " in {" in first.model.bestModel.toDebugString  # splits on sets of products
     assert first.predictions.filter(F.isnan("prediction") | F.col("prediction").isNull()).count() == 0
     ours = metrics.regression_metrics(first.predictions).first()
     last = metrics.regression_metrics(labeled.withColumn("prediction", F.col("prev_month_sales")))
