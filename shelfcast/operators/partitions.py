@@ -6,18 +6,21 @@ from math import ceil
 
 from pyspark.sql import DataFrame
 
-ROWS_PER_PARTITION = 4_000
+ROWS_PER_PARTITION = 50_000
 MAX_PARTITIONS = 1_024
+SPREAD, SPREAD_ROWS = 8, 4_000
 
 
 def partitions_for(rows: int) -> int:
     """Training partitions for a row count; a function of the data, not of the cluster.
 
-    A forest's work per task is histograms per tree node rather than rows, so small
-    tables are still spread out. Every partition also ships its own histograms, so the
-    number stops growing and partitions get longer instead.
+    Small tables are still spread a little, because a forest spends its time on
+    histograms per tree node rather than on rows. Every partition also ships its own
+    histograms, so the number grows with the rows only, and ends at a limit beyond
+    which partitions get longer instead.
     """
-    return max(1, min(MAX_PARTITIONS, ceil(rows / ROWS_PER_PARTITION)))
+    spread = min(SPREAD, ceil(rows / SPREAD_ROWS))
+    return max(1, spread, min(MAX_PARTITIONS, ceil(rows / ROWS_PER_PARTITION)))
 
 
 def stable_partitions(df: DataFrame, keys: list[str], rows: int) -> DataFrame:

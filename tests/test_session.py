@@ -5,6 +5,7 @@ from types import SimpleNamespace
 import pytest
 
 from shelfcast import session
+from shelfcast.operators.partitions import partitions_for
 
 
 def test_tables_go_to_the_named_folder(spark):
@@ -36,3 +37,8 @@ def test_stored_tables_keep_rows_and_schema(spark):
     stored = session.cut_lineage(df)
     assert stored.schema.simpleString() == df.schema.simpleString()
     assert stored.exceptAll(df).count() == 0
+
+
+def test_training_partitions_grow_with_rows_only():
+    counts = [partitions_for(n) for n in (0, 1, 20_000, 40_000, 480_000, 10**7, 10**10)]
+    assert counts == [1, 1, 5, 8, 10, 200, 1024]
