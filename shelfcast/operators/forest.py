@@ -49,7 +49,7 @@ class Tuning:
     train_ratio: float = TRAIN_RATIO
     seed: int = SEED
     parallelism: int = 4
-    memory_mb: int = 64
+    memory_mb: int = 32
 
 
 @dataclass(frozen=True)
