@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import stored, words
+from shelfcast.llm.common import SPACE, stored, words
 
 WINDOW = 5  # words of a repeated window
 LEAST_WORDS = 10
@@ -19,24 +19,30 @@ LANGUAGES = 64  # languages with a reference of their own; others share the pool
 POOLED = "*"
 CLASS_GUARD = 200  # letters and marks below which the character histogram says nothing
 WORD_GUARD = 100  # words below which the common-word histogram says nothing
-CLASS_DISTANCE = 0.45
-WORD_DISTANCE = 0.75
-SYMBOLS = "#*$%&|<>"
-# fixed values: character classes, as what is left when all others are taken out
+CLASS_DISTANCE = 0.36
+WORD_DISTANCE = 0.36
+# fixed values: character classes, as patterns of all other characters. Blanks and symbols are
+# counted anyway; what belongs to no class, small letters above all, is the last bin
 CLASSES = {
-    "lower": r"[^\p{Ll}\p{Lo}]+",
-    "upper": r"[^\p{Lu}\p{Lt}]+",
-    "digit": r"[^\p{Nd}]+",
-    "blank": r"[^\x20\x09-\x0D]+",
+    "upper": r"[^A-Z]+",
+    "digit": r"[^0-9]+",
     "stop": r"[^.,;:!?'\"()-]+",
-    "symbol": r"[^#*$%&|<>]+",
 }
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _left(text: Column, others: str) -> Column:
     return F.length(F.regexp_replace(text, others, ""))
 
 
+def symbols(content: Column) -> Column:
+    return _left(content, r"[^#*$%&|<>]+")
+
+
 def _repeated_words(found: Column) -> Column:
     """Words in windows of ``WINDOW`` words that the text has twice or more."""
 
@@ -92,7 +98,7 @@ def base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
         {
             "n_words": F.size("_words").cast("bigint"),
             "word_chars": F.length(F.array_join("_words", "")).cast("bigint"),
-            "n_symbols": _left(content, r"[^#*$%&|<>]+").cast("bigint"),
+            "n_symbols": symbols(content).cast("bigint"),
             "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint"),
             "n_repeat_words": _repeated_words(F.col("_words")).cast("bigint"),
         }
@@ -105,18 +111,15 @@ def base_failed() -> Column:
     )
 
 
-def class_counts(text: Column) -> Column:
-    """Characters of each class, then of none of them."""
+def class_counts(text: Column, word_chars: Column, n_symbols: Column) -> Column:
+    """Characters of each class, blanks, symbols, then all others."""
     content = F.coalesce(text, F.lit(""))
-    known = [_left(content, others) for others in CLASSES.values()]
-    rest = F.length(content)
-    return F.transform(
-        F.array(F.array(*known, rest)),
-        lambda a: F.concat(
-            F.slice(a, 1, len(known)),
-            F.array(F.get(a, F.lit(len(known))) - sum((F.get(a, F.lit(i)) for i in range(len(known))), F.lit(0))),
-        ),
-    )[0]
+    size = F.length(content)
+    known = [*(_left(content, others) for others in CLASSES.values()), size - word_chars, n_symbols]
+    return _let(
+        F.array(*known),
+        lambda a: F.concat(a, F.array(size - F.aggregate(a, F.lit(0), lambda s, x: s + x))),
+    )
 
 
 def references(docs: DataFrame, lang: str = "lang", text: str = "text") -> DataFrame:
@@ -130,7 +133,7 @@ def references(docs: DataFrame, lang: str = "lang", text: str = "text") -> DataF
         F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")
     )
     counted = stored(
-        base.select("lang", F.explode(words(F.lower("text"))).alias("word"))
+        base.select("lang", F.explode(words(F.col("text"))).alias("word"))
         .groupBy("lang", "word")
         .agg(F.count("*").alias("n"))
     )
@@ -142,6 +145,7 @@ def references(docs: DataFrame, lang: str = "lang", text: str = "text") -> DataF
         F.desc("total"), "lang"
     ).limit(LANGUAGES)
     spark = docs.sparkSession
+    content = F.coalesce("text", F.lit(""))
     langs = [r.lang for r in chosen.collect()]  # LANGUAGES at most
     own = counted.filter(F.col("lang").isin(langs)) if langs else counted.limit(0)
     classes = (
@@ -149,7 +153,9 @@ def references(docs: DataFrame, lang: str = "lang", text: str = "text") -> DataF
             F.when(F.col("lang").isin(langs), F.col("lang")).otherwise(F.lit(None)).alias("lang")
             if langs
             else F.lit(None).cast("string").alias("lang"),
-            F.posexplode(class_counts(F.col("text"))).alias("k", "n"),
+            F.posexplode(
+                class_counts(content, F.length(F.regexp_replace(content, SPACE, "")), symbols(content))
+            ).alias("k", "n"),
         )
         .groupBy("lang", "k")
         .agg(F.sum("n").alias("n"))
@@ -161,7 +167,7 @@ def references(docs: DataFrame, lang: str = "lang", text: str = "text") -> DataF
     for name in [*langs, POOLED]:
         source = pooled if name == POOLED else own.filter(F.col("lang") == name)
         top = source.orderBy(F.desc("n"), "word").limit(COMMON).collect()
-        per_class = [0] * (len(CLASSES) + 1)
+        per_class = [0] * (len(CLASSES) + 3)
         for r in classes:
             if name in (r.lang, POOLED):
                 per_class[r.k] += r.n or 0
@@ -191,31 +197,40 @@ def js_distance(counts: Column, share: Column) -> Column:
         total = F.aggregate(parts, F.lit(0.0), lambda s, x: s + x)
         return F.sqrt(F.greatest(F.lit(0.0), total / 2))
 
-    total = F.aggregate(counts, F.lit(0).cast("bigint"), lambda s, x: s + x)
-    return F.transform(
-        F.array(total),
-        lambda t: F.when(t > 0, distance(F.transform(counts, lambda c: c / t))).otherwise(0.0),
-    )[0]
+    def of(held: Column) -> Column:
+        total = F.aggregate(held, F.lit(0).cast("bigint"), lambda s, x: s + x.cast("bigint"))
+        return _let(
+            total,
+            lambda t: F.when(t > 0, distance(F.transform(held, lambda c: c / t))).otherwise(0.0),
+        )
+
+    return _let(counts, of)
 
 
-def common_counts(found: Column, common: Column) -> Column:
+def common_counts(found: Column, common: Column, any_common: list[str]) -> Column:
     """How often each common word stands in a text, then all other words.
 
-    Places in the list become characters of one string, whose counts are string lengths.
+    ``any_common`` holds the common words of all references: one look-up sorts out most
+    words. Places in the list then become characters of one string, whose counts are
+    string lengths.
     """
-    coded = F.array_join(
-        F.transform(
-            found, lambda w: F.char(F.array_position(common, F.lower(w)) + 64)
-        ),
-        "",
-    )
-    return F.transform(
-        F.array(coded),
-        lambda s: F.transform(
-            F.concat(F.sequence(F.lit(1), F.size(common)), F.array(F.lit(0))),
-            lambda k: F.length(s) - F.length(F.replace(s, F.char(k + 64), F.lit(""))),
-        ),
-    )[0]
+    near = F.filter(found, lambda w: w.isin(any_common)) if any_common else F.slice(found, 1, 0)
+    coded = F.array_join(F.transform(near, lambda w: F.char(F.array_position(common, w) + 64)), "")
+
+    def counts(s: Column) -> Column:
+        own = F.transform(
+            F.sequence(F.lit(65), F.size(common) + 64),
+            lambda k: F.length(s) - F.length(F.replace(s, F.char(k), F.lit(""))),
+        )
+        own = F.when(F.size(common) > 0, own).otherwise(F.array().cast("array<int>"))
+        return _let(
+            own,
+            lambda a: F.concat(
+                a, F.array(F.size(found) - F.aggregate(a, F.lit(0), lambda t, x: t + x))
+            ),
+        )
+
+    return _let(coded, counts)
 
 
 def judge(
@@ -256,7 +271,10 @@ def judge(
     for name in sorted(set(table) - {POOLED}):
         ref = F.when(F.col("lang").cast("string") == name, literal(table[name])).otherwise(ref)
     counted = base_counts(held).withColumn("_ref", ref)
-    marks = class_counts(F.col("text"))
+    marks = class_counts(
+        F.col("text"), F.col("word_chars").cast("int"), F.col("n_symbols").cast("int")
+    )
+    any_common = sorted({word for common, _, _ in table.values() for word in common})
     measured = counted.withColumns(
         {
             "base_failed": base_failed(),
@@ -265,7 +283,8 @@ def judge(
             ).otherwise(js_distance(marks, F.col("_ref.class_share"))),
             "word_js": F.when(F.col("n_words") < WORD_GUARD, F.lit(0.0)).otherwise(
                 js_distance(
-                    common_counts(F.col("_words"), F.col("_ref.common")), F.col("_ref.word_share")
+                    common_counts(F.col("_words"), F.col("_ref.common"), any_common),
+                    F.col("_ref.word_share"),
                 )
             ),
         }
