@@ -7,6 +7,7 @@ the counts does not touch the lists.
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -43,6 +44,24 @@ def _special(tokenizer) -> list[bytes]:
     return [t.content.encode() for t in tokenizer.get_added_tokens_decoder().values()]
 
 
+def _stays_letters(word: str) -> bool:
+    """Nothing but letters, also when composed and in lower case."""
+    if word.isascii():
+        return word.isalpha()
+    return word.isalpha() and unicodedata.normalize("NFC", word).lower().isalpha()
+
+
+def _closing(tokenizer) -> np.ndarray | None:
+    """Which ids end a run of letters, if the vocabulary says so of every id."""
+    suffix = getattr(tokenizer.model, "end_of_word_suffix", None)
+    if not suffix:
+        return None
+    vocabulary = tokenizer.get_vocab()
+    ends = np.zeros(max(vocabulary.values()) + 1, bool)
+    ends[[i for piece, i in vocabulary.items() if piece.endswith(suffix)]] = True
+    return ends
+
+
 class WordEncoder:
     """Encodes texts with the library, each distinct word of a batch of texts once.
 
@@ -55,6 +74,7 @@ class WordEncoder:
         self.tokenizer, self.known = _tokenizer(path)
         self.special = _special(self.tokenizer)
         self.folds = self._ids([b"A"]) == self._ids([b"a"])
+        self.closing = _closing(self.tokenizer)
 
     def _ids(self, words: list[bytes]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(
@@ -62,6 +82,43 @@ class WordEncoder:
         )
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def _run_together(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words of letters alone: encoded as one text, cut where the ids say so."""
+        text = b" ".join(words).decode("utf-8")
+        ids = np.array(
+            self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4"
+        )
+        stops = np.flatnonzero(self.closing[ids]) + 1
+        if len(stops) != len(words) or stops[-1] != len(ids):
+            return self._ids(words)
+        return [part.tobytes() for part in np.split(ids, stops[:-1])]
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Encode words not met before. A stop or comma after a letter is cut from its word by
+        the tokenizer too, so such words are put together from two."""
+        known, together, alone, ended = self.known, [], [], []
+        for word in words:
+            letters = word.decode("utf-8")
+            if self.closing is None:
+                alone.append(word)
+            elif letters.isalpha():
+                together.append(word)
+            elif letters[-1] in ".," and _stays_letters(letters[:-1]):
+                ended.append(word)
+            else:
+                alone.append(word)
+        if ended:
+            together.extend({w[:-1] for w in ended}.difference(known, together))
+            alone.extend({w[-1:] for w in ended}.difference(known, alone))
+        for i in range(0, len(together), 500):
+            part = together[i : i + 500]
+            known.update(zip(part, self._run_together(part), strict=True))
+        for i in range(0, len(alone), 5000):
+            part = alone[i : i + 5000]
+            known.update(zip(part, self._ids(part), strict=True))
+        for word in ended:
+            known[word] = known[word[:-1]] + known[word[-1:]]
+
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian 32-bit ids of every text, without an end id."""
         cut = []
@@ -74,9 +131,7 @@ class WordEncoder:
         if len(known) > REMEMBERED:
             known.clear()
         new = list(set().union(*cut).difference(known)) if cut else []
-        for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
-            known.update(zip(part, self._ids(part), strict=True))
+        self._learn(new)
         return [b"".join(map(known.__getitem__, words)) for words in cut]
 
 
