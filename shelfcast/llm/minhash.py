@@ -27,6 +27,7 @@ COORDINATES = 128
 ROWS = 4  # of a band: 32 bands miss a pair of similarity 0.8 once in 20 million
 SEED = 20_17
 GROUP = 64  # texts held against one hub text in a task
+LEFT, RIGHT = 256, 1024  # texts of a block of a large group
 CHUNK = 4096
 MIX = np.uint64(0x9E3779B97F4A7C15)
 _WORDS = 400_000  # word hashes remembered in a task
@@ -146,6 +147,102 @@ def confirm_pairs(
     )
 
 
+def _between(width: int, percent: int):
+    """Links between the left and the right texts of a block, of different components."""
+
+    def links(block: pd.DataFrame) -> pd.DataFrame:
+        hashes, found = _Hashes(), []
+        left = block[block["is_left"]].drop_duplicates("node").sort_values("node")
+        sets = [shingles(t, width, hashes) for t in left["text"]]
+        right = block[~block["is_left"]].drop_duplicates("node").sort_values("node")
+        others = [
+            (n, c, shingles(t, width, hashes))
+            for n, c, t in zip(right["node"], right["component"], right["text"], strict=True)
+        ]
+        nodes, parts = left["node"].to_numpy(), left["component"].to_numpy()
+        sizes = np.array([len(x) for x in sets], np.int64)
+        at = 0
+        while at < len(sets):
+            stop, held = at + 1, sizes[at]
+            while stop < len(sets) and stop - at < 64 and held + sizes[stop] <= 200_000:
+                held += sizes[stop]
+                stop += 1
+            codes, place = np.unique(np.concatenate(sets[at:stop]), return_inverse=True)
+            marks = np.zeros((len(codes), stop - at), bool)
+            marks[place, np.repeat(np.arange(stop - at), sizes[at:stop])] = True
+            seen = set()
+            for node, part, own in others:
+                where = np.searchsorted(codes, own)
+                where[where == len(codes)] = 0
+                both = marks[where[codes[where] == own]].sum(axis=0)
+                linked = (both > 0) & (
+                    100 * both >= percent * (sizes[at:stop] + len(own) - both)
+                )
+                for i in np.flatnonzero(linked & (parts[at:stop] != part)):
+                    if (at + i, part) not in seen:  # one link to a component is enough
+                        seen.add((at + i, part))
+                        found.append((nodes[at + i], node))
+            at = stop
+        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+
+    return links
+
+
+def confirm_groups(
+    placed: DataFrame, texts: DataFrame, width: int = 5, percent: int = 80
+) -> DataFrame:
+    """Links between members of different components of a group: ``a`` (the group), ``node``,
+    ``component``.
+
+    The members outside the group's largest component, in blocks of ``LEFT``, are held
+    against those of the largest, in blocks of ``RIGHT``, and against each other. A task holds
+    one block of each, however large the group.
+    """
+    sizes = placed.groupBy("a", "component").agg(F.count("*").alias("held"))
+    group = (
+        sizes.groupBy("a")
+        .agg(
+            F.count("*").alias("parts"),
+            F.sum("held").alias("all"),
+            F.max(F.struct("held", "component")).alias("top"),
+        )
+        .filter("parts > 1")
+        .select(
+            "a",
+            F.col("top.component").alias("core"),
+            F.ceil((F.col("all") - F.col("top.held")) / LEFT).alias("lefts"),
+            F.ceil(F.col("top.held") / RIGHT).alias("rights"),
+        )
+    )
+    rows = placed.join(group, "a").withColumn("inner", F.col("component") == F.col("core"))
+    rows = rows.withColumn(
+        "block",
+        F.pmod(F.xxhash64("node"), F.when(F.col("inner"), F.col("rights")).otherwise(F.col("lefts"))),
+    )
+    lefts = rows.filter("NOT inner").select(
+        "a", "node", "component", F.lit(True).alias("is_left"), F.col("block").alias("l"),
+        F.explode(F.expr(
+            "concat(sequence(0L, rights - 1), sequence(rights + block, rights + lefts - 1))"
+        )).alias("r"),
+    )
+    same = rows.filter("NOT inner").select(
+        "a", "node", "component", F.lit(False).alias("is_left"),
+        F.explode(F.expr("sequence(0L, block)")).alias("l"),
+        (F.col("rights") + F.col("block")).alias("r"),
+    )
+    cores = rows.filter("inner").select(
+        "a", "node", "component", F.lit(False).alias("is_left"),
+        F.explode(F.expr("sequence(0L, lefts - 1)")).alias("l"), F.col("block").alias("r"),
+    )
+    routed = lefts.unionByName(same).unionByName(cores)
+    with_text = routed.join(texts.select(F.col("doc_id").alias("node"), "text"), "node")
+    return (
+        with_text.groupBy("a", "l", "r")
+        .applyInPandas(_between(width, percent), "a bigint, b bigint")
+        .distinct()
+    )
+
+
 def near_duplicates(
     docs: DataFrame, width: int = 5, percent: int = 80, id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -162,8 +259,9 @@ def near_duplicates(
 
     Candidates: documents with an equal band key. In a bucket, members are first held
     against its hub, the member that shares most bucket places; links collapse most buckets
-    into one component. Only then are the members of different components of a bucket held
-    against each other, all of them that no size bound rules out, so no link is lost to it.
+    into one component. Then, for all buckets of a hub together, the members outside the
+    largest component are held against every member of another component, in blocks that
+    give back links only. No candidate is passed over, and no list of pairs is made.
     """
     ship(docs.sparkSession)
     rows = docs.select(F.col(id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
@@ -192,47 +290,23 @@ def near_duplicates(
     hubs = ranked.groupBy("key").agg(
         F.max(F.struct("weight", (-F.col("node")).alias("minus"), "n")).alias("hub")
     )
-    close = F.least("n", "hub_n") * 100 >= F.greatest("n", "hub_n") * percent
+    near_size = F.least("n", "hub_n") * 100 >= F.greatest("n", "hub_n") * percent
     stars = stored(
         members.join(
             hubs.select("key", (-F.col("hub.minus")).alias("a"), F.col("hub.n").alias("hub_n")),
             "key",
         )
-        .filter((F.col("node") != F.col("a")) & close)
+        .filter((F.col("node") != F.col("a")) & near_size)
         .select("a", F.col("node").alias("b"))
         .distinct()
     )
     links = stored(confirm_pairs(stars, texts, width, percent))
     found = stored(components(links))
 
-    placed = members.join(found, "node", "left").select(
-        "key", "node", "n", F.coalesce("component", "node").alias("component")
-    )
-    split = (
-        placed.groupBy("key")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .filter("low < high")
-        .select("key")
-    )
-    open_ = stored(placed.join(split, "key"))
-    left, right = open_.alias("l"), open_.alias("r")
-    rest = (
-        left.join(
-            right,
-            (F.col("l.key") == F.col("r.key"))
-            & (F.col("l.node") < F.col("r.node"))
-            & (F.col("l.component") != F.col("r.component"))
-            & (
-                F.least("l.n", "r.n") * 100
-                >= F.greatest("l.n", "r.n") * percent
-            ),
-        )
-        .select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
-        .distinct()
-    )
-    tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = stored(rest.join(tried, ["a", "b"], "left_anti"))
-    more = confirm_pairs(rest, texts, width, percent)
+    groups = members.join(hubs.select("key", (-F.col("hub.minus")).alias("a")), "key")
+    placed = groups.select("a", "node").distinct().join(found, "node", "left")
+    placed = placed.select("a", "node", F.coalesce("component", "node").alias("component"))
+    more = confirm_groups(stored(placed), texts, width, percent)
     kept_nodes = nodes.select("print", "node")
     twice = (
         signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
