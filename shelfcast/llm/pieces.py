@@ -125,7 +125,9 @@ def lattice(words: DataFrame, model: Model) -> DataFrame:
     """
     pieces = piece_table(words.sparkSession, model)  # bounded by the model file
     size = F.char_length("segment")
-    starts = words.select("segment", F.explode(F.sequence(F.lit(0), size - 1)).alias("start"))
+    # dealt by segment before it grows, so that the edges need not be moved to be grouped
+    dealt = words.repartition("segment")
+    starts = dealt.select("segment", F.explode(F.sequence(F.lit(0), size - 1)).alias("start"))
     spans = starts.select(
         "segment",
         "start",
