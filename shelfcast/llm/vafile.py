@@ -63,7 +63,7 @@ def build(vectors: DataFrame, keep: int, is_query) -> tuple[DataFrame, dict]:
         .agg(F.min("x").alias("low"), F.max("x").alias("high"))
         .collect()
     }
-    widths = {}
+    widths = {0: (np.zeros(0), np.ones(0))}
     for size in {s for s, _ in ends}:
         low = np.array([ends[size, i][0] for i in range(size)], np.float64)
         high = np.array([ends[size, i][1] for i in range(size)], np.float64)
@@ -73,7 +73,7 @@ def build(vectors: DataFrame, keep: int, is_query) -> tuple[DataFrame, dict]:
         for batch in batches:
             cells = []
             for v in batch.column("v").to_pylist():
-                low, width = widths.get(len(v), (np.zeros(0), np.ones(0)))
+                low, width = widths[len(v)]
                 cells.append(((np.array(v, np.float64) - low) // width).astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(cells, pa.binary())], [*batch.schema.names, "cells"]
