@@ -27,7 +27,7 @@ _PIECES = {
     "tx": """
   SELECT CASE WHEN l_returnflag = 'R' THEN 'C' ELSE '' END || CAST(l_orderkey AS VARCHAR) AS invoice,
          trim(p_type || ' ' || p_name) AS description,
-         CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END * CAST(l_quantity AS BIGINT) AS quantity,
+         CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END * CAST(l_quantity AS DOUBLE) AS quantity,
          CAST(round(p_retailprice * 100) AS BIGINT) AS price,
          CASE WHEN o_custkey % 50 <> 0 THEN o_custkey END AS customer,
          CAST(CAST(o_orderdate AS DATE) + INTERVAL 168 MONTH AS DATE) AS day
@@ -102,7 +102,7 @@ _PIECES = {
          CAST((2 * sum(cents) + count(*)) // (2 * count(*)) AS DOUBLE) / 100 AS avg_monthly_sales
   FROM features WHERE "Month" IN (1, 12) GROUP BY ALL""",
     "products_sold": """
-  SELECT description AS "Description", CAST(sum(quantity) AS BIGINT) AS total_quantity,
+  SELECT description AS "Description", sum(quantity) AS total_quantity,
          CAST(sum(cents) AS DOUBLE) / 100 AS total_sales
   FROM lines WHERE month IN (SELECT month FROM holiday_months) GROUP BY description""",
     "product_rank": """

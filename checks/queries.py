@@ -407,7 +407,7 @@ def tfidf_weights(spark: SparkSession, folder: str) -> DataFrame:
 
 def description_clusters(spark: SparkSession, folder: str) -> DataFrame:
     found = clusters.count_clusters(cut_lineage(_labeled(spark, folder)))
-    return found.assigned.dropDuplicates()
+    return found.assigned
 
 
 def tfidf_clusters(spark: SparkSession, folder: str) -> DataFrame:

@@ -33,6 +33,7 @@ def arguments() -> argparse.Namespace:
     parser.add_argument("--format", default="parquet", choices=["parquet", "csv"])
     parser.add_argument("--transactions", help="raw transaction lines")
     parser.add_argument("--transactions-format", default="csv", help="csv, parquet or orc")
+    parser.add_argument("--timestamp-format", help="date pattern of a CSV that is not ISO")
     parser.add_argument("--star", help="folder with lineitem, orders and part tables")
     parser.add_argument("--holidays", help="calendar CSV; the bundled calendar if omitted")
     parser.add_argument(
@@ -50,7 +51,12 @@ def main() -> None:
         if args.star:
             return star_transactions(spark, args.star)
         if args.transactions:
-            return read_transactions(spark, args.transactions, fmt=args.transactions_format)
+            return read_transactions(
+                spark,
+                args.transactions,
+                timestamp_format=args.timestamp_format,
+                fmt=args.transactions_format,
+            )
         raise SystemExit("this job needs --transactions or --star")
 
     calendar = read_holidays(spark, args.holidays) if args.holidays else uk_bank_holidays(spark)

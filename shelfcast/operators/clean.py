@@ -34,11 +34,12 @@ def with_sales(tx: DataFrame, c: TxColumns = TxColumns()) -> DataFrame:
     and ``InvoiceMonth`` as the first day of its month.
     """
     day = F.to_date(F.col(c.date))
-    units = F.col(c.quantity).cast("bigint") * to_units(F.col(c.price))
+    quantity = F.col(c.quantity).cast("double")
+    units = to_units(quantity * F.col(c.price))  # rounded once, after multiplying
     return tx.select(
         F.col(c.invoice).alias("Invoice"),
         product_key(F.col(c.product)).alias("Description"),
-        F.col(c.quantity).cast("bigint").alias("Quantity"),
+        quantity.alias("Quantity"),
         from_units(units).alias("TotalPrice"),
         day.alias("InvoiceDate"),
         month_start(day).alias("InvoiceMonth"),
@@ -46,5 +47,8 @@ def with_sales(tx: DataFrame, c: TxColumns = TxColumns()) -> DataFrame:
 
 
 def clean_transactions(tx: DataFrame, c: TxColumns = TxColumns()) -> DataFrame:
-    """Sales lines only: no cancellations, no returns, no unknown customers."""
+    """Sales lines only: no cancellations, no returns, no unknown customers.
+
+    A line without a date stays a sale; it is in no month (``rollup.monthly_totals``).
+    """
     return with_sales(keep_known_customers(keep_positive(drop_cancelled(tx, c), c), c), c)

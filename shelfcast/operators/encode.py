@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.session import cut_lineage
 
-# What the two models look at, and the most levels a nominal input may have.
+# What the two models look at.
 REGRESSION_INPUTS = [
     "prev_month_sales",
     "sales_delta",
@@ -17,7 +17,7 @@ REGRESSION_INPUTS = [
     "DescriptionIndex",
 ]
 INVENTORY_INPUTS = ["prev_month_sales", "sales_delta", "is_holiday_month", "DescriptionIndex"]
-MAX_LEVELS = 2048
+NOMINAL, ORDINAL = "nominal", "ordinal"
 
 
 def frequency_index(df: DataFrame, column: str, index: str) -> DataFrame:
@@ -56,28 +56,33 @@ def label_index(features: DataFrame) -> DataFrame:
     return frequency_index(features, "stock_decision", "label")
 
 
-def with_product_index(features: DataFrame, index: DataFrame, levels: int) -> DataFrame:
-    """Attach the product index as a model input.
+def check_encoding(encoding: str) -> None:
+    if encoding not in (NOMINAL, ORDINAL):
+        raise ValueError(f"encoding must be {NOMINAL!r} or {ORDINAL!r}, not {encoding!r}")
 
-    Up to ``MAX_LEVELS`` products it is declared nominal, so trees split on sets of
-    products; the index is then also small enough to broadcast. Beyond that it stays a
-    number ordered by frequency, trees split on ranges of it, and Spark chooses the join.
+
+def with_product_index(
+    features: DataFrame, index: DataFrame, levels: int, encoding: str = NOMINAL
+) -> DataFrame:
+    """Attach the product index as a model input, at every size as ``encoding`` says.
+
+    ``nominal``: trees split on sets of products. ``ordinal``: a number ordered by
+    frequency, trees split on ranges of it. Spark chooses the join.
     """
+    check_encoding(encoding)
     nominal = {"ml_attr": {"type": "nominal", "name": "DescriptionIndex", "num_vals": levels}}
     value = F.col("DescriptionIndex").cast("double")
     keys = index.select("Description", "DescriptionIndex")
-    if levels <= MAX_LEVELS:
-        keys = F.broadcast(keys)
     joined = features.join(keys, "Description")
     return joined.withColumn(
         "DescriptionIndex",
-        value.alias("DescriptionIndex", metadata=nominal) if levels <= MAX_LEVELS else value,
+        value.alias("DescriptionIndex", metadata=nominal) if encoding == NOMINAL else value,
     )
 
 
-def bins_for(levels: int) -> int:
+def bins_for(levels: int, encoding: str = NOMINAL) -> int:
     """Histogram bins a forest needs: one per nominal level, never below Spark's default."""
-    return max(32, levels) if levels <= MAX_LEVELS else 32
+    return max(32, levels) if encoding == NOMINAL else 32
 
 
 def assemble(df: DataFrame, inputs: list[str]) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.operators.encode import (
     INVENTORY_INPUTS,
+    NOMINAL,
     REGRESSION_INPUTS,
     assemble,
     bins_for,
@@ -25,13 +26,14 @@ from shelfcast.operators.encode import (
     with_product_index,
 )
 from shelfcast.operators.metrics import classification_metrics, regression_metrics
-from shelfcast.operators.partitions import stable_partitions
+from shelfcast.operators.partitions import ROWS_PER_PARTITION, stable_partitions
 from shelfcast.operators.split import INVENTORY_PARTS, REGRESSION_PARTS, split_by_key
 
 # The tuning grid, its hold-out ratio and the seed.
 TREES = (10, 20)
 DEPTHS = (5, 10)
 TRAIN_RATIO = 0.8
+TRAIN_SHARE = 0.5  # of all rows are in the tuning's training part, at least
 SEED = 42
 KEYS = ["Description", "InvoiceMonth"]
 
@@ -41,7 +43,9 @@ class Tuning:
     """How a forest is tuned.
 
     ``parallelism`` grid points train at once. ``memory_mb`` bounds the histograms one
-    task keeps: trees of many bins then take more passes instead of more memory.
+    task keeps: trees of many bins then take more passes instead of more memory; the default
+    is MLlib's own. ``encoding`` says what the product index is to the trees: ``nominal`` or
+    ``ordinal``.
     """
 
     trees: tuple[int, ...] = TREES
@@ -49,7 +53,9 @@ class Tuning:
     train_ratio: float = TRAIN_RATIO
     seed: int = SEED
     parallelism: int = 4
-    memory_mb: int = 32
+    memory_mb: int = 256
+    encoding: str = NOMINAL
+    rows_per_partition: int = ROWS_PER_PARTITION
 
 
 @dataclass(frozen=True)
@@ -65,11 +71,16 @@ class Forecast:
         return {"numTrees": best.getNumTrees, "maxDepth": best.getOrDefault("maxDepth")}
 
 
-def model_inputs(features: DataFrame, inputs: list[str]) -> tuple[DataFrame, int, int]:
+def model_inputs(
+    features: DataFrame, inputs: list[str], encoding: str = NOMINAL
+) -> tuple[DataFrame, int, int]:
     """Feature vectors, the number of products behind them, and their row count."""
     index = product_index(features)
     size = index.agg(F.count(F.lit(1)).alias("levels"), F.sum("n_rows").alias("rows")).first()
-    vectors = assemble(with_product_index(features, index, size.levels), inputs)
+    if encoding == NOMINAL and size.levels > (size.rows or 0) * TRAIN_SHARE:
+        # MLlib needs at least as many training rows as a nominal input has levels
+        raise ValueError("too few rows for so many products: pass encoding='ordinal'")
+    vectors = assemble(with_product_index(features, index, size.levels, encoding), inputs)
     return vectors, size.levels, size.rows or 0
 
 
@@ -89,7 +100,7 @@ def tune(forest, evaluator: Evaluator, train: DataFrame, rows: int, tuning: Tuni
         seed=tuning.seed,
         parallelism=tuning.parallelism,
     )
-    placed = stable_partitions(train, KEYS, rows).persist()
+    placed = stable_partitions(train, KEYS, rows, tuning.rows_per_partition).persist()
     try:
         return search.fit(placed)
     finally:
@@ -106,12 +117,12 @@ def demand_forecast(
     forecasting; pass other ``inputs`` for a model that only knows the past.
     ``features`` is read many times: pass a stored table.
     """
-    vectors, levels, rows = model_inputs(features, inputs)
+    vectors, levels, rows = model_inputs(features, inputs, tuning.encoding)
     parts = split_by_key(vectors, REGRESSION_PARTS)
     forest = RandomForestRegressor(
         featuresCol="features",
         labelCol="TotalPrice",
-        maxBins=bins_for(levels),
+        maxBins=bins_for(levels, tuning.encoding),
         seed=tuning.seed,
         maxMemoryInMB=tuning.memory_mb,
     )
@@ -126,12 +137,12 @@ def stock_forecast(
 ) -> Forecast:
     """Predict the stock decision of a product-month; read many times, as above."""
     labels = StringIndexer(inputCol="stock_decision", outputCol="label").fit(labeled)
-    vectors, levels, rows = model_inputs(labels.transform(labeled), inputs)
+    vectors, levels, rows = model_inputs(labels.transform(labeled), inputs, tuning.encoding)
     parts = split_by_key(vectors, INVENTORY_PARTS)
     forest = RandomForestClassifier(
         featuresCol="features",
         labelCol="label",
-        maxBins=bins_for(levels),
+        maxBins=bins_for(levels, tuning.encoding),
         seed=tuning.seed,
         maxMemoryInMB=tuning.memory_mb,
     )

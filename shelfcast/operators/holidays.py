@@ -80,7 +80,7 @@ def holiday_products(sales: DataFrame, months: DataFrame) -> DataFrame:
         in_holiday_months(sales, months)
         .groupBy("Description")
         .agg(
-            F.sum("Quantity").alias("total_quantity"),
+            from_units(sum_units("Quantity")).alias("total_quantity"),
             from_units(sum_units("TotalPrice")).alias("total_sales"),
         )
         .orderBy(F.col("total_sales").desc(), "Description")

@@ -6,27 +6,24 @@ from math import ceil
 
 from pyspark.sql import DataFrame
 
-ROWS_PER_PARTITION = 50_000
-MAX_PARTITIONS = 1_024
-SPREAD, SPREAD_ROWS = 8, 4_000
+ROWS_PER_PARTITION = 5_000
 
 
-def partitions_for(rows: int) -> int:
+def partitions_for(rows: int, rows_per_partition: int = ROWS_PER_PARTITION) -> int:
     """Training partitions for a row count; a function of the data, not of the cluster.
 
-    Small tables are still spread a little, because a forest spends its time on
-    histograms per tree node rather than on rows. Every partition also ships its own
-    histograms, so the number grows with the rows only, and ends at a limit beyond
-    which partitions get longer instead.
+    They grow in proportion at every size. Each ships its own histograms, so a caller with
+    very many rows may want more of them in a partition.
     """
-    spread = min(SPREAD, ceil(rows / SPREAD_ROWS))
-    return max(1, spread, min(MAX_PARTITIONS, ceil(rows / ROWS_PER_PARTITION)))
+    return max(1, ceil(rows / rows_per_partition))
 
 
-def stable_partitions(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
+def stable_partitions(
+    df: DataFrame, keys: list[str], rows: int, rows_per_partition: int = ROWS_PER_PARTITION
+) -> DataFrame:
     """Same rows in the same partition and order on every run.
 
     Seeded sampling draws by partition and row position; hashing on a unique key and
     sorting inside makes both a function of the data.
     """
-    return df.repartition(partitions_for(rows), *keys).sortWithinPartitions(*keys)
+    return df.repartition(partitions_for(rows, rows_per_partition), *keys).sortWithinPartitions(*keys)

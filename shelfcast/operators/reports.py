@@ -148,7 +148,7 @@ def quarterly_heatmap(quarterly: DataFrame, n: int = HEATMAP_PRODUCTS) -> DataFr
         heatmap_rows(quarterly, n)
         .groupBy("Description")
         .pivot("Quarter", QUARTERS)
-        .agg(F.first("avg_quarter_sales"))
+        .agg(F.max("avg_quarter_sales"))
     )
 
 
@@ -161,7 +161,7 @@ def quarter_by_product(quarterly: DataFrame, products: list[str]) -> DataFrame:
         for_products(quarterly, products)
         .groupBy("Quarter")
         .pivot("Description", products)
-        .agg(F.first("avg_quarter_sales"))
+        .agg(F.max("avg_quarter_sales"))
     )
 
 

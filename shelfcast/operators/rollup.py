@@ -15,9 +15,10 @@ def monthly_totals(sales: DataFrame) -> DataFrame:
     """Sales per product and month, every product.
 
     Partial sums are formed before the shuffle, so one very popular product costs one
-    row per task and month, not one row per sale.
+    row per task and month, not one row per sale. Lines without a date are in no month.
     """
-    return sales.groupBy("Description", "InvoiceMonth").agg(
+    dated = sales.filter(F.col("InvoiceMonth").isNotNull())
+    return dated.groupBy("Description", "InvoiceMonth").agg(
         from_units(sum_units("TotalPrice")).alias("TotalPrice")
     )
 

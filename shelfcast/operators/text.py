@@ -21,7 +21,7 @@ from shelfcast.functions.text import plain_text
 VOCABULARY_SIZE = 1000
 MIN_DOCUMENTS = 5
 TFIDF_TERMS = 100
-WORD = r"\b\w\w+\b"  # two or more word characters
+WORD = r"(?U)\b\w\w+\b"  # two or more word characters of any script
 
 
 def descriptions(features: DataFrame) -> DataFrame:

@@ -134,8 +134,7 @@ def stock_job(
 
 def clusters_job(spark: SparkSession, stages: Stages) -> dict[str, int]:
     found = clusters.count_clusters(_labeled(spark, stages))
-    names = found.assigned.dropDuplicates()
-    return {"description_clusters": stages.write(names, "description_clusters")}
+    return {"description_clusters": stages.write(found.assigned, "description_clusters")}
 
 
 def correlation_job(spark: SparkSession, stages: Stages) -> None:

@@ -32,7 +32,7 @@ TRANSACTIONS = _struct(
     ("Invoice", _TEXT),
     ("StockCode", _TEXT),
     ("Description", _TEXT),
-    ("Quantity", _LONG),
+    ("Quantity", _DOUBLE),
     ("InvoiceDate", T.TimestampType()),
     ("Price", _DOUBLE),
     ("Customer ID", _DOUBLE),
@@ -83,7 +83,7 @@ PREDICTIONS_INVENTORY = _struct(
 HOLIDAY_IMPACT = _struct(("Name", _TEXT), ("avg_sales", _DOUBLE))
 
 HOLIDAY_PRODUCTS = _struct(
-    ("Description", _TEXT), ("total_quantity", _LONG), ("total_sales", _DOUBLE)
+    ("Description", _TEXT), ("total_quantity", _DOUBLE), ("total_sales", _DOUBLE)
 )
 
 QUARTERLY_SUMMARY = _struct(

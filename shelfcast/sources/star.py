@@ -42,7 +42,7 @@ _PART = T.StructType(
 
 def star_transactions(spark: SparkSession, folder: str) -> DataFrame:
     returned = F.col("l_returnflag") == "R"
-    quantity = F.col("l_quantity").cast("bigint")
+    quantity = F.col("l_quantity")
     order_key = F.col("l_orderkey").cast("string")
     lines = spark.read.schema(_LINEITEM).parquet(f"{folder}/lineitem.parquet").select(
         "l_orderkey",

@@ -22,10 +22,11 @@ def read_transactions(
 
     In CSV, doubled quotes inside a quoted name are read as one quote, a header that
     differs from the declared columns is an error, and fields that do not fit their
-    declared type become null and are dropped by the cleaning step.
+    declared type become null: a line without a readable quantity, price or customer is
+    dropped by the cleaning step, one without a readable date by the monthly totals. A columnar file has types of its own.
     """
     if fmt != "csv":
-        return spark.read.schema(table).format(fmt).load(path)
+        return spark.read.format(fmt).load(path)
     reader = (
         spark.read.schema(table)
         .option("header", True)

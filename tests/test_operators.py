@@ -75,6 +75,12 @@ def test_cleaning_keeps_sales_lines_only(dirty):
     )
 
 
+def test_words_of_any_script_are_kept(spark):
+    docs = spark.createDataFrame([("CAFÉ CRÈME jar", 1)], "Description string, n_rows bigint")
+    found = text.phrases(docs).first()
+    assert {"café", "crème", "jar"} <= {w for v in found.asDict().values() if isinstance(v, list) for w in v}
+
+
 def test_dates_are_reduced_to_day_and_month(dirty):
     last = clean.clean_transactions(dirty).filter("Invoice = '6'").first()
     assert (last.InvoiceDate, last.InvoiceMonth) == (date(2010, 4, 30), month(4))

@@ -1,11 +1,13 @@
 """What the physical plans look like, and the jobs end to end."""
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
 from checks import queries
 from shelfcast import schema
-from shelfcast.operators import clusters, features, forest, holidays, metrics, rollup, text
+from shelfcast.operators import clusters, encode, features, forest, holidays, metrics, rollup, text
 from shelfcast.plans import jobs
 from shelfcast.session import cut_lineage
 from shelfcast.sources.holidays import uk_bank_holidays
@@ -113,11 +115,22 @@ def test_stock_forecast(labeled):
     assert forest.stock_metrics(result).first().accuracy > 0.5
 
 
-def test_many_products_become_a_number(labeled, monkeypatch):
-    monkeypatch.setattr("shelfcast.operators.encode.MAX_LEVELS", 10)
-    result = forest.demand_forecast(labeled, tuning=QUICK)
+def test_encoding_is_the_callers_choice(labeled):
+    plain = replace(QUICK, encoding="ordinal")
+    result = forest.demand_forecast(labeled, tuning=plain)
     assert not result.model.bestModel.toDebugString.count(" in {")
     assert result.predictions.count() > 0
+    with pytest.raises(ValueError, match="encoding"):
+        forest.demand_forecast(labeled, tuning=replace(QUICK, encoding="guess"))
+
+
+@pytest.mark.parametrize("levels", [2_048, 2_049])
+def test_the_index_is_nominal_at_every_size(spark, levels):
+    rows = spark.range(levels).selectExpr("CAST(id AS STRING) AS Description")
+    index = encode.product_index(rows)
+    column = encode.with_product_index(rows, index, levels).schema["DescriptionIndex"]
+    assert column.metadata["ml_attr"]["num_vals"] == levels
+    assert encode.bins_for(levels) == levels and encode.bins_for(levels, "ordinal") == 32
 
 
 def test_every_name_has_one_cluster(labeled):

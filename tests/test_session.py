@@ -41,4 +41,5 @@ def test_stored_tables_keep_rows_and_schema(spark):
 
 def test_training_partitions_grow_with_rows_only():
     counts = [partitions_for(n) for n in (0, 1, 20_000, 40_000, 480_000, 10**7, 10**10)]
-    assert counts == [1, 1, 5, 8, 10, 200, 1024]
+    assert counts == [1, 1, 4, 8, 96, 2_000, 2_000_000]
+    assert partitions_for(10**10, 10**6) == 10**4

@@ -7,7 +7,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import types as T
 
 from shelfcast import schema
-from shelfcast.operators import audit, clean
+from shelfcast.operators import audit, clean, rollup
 from shelfcast.sources import tables
 from shelfcast.sources.holidays import read_holidays
 from shelfcast.sources.transactions import read_transactions
@@ -37,12 +37,33 @@ def test_columnar_transactions_push_the_cleaning_filters(spark, tmp_path):
     read_transactions(spark, str(tmp_path / "tx.csv")).write.parquet(str(tmp_path / "tx"))
     tx = clean.clean_transactions(read_transactions(spark, str(tmp_path / "tx"), fmt="parquet"))
     plan = tx.select("TotalPrice")._jdf.queryExecution().executedPlan().toString()
-    for pushed in ("GreaterThan(Quantity,0)", "IsNotNull(`Customer ID`)", "Not(StringStartsWith(Invoice,C))"):
+    for pushed in ("GreaterThan(Quantity,0.0)", "IsNotNull(`Customer ID`)", "Not(StringStartsWith(Invoice,C))"):
         assert pushed in plan
     assert "StockCode" not in plan.split("ReadSchema")[1]
     assert tx.first().TotalPrice == 2.5
 
 
+def test_fractions_and_fine_prices_are_kept(spark, tmp_path):
+    (tmp_path / "tx.csv").write_text(
+        HEADER
+        + "1,A,MUG,2.5,2010-03-17 09:30:00,2.00,1,UK\n"
+        + "2,A,NUT,1000000,2010-03-17 09:30:00,0.00004,1,UK\n"
+        + "3,A,TEA,0.5,2010-03-17 09:30:00,2.00,1,UK\n"
+        + "4,A,LOST,1,12/1/2009 7:45,2.00,1,UK\n"
+    )
+    sales = clean.clean_transactions(read_transactions(spark, str(tmp_path / "tx.csv")))
+    assert rollup.monthly_totals(sales).count() == 3  # the line without a date is in no month
+    found = sales.filter("InvoiceDate IS NOT NULL").collect()
+    assert [(r.Description, r.Quantity, r.TotalPrice) for r in found] == [
+        ("MUG", 2.5, 5.0),
+        ("NUT", 1_000_000.0, 40.0),
+        ("TEA", 0.5, 1.0),
+    ]
+    named = read_transactions(spark, str(tmp_path / "tx.csv"), timestamp_format="M/d/yyyy H:mm")
+    dated = clean.clean_transactions(named).filter("InvoiceDate IS NOT NULL")
+    assert [r.Description for r in dated.collect()] == ["LOST"]
+
+
 def test_other_header_is_an_error(spark, tmp_path):
     (tmp_path / "tx.csv").write_text(HEADER.replace("Price", "Amount") + "1,A,B,1,2010-01-01,1,1,UK\n")
     with pytest.raises(Exception, match="header does not conform"):
