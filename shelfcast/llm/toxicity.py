@@ -24,8 +24,10 @@ from shelfcast.llm.common import ship
 
 LETTERS = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6)
-SAMPLE_PER_CLASS = 3000  # labelled documents fitted on, for each binary label
-LEAST_DOCUMENTS = 3  # of the sample that show a feature
+SAMPLE_PER_CLASS = 2000  # labelled documents fitted on, for each binary label
+EVIDENCE = 9.0  # natural logarithm of the odds against chance that a feature needs
+LEAST_DOCUMENTS = 3  # graded documents that show a feature
+CUT_STEP = 0.5  # of the thresholds, whose curvature is a quarter at most
 MARKER_ODDS = 8.0  # how much commoner a marker is in toxic documents
 _SCORES = 400_000  # word scores remembered in a task
 
@@ -71,8 +73,27 @@ def severity_grades(texts: list[set[str]], toxic: np.ndarray) -> np.ndarray:
     return np.where(toxic == 1, 1 + (hits >= 3) + (hits >= 6), 0)
 
 
+def _telling(texts: list[set[str]], bad: np.ndarray) -> list[str]:
+    """Features whose documents are graded so much more often than all documents that chance
+    would have to be very kind: a divergence of ``EVIDENCE`` over their number."""
+    seen, hits = Counter(), Counter()
+    for found, label in zip(texts, bad, strict=True):
+        own = {f for w in found for f in features(w)}
+        seen.update(own)
+        if label:
+            hits.update(own)
+    rate, names = bad.mean(), []
+    for f, n in hits.items():
+        share = n / seen[f]
+        if share > rate and n >= LEAST_DOCUMENTS:
+            rest = (1 - share) * math.log((1 - share) / (1 - rate)) if share < 1 else 0.0
+            if seen[f] * (share * math.log(share / rate) + rest) >= EVIDENCE:
+                names.append(f)
+    return sorted(names)
+
+
 def fit(
-    texts: list[set[str]], grades: np.ndarray, penalty: float = 2e-4, steps: int = 250
+    texts: list[set[str]], grades: np.ndarray, penalty: float = 2e-4, steps: int = 400
 ) -> OrdinalModel:
     """Proximal gradient steps on the ordinal likelihood with an L1 penalty on the weights.
 
@@ -83,8 +104,8 @@ def fit(
     present = sorted(set(grades.tolist()))
     if len(present) < 2:
         return OrdinalModel({}, ())
-    seen = Counter(f for t in texts for w in t for f in features(w))
-    names = sorted(f for f, c in seen.items() if c >= LEAST_DOCUMENTS)
+    bad = grades > 0
+    names = _telling(texts, bad)
     index = {f: i for i, f in enumerate(names)}
     rows, cols, vals = [], [], []
     for i, t in enumerate(texts):
@@ -93,8 +114,6 @@ def fit(
         cols.append(np.fromiter(own.keys(), np.int32, len(own)))
         vals.append(np.fromiter(own.values(), np.float64, len(own)))
     row, col, val = (np.concatenate(x) for x in (rows, cols, vals))
-    scale = 1.0 / np.sqrt(np.maximum(np.bincount(col, val * val, len(names)) / len(texts), 0.02))
-    val = val * scale[col]
     top = present[-1]
     above = grades[:, None] > np.arange(top)[None, :]
     share = np.where(grades > 0, 0.5 / max(1, (grades > 0).sum()), 0.5 / max(1, (grades == 0).sum()))
@@ -120,12 +139,14 @@ def fit(
     rate = np.clip(above.mean(axis=0), 1e-3, 1 - 1e-3)
     cut = np.maximum.accumulate(-np.log(rate / (1 - rate)) + 1e-3 * np.arange(top))
     seen_w, seen_cut, turn = w, cut, 1.0
-    step = 4.0 / max(1.0, float(np.bincount(row, val * val, len(texts)).mean()))
+    # a bound of the curvature for each weight alone: rows count by how many features share them
+    many = np.bincount(row, minlength=len(texts))[row] + 1.0
+    step = 4.0 / np.maximum(np.bincount(col, share[row] * many * val * val, len(names)), 1e-9)
     for _ in range(steps):
         by_margin, by_cut = slopes(seen_w, seen_cut)
         moved = seen_w - step * np.bincount(col, val * by_margin[row], len(names))
         new_w = np.sign(moved) * np.maximum(np.abs(moved) - step * penalty, 0.0)
-        new_cut = np.maximum.accumulate(seen_cut - step * by_cut)
+        new_cut = np.maximum.accumulate(seen_cut - CUT_STEP * by_cut)
         new_cut = new_cut + 1e-6 * np.arange(top)
         new_turn = (1 + (1 + 4 * turn * turn) ** 0.5) / 2
         pace = (turn - 1) / new_turn
@@ -134,7 +155,7 @@ def fit(
         w, cut, turn = new_w, new_cut, new_turn
     kept = np.flatnonzero(w)
     return OrdinalModel(
-        {names[i]: float(w[i] * scale[i]) for i in kept}, tuple(float(c) for c in cut)
+        {names[i]: float(w[i]) for i in kept}, tuple(float(c) for c in cut)
     )
 
 
