@@ -25,7 +25,7 @@ from shelfcast.llm.common import ship
 LETTERS = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6)
 SAMPLE_PER_CLASS = 2000  # labelled documents fitted on, for each binary label
-EVIDENCE = 9.0  # natural logarithm of the odds against chance that a feature needs
+EVIDENCE = 7.0  # natural logarithm of the odds against chance that a feature needs
 LEAST_DOCUMENTS = 3  # graded documents that show a feature
 CUT_STEP = 0.5  # of the thresholds, whose curvature is a quarter at most
 MARKER_ODDS = 8.0  # how much commoner a marker is in toxic documents

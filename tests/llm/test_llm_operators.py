@@ -147,7 +147,7 @@ def test_ordinal_regression_orders_grades_and_shares_weights():
 
 def test_toxic_documents_are_found_and_others_left(spark):
     rows = [(i, f"plain text number {i} of the set" + (" you utter fool" if i % 5 == 0 else ""))
-            for i in range(200)] + [(500, None), (501, ""), (502, "FOOL!"), (503, "nice text")]
+            for i in range(200)] + [(500, None), (501, ""), (502, "YOU utter FOOL!"), (503, "nice text")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("severity", F.lit(9))
     labels = spark.createDataFrame(
         [(i, 1, int(i % 5 == 0)) for i in range(0, 200)] + [(1, 1, None), (None, 1, 1)],
