@@ -30,8 +30,10 @@ from shelfcast.llm.common import ship, stored
 
 MARK = "▁"
 FOLDED = 40  # characters of a segment that goes through the lattice; longer ones: a heap
+ID_BITS = 21
+ID_SPAN = 1 << ID_BITS  # ids and ranks of a merge model are below it
 COMMON = 300_000  # segments sent to every task at most
-_FLUSH = 400_000
+_FLUSH = 150_000
 # fixed values: kinds of piece and of model in the model file
 NORMAL, USER_DEFINED, BYTE = 1, 4, 6
 UNIGRAM, BPE = 1, 2
@@ -46,8 +48,10 @@ class Model:
     scores: tuple[float, ...]
     kinds: tuple[int, ...]
     dummy_prefix: bool
-    loners: str  # control characters that stand in no longer piece, so nothing spans them
+    loners: str  # ASCII characters that stand in no longer piece, so nothing spans them
+    signs: str  # ASCII signs that stand in no piece beside anything but signs and the mark
     bytes_of: dict[int, int] = field(default_factory=dict)  # byte -> id
+    single: dict[str, int] = field(default_factory=dict)  # character that is a piece -> id
 
     @property
     def longest(self) -> int:
@@ -58,7 +62,9 @@ class Model:
         return [(p, i, s) for p, i, s, k in rows if k == NORMAL]
 
     def fallback(self, character: str) -> list[int]:
-        """Ids of a character that is no piece."""
+        """Ids of a character by itself: of its piece, else of its bytes."""
+        if character in self.single:
+            return [self.single[character]]
         return [self.bytes_of[b] for b in character.encode("utf-8")]
 
     def normalise(self, text: str) -> str:
@@ -88,40 +94,66 @@ def load(path: str) -> Model:
         if kind == NORMAL and len(piece) > 1:
             if MARK in piece.lstrip(MARK):
                 raise ValueError(f"a piece that spans segments: {piece!r}")
-    spanned = {c for p, k in zip(pieces, kinds) if k == NORMAL and len(p) > 1 for c in p}
+    longer = [p for p, k in zip(pieces, kinds) if k == NORMAL and len(p) > 1]
+    spanned = {c for p in longer for c in p}
+    loners = {chr(c) for c in range(128)} - spanned - {" "}
+    signs = {c for c in map(chr, range(33, 127)) if not c.isalnum()} - loners
+    while mixed := {
+        sign
+        for piece in longer
+        for sign in signs.intersection(piece)
+        if not signs.issuperset(piece.replace(MARK, ""))
+    }:
+        signs -= mixed
     return Model(
         model.trainer_spec.model_type,
         pieces,
         tuple(p.score for p in model.pieces),
         kinds,
         bool(rules.add_dummy_prefix),
-        "".join(sorted({chr(c) for c in range(32)} - spanned)),
+        "".join(sorted(loners)),
+        "".join(sorted(signs)),
         {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(pieces, kinds)) if k == BYTE},
+        {p: i for i, (p, k) in enumerate(zip(pieces, kinds)) if k == NORMAL and len(p) == 1},
     )
 
 
 @lru_cache(maxsize=4)
-def _cutter(loners: str) -> re.Pattern:
-    one = re.escape(loners)
-    return re.compile(rf"{MARK}*[^{MARK}{one}]+|{MARK}+|[{one}]" if one else rf"{MARK}*[^{MARK}]+|{MARK}+")
+def _cutter(loners: str, signs: str) -> re.Pattern:
+    one, beside = re.escape(loners), re.escape(signs)
+    kinds = [rf"{MARK}*[^{MARK}{one}{beside}]+"]
+    if signs:
+        kinds.append(rf"{MARK}*[{beside}]+")
+    kinds.append(rf"{MARK}+")
+    if loners:
+        kinds.append(rf"[{one}]")
+    return re.compile("|".join(kinds))
 
 
 def segments(model: Model, text: str | None) -> list[str]:
-    """A normalised text cut before words and around characters that no piece spans."""
-    return _cutter(model.loners).findall(model.normalise(text)) if text else []
+    """A normalised text cut before words, around characters that no piece spans, and between
+    signs and other characters if no piece holds both."""
+    return _cutter(model.loners, model.signs).findall(model.normalise(text)) if text else []
 
 
 # -- the lattice ---------------------------------------------------------------------
 
 
 def piece_table(spark: SparkSession, model: Model) -> DataFrame:
-    return spark.createDataFrame(model.normal(), "piece string, id int, score double")
+    """The pieces, their ids, scores and ranks by score, and an empty piece without an id."""
+    ranks = {s: r for r, s in enumerate(sorted({s for _, _, s in model.normal()}, reverse=True))}
+    rows = [(p, i, s, ranks[s]) for p, i, s in model.normal()]
+    return spark.createDataFrame(
+        [*rows, ("", None, None, None)], "piece string, id bigint, score double, rank bigint"
+    )
 
 
 def lattice(words: DataFrame, model: Model) -> DataFrame:
-    """``segment, edges`` from distinct ``segment``: ``edges(start, stop, id, score)``.
+    """``segment, edges`` from distinct ``segment``; a segment without an edge has none.
 
-    Characters that are no piece have no edge of their own.
+    Edges are ``(start, stop, id, score)``. Of a merge model they are numbers made of rank,
+    start, stop and id, so that they sort by rank, leftmost first; its merges begin at
+    characters, which need no edge.
     """
     pieces = piece_table(words.sparkSession, model)  # bounded by the model file
     size = F.char_length("segment")
@@ -133,20 +165,25 @@ def lattice(words: DataFrame, model: Model) -> DataFrame:
         "start",
         F.explode(
             F.sequence(
-                F.lit(1), F.least(F.lit(model.longest), F.char_length("segment") - F.col("start"))
+                F.lit(0), F.least(F.lit(model.longest), F.char_length("segment") - F.col("start"))
             )
         ).alias("n"),
-    )
+    ).filter(f"n >= {2 if model.kind == BPE else 1} OR (n = 0 AND start = 0)")
     parts = spans.select(
         "segment",
         "start",
         (F.col("start") + F.col("n")).alias("stop"),
         F.substring(F.col("segment"), F.col("start") + 1, F.col("n")).alias("piece"),
     )
+    if model.kind == BPE:
+        place = (F.col("rank") * 64 + F.col("start")) * 64 + F.col("stop")
+        edge = place * ID_SPAN + F.col("id")
+    else:
+        edge = F.when(F.col("id").isNotNull(), F.struct("start", "stop", "id", "score"))
     return (
         parts.join(F.broadcast(pieces), "piece")
         .groupBy("segment")
-        .agg(F.collect_list(F.struct("start", "stop", "id", "score")).alias("edges"))
+        .agg(F.collect_list(edge).alias("edges"))  # the empty piece's null is passed over
     )
 
 
@@ -154,38 +191,68 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def _bit(place: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), place.cast("int"))
+
+
 def merge_fold(edges: Column, size: Column) -> Column:
-    """Cuts left when pieces are merged in order of score, leftmost first."""
-    wide = F.filter(edges, lambda e: e["stop"] - e["start"] > 1)
-
-    def step(cuts: Column, wide: Column) -> Column:
-        # an edge whose two ends are cuts, with one cut between: the one to go
-        open_ = F.filter(
-            F.transform(
-                wide,
-                lambda e: F.struct(
-                    e["score"].alias("score"),
-                    (-e["start"]).alias("left"),
-                    F.array_position(cuts, e["start"]).alias("from"),
-                    F.array_position(cuts, e["stop"]).alias("to"),
-                ),
-            ),
-            lambda e: (e["from"] > 0) & (e["to"] == e["from"] + 2),
+    """Cuts left when pieces are merged in order of rank, leftmost first.
+
+    Cuts are the bits of a number. An edge is alive while both its ends are cuts and some
+    cut lies between; if only one does, it can go.
+    """
+
+    def spread(edge: Column) -> Column:
+        place = F.shiftright(edge, ID_BITS)
+        start, stop = F.shiftright(place, 6).bitwiseAND(63), place.bitwiseAND(63)
+        return F.struct(
+            _bit(start).bitwiseOR(_bit(stop)).alias("ends"),
+            (_bit(stop) - 2 * _bit(start)).alias("between"),
+        )
+
+    def alive(cuts: Column, held: Column) -> Column:
+        return F.filter(
+            held,
+            lambda e: (cuts.bitwiseAND(e["ends"]) == e["ends"])
+            & (cuts.bitwiseAND(e["between"]) != 0),
+        )
+
+    def step(state: Column) -> Column:
+        cuts = state["cuts"]
+        ready = F.filter(
+            state["held"], lambda e: F.bit_count(cuts.bitwiseAND(e["between"])) == 1
         )
         return _let(
-            F.array_max(open_),
-            lambda best: F.when(best.isNull(), cuts).otherwise(
-                F.array_remove(cuts, F.get(cuts, best["from"].cast("int")))
+            _let(
+                F.get(ready, F.lit(0)),
+                lambda best: F.when(best.isNull(), F.lit(0).cast("bigint")).otherwise(
+                    best["between"]
+                ),
+            ),
+            lambda gone: _let(
+                cuts - cuts.bitwiseAND(gone),
+                lambda left: F.struct(
+                    left.alias("cuts"),
+                    # none to go: none will be
+                    F.when(gone == 0, F.slice(state["held"], 1, 0))
+                    .otherwise(alive(left, state["held"]))
+                    .alias("held"),
+                ),
             ),
         )
 
+    first = F.struct(
+        (_bit(size + 1) - 1).alias("cuts"),
+        F.transform(F.array_sort(edges), spread).alias("held"),
+    )
+    cuts = F.aggregate(
+        F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(size - 1, F.size(edges)))),
+        first,
+        lambda state, _: step(state),
+        lambda state: state["cuts"],
+    )
     return _let(
-        wide,
-        lambda w: F.aggregate(
-            F.sequence(F.lit(1), F.least(size, F.size(w) + 1)),
-            F.sequence(F.lit(0), size),
-            lambda cuts, _: step(cuts, w),
-        ),
+        cuts, lambda c: F.filter(F.sequence(F.lit(0), size), lambda i: F.getbit(c, i) == 1)
     )
 
 
@@ -231,13 +298,7 @@ def viterbi_fold(edges: Column, size: Column, unknown_score: float) -> Column:
 
 def encode_segments(words: DataFrame, model: Model) -> DataFrame:
     """``segment, ids`` for distinct ``segment``: lattice and fold, or a heap if very long."""
-    short = words.filter(F.char_length("segment") <= FOLDED)
-    found = short.join(lattice(short, model), "segment", "left").withColumn(
-        "edges",
-        F.coalesce(
-            "edges", F.array().cast("array<struct<start:int,stop:int,id:int,score:double>>")
-        ),
-    )
+    found = lattice(words.filter(F.char_length("segment") <= FOLDED), model)
     size = F.char_length("segment")
     if model.kind == BPE:
         cuts = merge_fold(F.col("edges"), size)
@@ -247,12 +308,21 @@ def encode_segments(words: DataFrame, model: Model) -> DataFrame:
     cut = found.withColumn("cuts", cuts)
 
     def piece_ids(at: Column, next_: Column) -> Column:
-        own = F.filter(
-            F.col("edges"), lambda e: (e["start"] == at) & (e["stop"] == next_)
-        )
+        if model.kind == BPE:
+            place = (at * 64 + next_).cast("bigint")
+            own = F.filter(
+                F.col("edges"),
+                lambda e: F.shiftright(e, ID_BITS).bitwiseAND(4095) == place,
+            )
+            id_ = F.get(own, F.lit(0)).bitwiseAND(ID_SPAN - 1)
+        else:
+            own = F.filter(
+                F.col("edges"), lambda e: (e["start"] == at) & (e["stop"] == next_)
+            )
+            id_ = F.get(own, F.lit(0))["id"]
         bare = F.encode(F.substring(F.col("segment"), at + 1, F.lit(1)), "UTF-8")
         # without an edge: below zero, minus one less the character's bytes as a number
-        return F.coalesce(F.get(own, F.lit(0))["id"], -1 - F.conv(F.hex(bare), 16, 10).cast("bigint"))
+        return F.coalesce(id_, -1 - F.conv(F.hex(bare), 16, 10).cast("bigint"))
 
     ids = F.transform(
         F.slice("cuts", 1, F.size("cuts") - 1),
@@ -336,7 +406,7 @@ def heap_encoder(model: Model):
 
 
 def _resolved(model: Model, ids) -> tuple[int, ...]:
-    """Codes of characters without a piece become their byte pieces."""
+    """Codes of characters without an edge become their pieces, or their byte pieces."""
     out: list[int] = []
     for i in ids:
         if i >= 0:
