@@ -33,6 +33,7 @@ FOLDED = 40  # characters of a segment that goes through the lattice; longer one
 ID_BITS = 21
 ID_SPAN = 1 << ID_BITS  # ids and ranks of a merge model are below it
 COMMON = 300_000  # segments sent to every task at most
+SLICE = 200  # texts cut or decoded at a time
 _FLUSH = 150_000
 # fixed values: kinds of piece and of model in the model file
 NORMAL, USER_DEFINED, BYTE = 1, 4, 6
@@ -49,7 +50,7 @@ class Model:
     kinds: tuple[int, ...]
     dummy_prefix: bool
     loners: str  # ASCII characters that stand in no longer piece, so nothing spans them
-    signs: str  # ASCII signs that stand in no piece beside anything but signs and the mark
+    signs: str  # signs of the pieces that stand in none beside anything but signs and the mark
     bytes_of: dict[int, int] = field(default_factory=dict)  # byte -> id
     single: dict[str, int] = field(default_factory=dict)  # character that is a piece -> id
 
@@ -97,7 +98,7 @@ def load(path: str) -> Model:
     longer = [p for p, k in zip(pieces, kinds) if k == NORMAL and len(p) > 1]
     spanned = {c for p in longer for c in p}
     loners = {chr(c) for c in range(128)} - spanned - {" "}
-    signs = {c for c in map(chr, range(33, 127)) if not c.isalnum()} - loners
+    signs = {c for c in spanned if not c.isalpha()} - {MARK}
     while mixed := {
         sign
         for piece in longer
@@ -420,6 +421,13 @@ def _resolved(model: Model, ids) -> tuple[int, ...]:
 # -- texts ---------------------------------------------------------------------------
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Few texts at a time, since their segments and ids are Python objects for a while."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, SLICE):
+            yield batch.slice(i, SLICE)
+
+
 def _count(path_model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
@@ -432,7 +440,7 @@ def _count(path_model: Model):
             seen.clear()
             return out
 
-        for batch in batches:
+        for batch in _slices(batches):
             for text in batch.column("text").to_pylist():
                 seen.update(segments(path_model, text))
                 if len(seen) > _FLUSH:
@@ -446,7 +454,7 @@ def _count(path_model: Model):
 def _missing(model: Model, common):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = common.value
-        for batch in batches:
+        for batch in _slices(batches):
             rare = [
                 list(set(segments(model, t)).difference(known))
                 for t in batch.column("text").to_pylist()
@@ -462,35 +470,33 @@ def _missing(model: Model, common):
 def _assemble(model: Model, common):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = common.value
-        for whole in batches:
-            for i in range(0, whole.num_rows, 200):
-                batch = whole.slice(i, 200)
-                out = []
-                for text, names, codes in zip(
-                    batch.column("text").to_pylist(),
-                    batch.column("names").to_pylist(),
-                    batch.column("codes").to_pylist(),
-                    strict=True,
-                ):
-                    own = {
-                        n: np.array(_resolved(model, c), "<u4").tobytes()
-                        for n, c in zip(names or (), codes or (), strict=True)
-                    }
-                    found = segments(model, text)
-                    out.append(
-                        b"".join([own[s] if s in own else known[s] for s in found])
-                    )
-                sizes = np.array([len(x) // 4 for x in out], np.int64)
-                offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-                values = np.frombuffer(b"".join(out), "<u4").astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id"),
-                        batch.column("text"),
-                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)),
-                    ],
-                    ["doc_id", "text", "ids"],
+        for batch in _slices(batches):
+            out = []
+            for text, names, codes in zip(
+                batch.column("text").to_pylist(),
+                batch.column("names").to_pylist(),
+                batch.column("codes").to_pylist(),
+                strict=True,
+            ):
+                own = {
+                    n: np.array(_resolved(model, c), "<u4").tobytes()
+                    for n, c in zip(names or (), codes or (), strict=True)
+                }
+                found = segments(model, text)
+                out.append(
+                    b"".join([own[s] if s in own else known[s] for s in found])
                 )
+            sizes = np.array([len(x) // 4 for x in out], np.int64)
+            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            values = np.frombuffer(b"".join(out), "<u4").astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"),
+                    batch.column("text"),
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)),
+                ],
+                ["doc_id", "text", "ids"],
+            )
 
     return run
 
@@ -582,7 +588,7 @@ def decode(rows: DataFrame, model_path: str, ids: str = "ids", into: str = "deco
     schema = T.StructType([*base.schema.fields, T.StructField(into, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             out = []
             for own in batch.column(ids).to_pylist():
                 if own is None:
