@@ -25,9 +25,10 @@ from shelfcast.llm.common import ship
 LETTERS = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6)
 SAMPLE_PER_CLASS = 2000  # labelled documents fitted on, for each binary label
-EVIDENCE = 7.0  # natural logarithm of the odds against chance that a feature needs
+EVIDENCE = 5.0  # natural logarithm of the odds against chance that a feature needs
 LEAST_DOCUMENTS = 3  # graded documents that show a feature
 CUT_STEP = 0.5  # of the thresholds, whose curvature is a quarter at most
+REJECT_FROM = 0.7  # expected severity: more than one weak sign
 MARKER_ODDS = 8.0  # how much commoner a marker is in toxic documents
 _SCORES = 400_000  # word scores remembered in a task
 
@@ -199,7 +200,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS)
     return fit(texts, severity_grades(texts, toxic))
 
 
-def score(docs: DataFrame, model: OrdinalModel, reject_from: float = 0.5) -> DataFrame:
+def score(docs: DataFrame, model: OrdinalModel, reject_from: float = REJECT_FROM) -> DataFrame:
     """``docs`` with ``severity`` (expected grade) and ``toxic_rejected`` appended.
 
     Columns of those two names are replaced; all others pass through. A null or empty text
