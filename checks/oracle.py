@@ -6,7 +6,7 @@ entry are iterative (forests, k-means); their inputs and their metrics are cover
 
 from __future__ import annotations
 
-from checks.queries import CHOSEN_PRODUCTS, TOP_CUT
+from checks.queries import CHOSEN_PRODUCTS, EXPLORED, SPOILT_EVERY, TOP_CUT
 from shelfcast.operators.encode import INVENTORY_INPUTS, REGRESSION_INPUTS
 from shelfcast.operators.rollup import TOP_PRODUCTS
 from shelfcast.operators.stats import CORRELATED
@@ -246,6 +246,16 @@ def oracle_sql() -> dict[str, str]:
     return {
         "clean_transactions": _query("clean", _CLEAN_LINES),
         "transactions_csv_scan": _query("clean", _CLEAN_LINES),
+        "transactions_rejects": _query(
+            "tx",
+            f"""
+SELECT invoice LIKE 'C%' AS cancelled, count(*) AS n_lines FROM tx
+WHERE CAST(ltrim(invoice, 'C') AS BIGINT) % {SPOILT_EVERY} = 0 GROUP BY ALL""",
+        ),
+        "transactions_spoilt": _query(
+            "clean",
+            _CLEAN_LINES + f"\nWHERE CAST(invoice AS BIGINT) % {SPOILT_EVERY} <> 0",
+        ),
         "product_revenue": _query(
             "revenue",
             'SELECT description AS "Description", CAST(cents AS DOUBLE) / 100 AS "Revenue" FROM revenue',
@@ -257,6 +267,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "monthly_totals": _query("totals", _MONTHLY + "totals"),
         "monthly_sales": _query("monthly", _MONTHLY + "monthly"),
+        "monthly_sales_all": _query("totals", _MONTHLY + "totals"),
         "monthly_sales_top": _query(
             "totals",
             _MONTHLY
@@ -276,6 +287,12 @@ FROM calendar""",
             """
 SELECT strftime(m.month, '%Y-%m') AS holiday_month, count(l.month) AS n_lines
 FROM holiday_months m LEFT JOIN lines l ON l.month = m.month GROUP BY m.month""",
+        ),
+        "calendar_file": _query(
+            "calendar",
+            """
+SELECT name AS "Name", strftime(calendar.day, '%Y-%m-%d') AS "DateParsed", count(*) AS n_lines
+FROM calendar JOIN lines ON lines.month = calendar.month GROUP BY name, calendar.day""",
         ),
         "features": _query("features", "SELECT * EXCLUDE (month_start, cents) FROM features"),
         "features_labeled": _query("labeled", _LABELED),
@@ -375,8 +392,7 @@ FROM baseline GROUP BY "Description\"""",
             f"""
 SELECT "Description", "InvoiceMonth", "TotalPrice", prediction FROM baseline
 WHERE "Description" IN ({_CHOSEN})
-  AND "InvoiceMonth" BETWEEN (SELECT min("InvoiceMonth") FROM baseline)
-                         AND (SELECT max("InvoiceMonth") FROM baseline)""",
+  AND "InvoiceMonth" BETWEEN '{EXPLORED[0]}' AND '{EXPLORED[1]}'""",
         ),
         "single_product": _query(
             "baseline",

@@ -7,6 +7,7 @@ two engines compare the same bytes.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -32,13 +33,15 @@ from shelfcast.operators import (
 )
 from shelfcast.session import cut_lineage, scratch_path
 from shelfcast.sources import tables
-from shelfcast.sources.holidays import uk_bank_holidays
+from shelfcast.sources.holidays import read_holidays, uk_bank_holidays
 from shelfcast.sources.star import star_transactions
-from shelfcast.sources.transactions import read_transactions
+from shelfcast.sources.transactions import read_transactions, readable, rejects
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 TOP_CUT = 100  # below the number of products in the test tables, so the cut does work
+EXPLORED = (date(2010, 3, 1), date(2013, 6, 1))  # a part of the months the tables cover
+SPOILT_EVERY = 7  # lines of the spoilt file whose order number this divides
 CHOSEN_PRODUCTS = ["ECONOMY blue rod", "LARGE red gear", "PROMO red anvil", "SMALL hot plate"]
 
 
@@ -116,6 +119,40 @@ def transactions_csv_scan(spark: SparkSession, folder: str) -> DataFrame:
     return _iso(clean.clean_transactions(read_transactions(spark, path, layout)))
 
 
+def _spoilt_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """The raw lines as CSV with one field of some lines unreadable, scanned with care."""
+    path = scratch_path(spark, "spoilt")
+    raw = star_transactions(spark, folder)
+    number = F.regexp_replace("Invoice", "^C", "").cast("bigint")
+    turn = F.pmod(number, F.lit(3 * SPOILT_EVERY))
+
+    def spoilt(name: str, at: int, value: str):
+        return F.when(turn == at, value).otherwise(F.col(name).cast("string"))
+
+    dirty = raw.withColumns(
+        {
+            "Quantity": spoilt("Quantity", 0, "many"),
+            "InvoiceDate": spoilt("InvoiceDate", SPOILT_EVERY, "12/1/2009 7:45"),
+            "Price": spoilt("Price", 2 * SPOILT_EVERY, "free"),
+        }
+    )
+    tables.write_stage(dirty, path, "csv")
+    layout = T.StructType([f for name in raw.columns for f in schema.TRANSACTIONS if f.name == name])
+    return read_transactions(spark, path, layout, keep_unreadable=True)
+
+
+def transactions_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of a spoilt file that do not fit their types, by kind of line."""
+    rejected = rejects(_spoilt_scan(spark, folder))
+    cancelled = F.col("Invoice").startswith("C").alias("cancelled")
+    return rejected.groupBy(cancelled).agg(F.count("*").alias("n_lines"))
+
+
+def transactions_spoilt(spark: SparkSession, folder: str) -> DataFrame:
+    """Clean sales of the readable lines of a spoilt file."""
+    return _iso(clean.clean_transactions(readable(_spoilt_scan(spark, folder))))
+
+
 def product_revenue(spark: SparkSession, folder: str) -> DataFrame:
     return rollup.product_revenue(_clean(spark, folder))
 
@@ -132,6 +169,10 @@ def monthly_sales(spark: SparkSession, folder: str) -> DataFrame:
     return _iso(rollup.monthly_sales(_clean(spark, folder)))
 
 
+def monthly_sales_all(spark: SparkSession, folder: str) -> DataFrame:
+    return _iso(rollup.monthly_sales(_clean(spark, folder), n=None))
+
+
 def monthly_sales_top(spark: SparkSession, folder: str) -> DataFrame:
     return _iso(rollup.monthly_sales(_clean(spark, folder), TOP_CUT))
 
@@ -183,15 +224,29 @@ def holiday_fanout(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def holiday_impact(spark: SparkSession, folder: str) -> DataFrame:
-    return holidays.holiday_impact(_features(spark, folder), _calendar(spark))
+    impact = holidays.holiday_impact(_features(spark, folder), _calendar(spark))
+    return reports.ranked(impact, "avg_sales", "Name")
 
 
-def holiday_products(spark: SparkSession, folder: str) -> DataFrame:
+def _holiday_products(spark: SparkSession, folder: str) -> DataFrame:
     return holidays.holiday_products(_uncleaned(spark, folder), _months(spark))
 
 
+def holiday_products(spark: SparkSession, folder: str) -> DataFrame:
+    return reports.ranked(_holiday_products(spark, folder), "total_sales", "Description")
+
+
 def holiday_products_top_n(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.top_holiday_products(holiday_products(spark, folder))
+    return reports.top_holiday_products(_holiday_products(spark, folder))
+
+
+def calendar_file(spark: SparkSession, folder: str) -> DataFrame:
+    """The calendar written as CSV and scanned back, with the lines of each holiday's month."""
+    path = scratch_path(spark, "holidays")
+    tables.write_stage(uk_bank_holidays(spark), path, "csv")
+    calendar = holidays.parse_calendar(read_holidays(spark, path))
+    lines = _lines_per_month(spark, folder)
+    return _iso(calendar.join(lines, "holiday_month_start").select("Name", "DateParsed", "n_lines"))
 
 
 # -- features ------------------------------------------------------------------------
@@ -217,15 +272,19 @@ def correlation_matrix(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def quarterly_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return _quarterly(spark, folder)
+    return _quarterly(spark, folder).orderBy("Description", "Quarter")
 
 
-def newyear_vs_christmas(spark: SparkSession, folder: str) -> DataFrame:
+def _seasonal(spark: SparkSession, folder: str) -> DataFrame:
     return seasonality.newyear_vs_christmas(_features(spark, folder))
 
 
+def newyear_vs_christmas(spark: SparkSession, folder: str) -> DataFrame:
+    return _seasonal(spark, folder).orderBy("Description", "Year", "Month")
+
+
 def month_labels(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.with_month_label(newyear_vs_christmas(spark, folder))
+    return reports.with_month_label(_seasonal(spark, folder))
 
 
 def quarterly_scores(spark: SparkSession, folder: str) -> DataFrame:
@@ -321,13 +380,9 @@ def class_by_match(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def forecast_explorer(spark: SparkSession, folder: str) -> DataFrame:
-    """Chosen products, over the whole month range the predictions cover."""
-    predictions = _baseline(spark, folder)
-    bounds = reports.month_bounds(predictions).first()
+    """Chosen products in a part of the months the predictions cover."""
     return _iso(
-        reports.forecast_explorer(
-            predictions, CHOSEN_PRODUCTS, bounds.first_month, bounds.last_month
-        )
+        reports.forecast_explorer(_baseline(spark, folder), CHOSEN_PRODUCTS, *EXPLORED)
     )
 
 
@@ -499,13 +554,17 @@ def stage_audit(spark: SparkSession, folder: str) -> DataFrame:
 REGISTERED: dict[str, Query] = {
     "clean_transactions": clean_transactions,
     "transactions_csv_scan": transactions_csv_scan,
+    "transactions_rejects": transactions_rejects,
+    "transactions_spoilt": transactions_spoilt,
     "product_revenue": product_revenue,
     "top_products": top_products,
     "monthly_totals": monthly_totals,
     "monthly_sales": monthly_sales,
+    "monthly_sales_all": monthly_sales_all,
     "monthly_sales_top": monthly_sales_top,
     "holiday_calendar": holiday_calendar,
     "holiday_months": holiday_months,
+    "calendar_file": calendar_file,
     "features": features_plain,
     "features_labeled": features_labeled,
     "holiday_fanout": holiday_fanout,

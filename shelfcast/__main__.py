@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+from datetime import date
 
 from pyspark.sql import SparkSession
 
@@ -39,6 +40,9 @@ def arguments() -> argparse.Namespace:
     parser.add_argument(
         "--top", type=int, default=rollup.TOP_PRODUCTS, help="best sellers kept; 0 keeps all"
     )
+    parser.add_argument("--product", action="append", help="of the report; may repeat")
+    parser.add_argument("--first", type=date.fromisoformat, help="first month of the report")
+    parser.add_argument("--last", type=date.fromisoformat, help="last month of the report")
     return parser.parse_args()
 
 
@@ -47,7 +51,7 @@ def main() -> None:
     spark = SparkSession.builder.appName(f"shelfcast {args.job}").getOrCreate()
     stages = jobs.Stages(args.root, args.format)
 
-    def transactions():
+    def transactions(keep_unreadable: bool = False):
         if args.star:
             return star_transactions(spark, args.star)
         if args.transactions:
@@ -56,12 +60,13 @@ def main() -> None:
                 args.transactions,
                 timestamp_format=args.timestamp_format,
                 fmt=args.transactions_format,
+                keep_unreadable=keep_unreadable,
             )
         raise SystemExit("this job needs --transactions or --star")
 
     calendar = read_holidays(spark, args.holidays) if args.holidays else uk_bank_holidays(spark)
     steps = {
-        "monthly": lambda: jobs.monthly_job(transactions(), stages, args.top or None),
+        "monthly": lambda: jobs.monthly_job(transactions(True), stages, args.top or None),
         "features": lambda: jobs.features_job(spark, stages, calendar),
         "holiday-impact": lambda: jobs.holiday_impact_job(spark, stages, calendar),
         "holiday-products": lambda: jobs.holiday_products_job(transactions(), stages, calendar),
@@ -70,7 +75,9 @@ def main() -> None:
         "stock": lambda: jobs.stock_job(spark, stages).best_parameters,
         "clusters": lambda: jobs.clusters_job(spark, stages),
         "correlation": lambda: jobs.correlation_job(spark, stages),
-        "report": lambda: jobs.report_job(spark, stages),
+        "report": lambda: jobs.report_job(
+            spark, stages, args.product, args.first, args.last
+        ),
     }
     for name in JOBS if args.job == "all" else [args.job]:
         print(name, steps[name]() or "")

@@ -41,7 +41,7 @@ def holiday_rows(features: DataFrame, calendar: DataFrame) -> DataFrame:
 
 
 def holiday_impact(features: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Average product-month sales per holiday, two places, best first.
+    """Average product-month sales per holiday, two places.
 
     The same averages as grouping ``holiday_rows`` by name, but the features are summed
     per month before the calendar is joined: what is joined has one row per month, and
@@ -56,7 +56,6 @@ def holiday_impact(features: DataFrame, calendar: DataFrame) -> DataFrame:
         .filter(F.col("Name").isNotNull())
         .groupBy("Name")
         .agg(mean_to_cents(F.sum("_units"), F.sum("_rows")).alias("avg_sales"))
-        .orderBy(F.col("avg_sales").desc(), "Name")
     )
 
 
@@ -71,7 +70,7 @@ def in_holiday_months(sales: DataFrame, months: DataFrame) -> DataFrame:
 
 
 def holiday_products(sales: DataFrame, months: DataFrame) -> DataFrame:
-    """Quantity and revenue per product in holiday months, best first.
+    """Quantity and revenue per product in holiday months.
 
     ``sales`` are uncleaned lines (``clean.with_sales``): cancellations and returns net
     out, and unnamed products form one group.
@@ -83,5 +82,4 @@ def holiday_products(sales: DataFrame, months: DataFrame) -> DataFrame:
             from_units(sum_units("Quantity")).alias("total_quantity"),
             from_units(sum_units("TotalPrice")).alias("total_sales"),
         )
-        .orderBy(F.col("total_sales").desc(), "Description")
     )

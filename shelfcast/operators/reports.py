@@ -10,15 +10,7 @@ from pyspark.sql import functions as F
 from shelfcast.functions.money import from_units, sum_units
 from shelfcast.functions.text import to_number
 
-# Product choices offered by the forecast and the January / December views.
-EXPLORER_PRODUCTS = [
-    "12 PENCILS SMALL TUBE SKULL",
-    "CHILDREN'S APRON DOLLY GIRL",
-    "PAINTED METAL PEARS ASSORTED",
-    "WOODLAND CHARLOTTE BAG",
-    "LUNCH BOX I LOVE LONDON",
-]
-COMPARISON_PRODUCTS = ["ASSORTED COLOUR BIRD ORNAMENT", "PARTY BUNTING", "POSTAGE"]
+# Month labels of the January / December view.
 MONTH_LABELS = {1: "New Year (Jan)", 12: "Christmas (Dec)"}
 
 # Default lengths of the top lists, and the heat-map columns.

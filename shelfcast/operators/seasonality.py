@@ -17,7 +17,6 @@ def quarterly_summary(features: DataFrame) -> DataFrame:
     return (
         features.groupBy("Description", quarter_label(F.col("Month")).alias("Quarter"))
         .agg(_mean_sales("avg_quarter_sales"))
-        .orderBy("Description", "Quarter")
     )
 
 
@@ -27,5 +26,4 @@ def newyear_vs_christmas(features: DataFrame) -> DataFrame:
         features.filter(F.col("Month").isin(1, 12))
         .groupBy("Description", year_text(F.col("InvoiceMonth")).alias("Year"), "Month")
         .agg(_mean_sales("avg_monthly_sales"))
-        .orderBy("Description", "Year", "Month")
     )

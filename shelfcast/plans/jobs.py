@@ -7,6 +7,7 @@ executors recomputes only its own stage, and jobs can be rerun one by one.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,7 +24,7 @@ from shelfcast.operators import (
     stats,
 )
 from shelfcast.schema import TxColumns
-from shelfcast.sources import tables
+from shelfcast.sources import tables, transactions
 
 
 @dataclass(frozen=True)
@@ -49,11 +50,19 @@ def monthly_job(
     n: int | None = rollup.TOP_PRODUCTS,
     c: TxColumns = TxColumns(),
 ) -> dict[str, int]:
-    """Raw transactions to monthly sales of the best sellers."""
+    """Raw transactions to monthly sales of the best sellers.
+
+    Lines read with ``keep_unreadable`` that do not fit their columns become the stage
+    ``rejects`` and are counted there; the sales are those of all other lines.
+    """
+    counts = {}
+    if transactions.UNREADABLE in tx.columns:
+        counts["rejects"] = stages.write(transactions.rejects(tx), "rejects")
+        tx = transactions.readable(tx)
     sales = clean.clean_transactions(tx, c)
     monthly = rollup.monthly_sales(sales, n)
     keys = ["Description", "InvoiceMonth"]
-    return {"monthly_sales": stages.write(monthly, "monthly_sales", keys)}
+    return counts | {"monthly_sales": stages.write(monthly, "monthly_sales", keys)}
 
 
 def features_job(spark: SparkSession, stages: Stages, holiday_table: DataFrame) -> dict[str, int]:
@@ -97,7 +106,8 @@ def holiday_products_job(
     """Best sellers of holiday months, from uncleaned lines."""
     months = holidays.holiday_months(holidays.parse_calendar(holiday_table))
     products = holidays.holiday_products(clean.with_sales(tx, c), months)
-    return {"top_holiday_products": stages.write(products, "top_holiday_products")}
+    order = [products.total_sales.desc(), products.Description.asc()]
+    return {"top_holiday_products": stages.write(products, "top_holiday_products", order)}
 
 
 def seasonality_job(spark: SparkSession, stages: Stages) -> dict[str, int]:
@@ -105,8 +115,12 @@ def seasonality_job(spark: SparkSession, stages: Stages) -> dict[str, int]:
     quarterly = seasonality.quarterly_summary(table)
     seasonal = seasonality.newyear_vs_christmas(table)
     return {
-        "quarterly_summary": stages.write(quarterly, "quarterly_summary"),
-        "newyear_vs_christmas": stages.write(seasonal, "newyear_vs_christmas"),
+        "quarterly_summary": stages.write(
+            quarterly, "quarterly_summary", ["Description", "Quarter"]
+        ),
+        "newyear_vs_christmas": stages.write(
+            seasonal, "newyear_vs_christmas", ["Description", "Year", "Month"]
+        ),
     }
 
 
@@ -142,19 +156,32 @@ def correlation_job(spark: SparkSession, stages: Stages) -> None:
     tables.write_stage(matrix, stages.path("correlation_matrix"), "csv", ["col_a"], True)
 
 
-def report_tables(spark: SparkSession, stages: Stages) -> dict[str, DataFrame]:
-    """The tables behind the dashboard; a stage that was not run gives an empty table."""
+def report_tables(
+    spark: SparkSession,
+    stages: Stages,
+    products: list[str] | None = None,
+    first: date | None = None,
+    last: date | None = None,
+) -> dict[str, DataFrame]:
+    """The tables behind the dashboard; a stage that was not run gives an empty table.
+
+    ``products`` restricts the forecast explorer and the January / December view,
+    ``first`` and ``last`` the months of the explorer; None is no restriction.
+    """
 
     def load(name: str, table) -> DataFrame:
         if stages.fmt == "csv":
             return tables.tidy_header(tables.read_tolerant(spark, stages.path(name), table))
         return tables.read_or_empty(spark, stages.path(name), table)
 
+    def chosen(df: DataFrame) -> DataFrame:
+        return df if products is None else reports.for_products(df, products)
+
     predictions = load("predictions", schema.PREDICTIONS)
     decisions = load("predictions_inventory", schema.PREDICTIONS_INVENTORY)
     quarterly = load("quarterly_summary", schema.QUARTERLY_SUMMARY)
     seasonal = load("newyear_vs_christmas", schema.NEWYEAR_VS_CHRISTMAS)
-    products = load("top_holiday_products", schema.HOLIDAY_PRODUCTS)
+    sold = load("top_holiday_products", schema.HOLIDAY_PRODUCTS)
     impact = load("holiday_impact", schema.HOLIDAY_IMPACT)
     return {
         "regression_metrics": tables.read_metrics(
@@ -163,11 +190,11 @@ def report_tables(spark: SparkSession, stages: Stages) -> dict[str, DataFrame]:
         "inventory_metrics": tables.read_metrics(
             spark, stages.path("model_metrics_inventory"), schema.CLASSIFICATION_METRICS
         ),
-        "forecast_explorer": reports.forecast_explorer(predictions),
+        "forecast_explorer": reports.forecast_explorer(predictions, products, first, last),
         "product_mae": reports.product_mae(predictions),
-        "top_holiday_products": reports.top_holiday_products(products),
+        "top_holiday_products": reports.top_holiday_products(sold),
         "quarterly_heatmap": reports.quarterly_heatmap(quarterly),
-        "month_labels": reports.with_month_label(seasonal),
+        "month_labels": reports.with_month_label(chosen(seasonal)),
         "holiday_impact": reports.ranked(
             reports.numeric_only(impact, "avg_sales"), "avg_sales", "Name"
         ),
@@ -177,10 +204,20 @@ def report_tables(spark: SparkSession, stages: Stages) -> dict[str, DataFrame]:
     }
 
 
-def report_job(spark: SparkSession, stages: Stages) -> dict[str, int]:
-    """Write every report table below ``report/``."""
+def report_job(
+    spark: SparkSession,
+    stages: Stages,
+    products: list[str] | None = None,
+    first: date | None = None,
+    last: date | None = None,
+) -> dict[str, int]:
+    """Write every report table below ``report/``, empty ones too; returns their rows.
+
+    A report without rows has no usable input: its stage is missing or empty, or the
+    choice of products and months leaves nothing.
+    """
     return {
         name: stages.write(df, f"report/{name}")
-        for name, df in report_tables(spark, stages).items()
+        for name, df in report_tables(spark, stages, products, first, last).items()
         if name not in ("regression_metrics", "inventory_metrics")
     }

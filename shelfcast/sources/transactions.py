@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfcast import schema
 
+UNREADABLE = "_unreadable"
+
 
 def read_transactions(
     spark: SparkSession,
@@ -14,6 +17,7 @@ def read_transactions(
     table: T.StructType = schema.TRANSACTIONS,
     timestamp_format: str | None = None,
     fmt: str = "csv",
+    keep_unreadable: bool = False,
 ) -> DataFrame:
     """Scan with a declared schema: one pass, no inference job.
 
@@ -23,12 +27,18 @@ def read_transactions(
     In CSV, doubled quotes inside a quoted name are read as one quote, a header that
     differs from the declared columns is an error, and fields that do not fit their
     declared type become null: a line without a readable quantity, price or customer is
-    dropped by the cleaning step, one without a readable date by the monthly totals. A columnar file has types of its own.
+    dropped by the cleaning step, one without a readable date by the monthly totals.
+    ``keep_unreadable`` adds the column ``UNREADABLE`` with the raw text of such lines
+    (null on all others), for ``rejects`` and ``readable``. A columnar file has types of
+    its own.
     """
     if fmt != "csv":
         return spark.read.format(fmt).load(path)
+    if keep_unreadable:
+        table = T.StructType([*table.fields, T.StructField(UNREADABLE, T.StringType())])
     reader = (
         spark.read.schema(table)
+        .option("columnNameOfCorruptRecord", UNREADABLE)
         .option("header", True)
         .option("enforceSchema", False)
         .option("escape", '"')
@@ -36,3 +46,19 @@ def read_transactions(
     if timestamp_format:
         reader = reader.option("timestampFormat", timestamp_format)
     return reader.csv(path)
+
+
+def rejects(tx: DataFrame) -> DataFrame:
+    """Lines of which some field does not fit: their raw text, and what could be read."""
+    return tx.filter(F.col(UNREADABLE).isNotNull() & _all_fields(tx))
+
+
+def readable(tx: DataFrame) -> DataFrame:
+    """The lines of which every field fits."""
+    return tx.filter(F.col(UNREADABLE).isNull() & _all_fields(tx)).drop(UNREADABLE)
+
+
+def _all_fields(tx: DataFrame) -> Column:
+    """Always true, but names every column: the reader does not judge fields it need not read."""
+    fields = [F.col(f"`{name}`").cast("string") for name in tx.columns if name != UNREADABLE]
+    return F.coalesce(*fields, F.lit("")) >= ""
