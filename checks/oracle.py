@@ -7,6 +7,7 @@ entry are iterative (forests, k-means); their inputs and their metrics are cover
 from __future__ import annotations
 
 from checks.queries import CHOSEN_PRODUCTS, EXPLORED, SPOILT_EVERY, TOP_CUT
+from shelfcast.operators.clusters import CLUSTERS, TERMS_PER_CLUSTER
 from shelfcast.operators.encode import INVENTORY_INPUTS, REGRESSION_INPUTS
 from shelfcast.operators.rollup import TOP_PRODUCTS
 from shelfcast.operators.stats import CORRELATED
@@ -184,7 +185,15 @@ FROM """
 _LABELED = 'SELECT * EXCLUDE (month_start, cents) FROM labeled'
 
 
-def _split(piece: str, parts: list[tuple[str, float]]) -> str:
+_REGRESSION = [("train", 0.70), ("validation", 0.15), ("test", 0.15)]
+_INVENTORY = [("train", 0.80), ("test", 0.20)]
+
+
+def _split(
+    piece: str,
+    parts: list[tuple[str, float]],
+    columns: str = '"Description", "InvoiceMonth"',
+) -> str:
     *named, (last, _) = parts
     cases, bound = [], 0.0
     for name, share in named:
@@ -193,12 +202,18 @@ def _split(piece: str, parts: list[tuple[str, float]]) -> str:
     return _query(
         piece,
         f"""
-SELECT "Description", "InvoiceMonth", CASE {' '.join(cases)} ELSE '{last}' END AS split
+SELECT {columns}, CASE {' '.join(cases)} ELSE '{last}' END AS split
 FROM (SELECT *, CAST(CAST('0x' || substr(md5("Description" || '|' || "InvoiceMonth"), 1, 8) AS BIGINT)
                      AS DOUBLE) / 4294967296 AS position FROM {piece})""",
     )
 
 
+def _test_part(piece: str, parts: list[tuple[str, float]], body: str) -> str:
+    """``body`` over ``t``, the rows of the test part."""
+    return f"""WITH t AS (SELECT * FROM ({_split(piece, parts, '*')}) WHERE split = 'test')
+{body}"""
+
+
 def _vector(inputs: list[str]) -> str:
     columns = ", ".join(f'CAST("{name}" AS DOUBLE) AS f{i}' for i, name in enumerate(inputs))
     return _query(
@@ -348,10 +363,41 @@ AS "MonthLabel" FROM seasonal""",
         ),
         "feature_correlation": _correlations(6),
         "correlation_matrix": _correlation_matrix(),
-        "split_regression": _split(
-            "features", [("train", 0.70), ("validation", 0.15), ("test", 0.15)]
+        "split_regression": _split("features", _REGRESSION),
+        "split_inventory": _split("labeled", _INVENTORY),
+        "demand_forecast_rows": _test_part(
+            "features",
+            _REGRESSION,
+            'SELECT "Description", "InvoiceMonth", "TotalPrice", TRUE AS in_range FROM t',
+        ),
+        "stock_forecast_rows": _test_part(
+            "labeled",
+            _INVENTORY,
+            'SELECT "Description", "InvoiceMonth", stock_decision, TRUE AS is_known FROM t',
+        ),
+        "demand_metrics_agree": _test_part(
+            "features",
+            _REGRESSION,
+            "SELECT count(*) AS n_rows, TRUE AS rmse_agrees, TRUE AS mae_agrees, TRUE AS in_grid FROM t",
+        ),
+        "stock_metrics_agree": _test_part(
+            "labeled",
+            _INVENTORY,
+            "SELECT count(*) AS n_rows, TRUE AS accuracy_agrees, TRUE AS recall_agrees FROM t",
+        ),
+        "description_clusters_rows": _query(
+            "features", 'SELECT DISTINCT "Description", TRUE AS is_nearest FROM features'
+        ),
+        "tfidf_clusters_rows": _query(
+            "features", 'SELECT DISTINCT "Description", TRUE AS is_nearest FROM features'
+        ),
+        "cluster_terms_rank": _query(
+            "features",
+            f"""
+SELECT CAST(c AS INTEGER) AS "NLP_Category", CAST(p AS INTEGER) AS position, TRUE AS falls
+FROM range({CLUSTERS}) AS c(c), range(1, {TERMS_PER_CLUSTER + 1}) AS p(p)
+WHERE (SELECT count(*) FROM features) > 0""",
         ),
-        "split_inventory": _split("labeled", [("train", 0.80), ("test", 0.20)]),
         "product_index": _query("product_rank", "SELECT * FROM product_rank"),
         "label_index": _query(
             "labeled",

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from datetime import date
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -494,6 +494,116 @@ def stock_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return forest.stock_metrics(forest.stock_forecast(cut_lineage(_labeled(spark, folder))))
 
 
+# -- what any fit must satisfy -------------------------------------------------------
+# SQL cannot grow the trees; it can say which rows a fit must score, and that every
+# property computed from the fit must hold.
+
+
+def demand_forecast_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Scored test rows, and whether the prediction lies among the training sales.
+
+    A forest averages training labels, so no prediction can leave their range.
+    """
+    table = cut_lineage(_features(spark, folder))
+    train = split.split_by_key(table, split.REGRESSION_PARTS).filter("split = 'train'")
+    low, high = train.agg(F.min("TotalPrice"), F.max("TotalPrice")).first()
+    slack = 1e-9 * (abs(low) + abs(high))
+    rows = forest.demand_forecast(table).predictions
+    return _iso(
+        rows.select(
+            "Description",
+            "InvoiceMonth",
+            "TotalPrice",
+            F.col("prediction").between(low - slack, high + slack).alias("in_range"),
+        )
+    )
+
+
+def stock_forecast_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Scored test rows, and whether the predicted decision is one of those in the table."""
+    table = cut_lineage(_labeled(spark, folder))
+    known = [r.stock_decision for r in table.select("stock_decision").distinct().collect()]
+    rows = forest.stock_forecast(table).predictions
+    return _iso(
+        rows.select(
+            "Description",
+            "InvoiceMonth",
+            "stock_decision",
+            F.coalesce(F.col("predicted_label").isin(known), F.lit(False)).alias("is_known"),
+        )
+    )
+
+
+def demand_metrics_agree(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of a fit next to the same scores worked out from its stored predictions."""
+    found = forest.demand_forecast(cut_lineage(_features(spark, folder)))
+    found = forest.Forecast(cut_lineage(found.predictions), found.model)
+    said, best = forest.demand_metrics(found).first(), found.best_parameters
+    error = F.col("TotalPrice") - F.col("prediction")
+    in_grid = best["numTrees"] in forest.TREES and best["maxDepth"] in forest.DEPTHS
+    return found.predictions.agg(
+        F.count("*").alias("n_rows"),
+        (F.abs(F.sqrt(F.avg(error * error)) - said.RMSE) <= 0.0051).alias("rmse_agrees"),
+        (F.abs(F.avg(F.abs(error)) - said.MAE) <= 0.0051).alias("mae_agrees"),
+        F.lit(in_grid).alias("in_grid"),
+    )
+
+
+def stock_metrics_agree(spark: SparkSession, folder: str) -> DataFrame:
+    """Accuracy of a fit next to the share of right decisions among its stored predictions."""
+    found = forest.stock_forecast(cut_lineage(_labeled(spark, folder)))
+    found = forest.Forecast(cut_lineage(found.predictions), found.model)
+    said = forest.stock_metrics(found).first()
+    right = F.avg((F.col("stock_decision") == F.col("predicted_label")).cast("double"))
+    return found.predictions.agg(
+        F.count("*").alias("n_rows"),
+        (F.abs(right - said.accuracy) <= 0.000051).alias("accuracy_agrees"),
+        F.lit(said.weightedRecall == said.accuracy).alias("recall_agrees"),
+    )
+
+
+def _nearest(found: clusters.DescriptionClusters, vectors: DataFrame) -> DataFrame:
+    """``Description``, ``is_nearest``: no centre is nearer than that of the assigned cluster."""
+    centers = F.array(
+        *[F.array(*map(F.lit, map(float, c))) for c in found.model.clusterCenters()]
+    )  # as many numbers as clusters times terms
+    own = vector_to_array("features")
+
+    def apart(center):
+        gaps = F.zip_with(own, center, lambda a, b: (a - b) * (a - b))
+        return F.aggregate(gaps, F.lit(0.0), lambda s, x: s + x)
+
+    measured = vectors.select("Description", F.transform(centers, apart).alias("apart"))
+    assigned = F.get("apart", "NLP_Category")
+    return measured.join(found.assigned, "Description").select(
+        "Description", (assigned <= F.array_min("apart") + 1e-9).alias("is_nearest")
+    )
+
+
+def description_clusters_rows(spark: SparkSession, folder: str) -> DataFrame:
+    table = cut_lineage(_labeled(spark, folder))
+    found = clusters.count_clusters(table)
+    docs = text.tokens(text.descriptions(table))
+    return _nearest(found, text.count_vectors(docs, found.vocabulary, "filtered", "features"))
+
+
+def tfidf_clusters_rows(spark: SparkSession, folder: str) -> DataFrame:
+    table = cut_lineage(_labeled(spark, folder))
+    found = clusters.tfidf_clusters(table)
+    docs = cut_lineage(text.phrases(text.descriptions(table)))
+    vocab = [(row.term, row.idf) for row in text.phrase_vocabulary(docs).collect()]
+    return _nearest(found, text.tfidf_vectors(docs, vocab, "features"))
+
+
+def cluster_terms_rank(spark: SparkSession, folder: str) -> DataFrame:
+    """Places of the terms of each cluster, and whether weights fall from place to place."""
+    terms = cluster_terms(spark, folder)
+    above = F.lag("weight").over(Window.partitionBy("NLP_Category").orderBy("position"))
+    return terms.select(
+        "NLP_Category", "position", (F.coalesce(above, F.col("weight")) >= F.col("weight")).alias("falls")
+    )
+
+
 # -- scans, sinks, audit -------------------------------------------------------------
 
 
@@ -612,6 +722,13 @@ REGISTERED: dict[str, Query] = {
     "tolerant_scan": tolerant_scan,
     "metrics_document": metrics_document,
     "stage_audit": stage_audit,
+    "demand_forecast_rows": demand_forecast_rows,
+    "stock_forecast_rows": stock_forecast_rows,
+    "demand_metrics_agree": demand_metrics_agree,
+    "stock_metrics_agree": stock_metrics_agree,
+    "description_clusters_rows": description_clusters_rows,
+    "tfidf_clusters_rows": tfidf_clusters_rows,
+    "cluster_terms_rank": cluster_terms_rank,
     "demand_forecast": demand_forecast,
     "demand_metrics": demand_metrics,
     "stock_forecast": stock_forecast,
