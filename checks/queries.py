@@ -69,24 +69,26 @@ def _months(spark: SparkSession) -> DataFrame:
     return holidays.holiday_months(_calendar(spark))
 
 
-def _features(spark: SparkSession, folder: str) -> DataFrame:
-    monthly = rollup.monthly_sales(_clean(spark, folder))
+def _features(spark: SparkSession, folder: str, staged: bool = False) -> DataFrame:
+    """Features; ``staged`` for queries that filter products, so that lines are scanned once."""
+    totals = rollup.monthly_totals(_clean(spark, folder))
+    monthly = rollup.restrict_to_top(cut_lineage(totals) if staged else totals)
     return features.build_features(monthly, _months(spark))
 
 
-def _labeled(spark: SparkSession, folder: str) -> DataFrame:
-    return features.label_stock_decision(_features(spark, folder))
+def _labeled(spark: SparkSession, folder: str, staged: bool = False) -> DataFrame:
+    return features.label_stock_decision(_features(spark, folder, staged))
 
 
-def _quarterly(spark: SparkSession, folder: str) -> DataFrame:
-    return seasonality.quarterly_summary(_features(spark, folder))
+def _quarterly(spark: SparkSession, folder: str, staged: bool = False) -> DataFrame:
+    return seasonality.quarterly_summary(_features(spark, folder, staged))
 
 
-def _baseline(spark: SparkSession, folder: str) -> DataFrame:
+def _baseline(spark: SparkSession, folder: str, staged: bool = False) -> DataFrame:
     """Predictions that need no training: last month again, and the decision it implies."""
     last = F.col("prev_month_sales")
     mean = F.col("rolling_3m_avg")
-    return _labeled(spark, folder).select(
+    return _labeled(spark, folder, staged).select(
         "Description",
         "InvoiceMonth",
         "TotalPrice",
@@ -100,7 +102,7 @@ def _baseline(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
-    return text.descriptions(_labeled(spark, folder))
+    return text.descriptions(_labeled(spark, folder, staged=True))
 
 
 # -- transactions --------------------------------------------------------------------
@@ -300,7 +302,7 @@ def quarterly_heatmap(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def quarter_by_product(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.quarter_by_product(_quarterly(spark, folder), CHOSEN_PRODUCTS)
+    return reports.quarter_by_product(_quarterly(spark, folder, staged=True), CHOSEN_PRODUCTS)
 
 
 # -- splits, indexes, vectors --------------------------------------------------------
@@ -382,12 +384,14 @@ def class_by_match(spark: SparkSession, folder: str) -> DataFrame:
 def forecast_explorer(spark: SparkSession, folder: str) -> DataFrame:
     """Chosen products in a part of the months the predictions cover."""
     return _iso(
-        reports.forecast_explorer(_baseline(spark, folder), CHOSEN_PRODUCTS, *EXPLORED)
+        reports.forecast_explorer(
+            _baseline(spark, folder, staged=True), CHOSEN_PRODUCTS, *EXPLORED
+        )
     )
 
 
 def single_product(spark: SparkSession, folder: str) -> DataFrame:
-    return _iso(reports.for_product(_baseline(spark, folder), CHOSEN_PRODUCTS[0]))
+    return _iso(reports.for_product(_baseline(spark, folder, staged=True), CHOSEN_PRODUCTS[0]))
 
 
 def product_list(spark: SparkSession, folder: str) -> DataFrame:
@@ -438,7 +442,7 @@ def description_term_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def tfidf_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
-    vocab = text.phrase_vocabulary(text.phrases(_documents(spark, folder)))
+    vocab = text.phrase_vocabulary(cut_lineage(text.phrases(_documents(spark, folder))))
     return vocab.withColumn("idf", F.round("idf", 6))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 
 from shelfcast.operators import rollup
 from shelfcast.plans import jobs
+from shelfcast.session import scratch_tables
 from shelfcast.sources.holidays import read_holidays, uk_bank_holidays
 from shelfcast.sources.star import star_transactions
 from shelfcast.sources.transactions import read_transactions
@@ -80,7 +81,8 @@ def main() -> None:
         ),
     }
     for name in JOBS if args.job == "all" else [args.job]:
-        print(name, steps[name]() or "")
+        with scratch_tables(spark):
+            print(name, steps[name]() or "")
 
 
 if __name__ == "__main__":

@@ -36,16 +36,22 @@ def top_products(revenue: DataFrame, n: int = TOP_PRODUCTS) -> DataFrame:
 
 
 def monthly_sales(sales: DataFrame, n: int | None = TOP_PRODUCTS) -> DataFrame:
-    """Monthly totals of the ``n`` best-selling products; ``None`` keeps every product.
+    """Monthly totals of the ``n`` best-selling products; ``None`` keeps every product."""
+    return restrict_to_top(monthly_totals(sales), n)
+
+
+def restrict_to_top(totals: DataFrame, n: int | None = TOP_PRODUCTS) -> DataFrame:
+    """Those of the monthly totals that belong to the ``n`` best-selling products.
 
     Both the ranking and the result are derived from the same monthly totals, which
     Spark computes once and reads twice (the plan shows a reused exchange): the sales
     lines are scanned and shuffled a single time. That reuse needs both branches to
     stay identical, hence a null-safe inner join: a plain equality would push a
     null filter into one branch, and a semi-join would be pushed below the
-    aggregation. Unnamed products compete for a place in the ranking but have no series.
+    aggregation. Where a later step filters products, which would break it as well, pass
+    totals that are stored. Unnamed products compete for a place in the ranking but have
+    no series.
     """
-    totals = monthly_totals(sales)
     if n is None:
         return totals.filter(F.col("Description").isNotNull())
     ranked = (

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+_made: list[list[str]] = []  # paths handed out inside each open ``scratch_tables``
 
 
 @cache
@@ -34,8 +37,29 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """New, unused path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/shelfcast/{name}-{uuid.uuid4().hex}"
+    """New, unused path below the shared folder; ``scratch_tables`` removes what is there."""
+    path = f"{shared_folder(spark).rstrip('/')}/shelfcast/{name}-{uuid.uuid4().hex}"
+    for made in _made:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """Remove the scratch tables made inside when the block ends, whatever its outcome.
+
+    For whole jobs, whose results are written elsewhere: a table that leaves the block
+    and is read later must not rest on them.
+    """
+    made: list[str] = []
+    _made.append(made)
+    try:
+        yield
+    finally:
+        _made[:] = [other for other in _made if other is not made]
+        for name in made:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -30,6 +30,29 @@ def test_sales_lines_are_scanned_and_shuffled_once(spark):
     assert plan.count("l_returnflag") and plan.count("FileScan parquet [l_orderkey") == 1
 
 
+@pytest.mark.parametrize(
+    "name",
+    [
+        "single_product",
+        "forecast_explorer",
+        "quarter_by_product",
+        "description_tokens",
+        "description_vocabulary",
+        "tfidf_vocabulary",
+    ],
+)
+def test_queries_that_filter_products_rest_on_stored_totals(spark, name):
+    plan = plan_of(queries.REGISTERED[name](spark, SF), run=True)
+    assert "l_returnflag" not in plan and "shelfcast/table-" in plan
+
+
+@pytest.mark.parametrize(
+    "name", ["quarterly_heatmap", "heatmap_rows", "quarter_by_product", "month_labels"]
+)
+def test_reports_do_not_sort_their_input(spark, name):
+    assert "rangepartitioning" not in plan_of(queries.REGISTERED[name](spark, SF))
+
+
 @pytest.mark.parametrize("name", ["features", "holiday_fanout", "holiday_impact", "holiday_products"])
 def test_calendar_is_broadcast_from_its_size(spark, name):
     plan = plan_of(queries.REGISTERED[name](spark, SF))
@@ -68,9 +91,20 @@ ITERATIVE = {
     "tfidf_clusters",
     "cluster_terms",
 }
+COMPANIONS = {
+    "demand_forecast_rows",
+    "stock_forecast_rows",
+    "demand_metrics_agree",
+    "stock_metrics_agree",
+    "description_clusters_rows",
+    "tfidf_clusters_rows",
+    "cluster_terms_rank",
+}
 
 
-@pytest.mark.parametrize("name", sorted(set(queries.REGISTERED) - ITERATIVE - {"stage_audit"}))
+@pytest.mark.parametrize(
+    "name", sorted(set(queries.REGISTERED) - ITERATIVE - COMPANIONS - {"stage_audit"})
+)
 def test_no_query_pairs_everything_with_everything(spark, name):
     plan = plan_of(queries.REGISTERED[name](spark, SF))
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
@@ -205,3 +239,8 @@ def test_jobs_end_to_end(spark, tmp_path, fmt):
     assert report["quarterly_heatmap"].count() == 12
     assert report["regression_metrics"].first().RMSE > 0
     assert jobs.report_job(spark, stages)["quarterly_heatmap"] == 12
+    some = stages.read(spark, "predictions", schema.PREDICTIONS).first()
+    month = some.InvoiceMonth
+    chosen = jobs.report_tables(spark, stages, [some.Description], month, month)
+    assert [r.InvoiceMonth for r in chosen["forecast_explorer"].collect()] == [month]
+    assert {r.Description for r in chosen["month_labels"].collect()} <= {some.Description}

@@ -1,5 +1,6 @@
 """Where intermediate tables go."""
 
+import os
 from types import SimpleNamespace
 
 import pytest
@@ -39,6 +40,15 @@ def test_stored_tables_keep_rows_and_schema(spark):
     assert stored.exceptAll(df).count() == 0
 
 
+def test_scratch_tables_go_with_their_job(spark):
+    before = session.cut_lineage(spark.range(3))
+    with session.scratch_tables(spark):
+        inside = session.cut_lineage(spark.range(5))
+        (path,) = {name.rsplit("/", 1)[0] for name in inside.inputFiles()}
+        assert inside.count() == 5
+    assert not os.path.exists(path.removeprefix("file://")) and before.count() == 3
+
+
 def test_training_partitions_grow_with_rows_only():
     counts = [partitions_for(n) for n in (0, 1, 20_000, 40_000, 480_000, 10**7, 10**10)]
     assert counts == [1, 1, 4, 8, 96, 2_000, 2_000_000]

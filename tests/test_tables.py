@@ -8,9 +8,10 @@ from pyspark.sql import types as T
 
 from shelfcast import schema
 from shelfcast.operators import audit, clean, rollup
+from shelfcast.plans import jobs
 from shelfcast.sources import tables
 from shelfcast.sources.holidays import read_holidays
-from shelfcast.sources.transactions import read_transactions
+from shelfcast.sources.transactions import UNREADABLE, read_transactions, readable, rejects
 
 HEADER = "Invoice,StockCode,Description,Quantity,InvoiceDate,Price,Customer ID,Country\n"
 PAIR = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.DoubleType())])
@@ -32,6 +33,22 @@ def test_transaction_file(spark, tmp_path):
     ]
 
 
+def test_unreadable_lines_are_kept_apart_and_counted(spark, tmp_path):
+    (tmp_path / "tx.csv").write_text(
+        HEADER
+        + "1,A,MUG,2,2010-03-17 09:30:00,1.25,1,UK\n"
+        + "2,A,MUG,x,2010-03-17 09:30:00,1.25,1,UK\n"
+        + "3,A,MUG,1,12/1/2009 7:45,2.00,1,UK\n"
+        + "4,A,MUG,1,2010-03-17 09:30:00,1.25,,UK\n"
+    )
+    tx = read_transactions(spark, str(tmp_path / "tx.csv"), keep_unreadable=True)
+    assert [r.Invoice for r in rejects(tx).select("Invoice").collect()] == ["2", "3"]
+    assert rejects(tx).filter("Invoice = '2'").first()[UNREADABLE].startswith("2,A,MUG,x,")
+    assert readable(tx).select("Description").count() == 2  # a missing customer is no error
+    stages = jobs.Stages(str(tmp_path / "out"))
+    assert jobs.monthly_job(tx, stages) == {"rejects": 2, "monthly_sales": 1}
+
+
 def test_columnar_transactions_push_the_cleaning_filters(spark, tmp_path):
     (tmp_path / "tx.csv").write_text(HEADER + "1,A,MUG,2,2010-03-17 09:30:00,1.25,13085.0,UK\n")
     read_transactions(spark, str(tmp_path / "tx.csv")).write.parquet(str(tmp_path / "tx"))
