@@ -97,8 +97,6 @@ NEWYEAR_VS_CHRISTMAS = _struct(
     ("avg_monthly_sales", _DOUBLE),
 )
 
-DESCRIPTION_CLUSTERS = _struct(("Description", _TEXT), ("NLP_Category", _INT))
-
 REGRESSION_METRICS = T.StructType(
     [
         T.StructField("RMSE", _DOUBLE),
