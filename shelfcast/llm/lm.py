@@ -1,19 +1,24 @@
 """Language-model scores from a log-bilinear model trained with noise-contrastive estimation.
 
-The model predicts one of ``CLASSES`` from the two tokens before it: the commonest words,
-the end of a text, or "some other word". Its context vector is the sum of the two words'
-vectors, each scaled per position, and its score the inner product with a word's vector
-plus a bias. "Some other word" is shared out by smoothed counts, so that the log-probability
-of a text is normalised over all words.
+The model predicts one of its classes from the two tokens before it. Classes are the end of a
+text, every word that the training texts hold ``LEAST`` times, and buckets that rarer words
+are hashed to, about ``BUCKET_WORDS`` distinct ones each: their number grows with the corpus.
+The context vector is the sum of the two words' vectors, each scaled per position. Classes by
+frequency are cut into groups of about the square root of their number; a probability is that
+of the group, a softmax over groups, times that within the group, a softmax over its members,
+so both are normalised exactly for every context. A bucket is shared out by smoothed counts,
+so that the log-probability of a text is normalised over all words.
 
 Training reads every training document: each task fits the shared starting point on its own
-texts, the results are averaged by their number of tokens, and that repeats. Word counts are
-exact. Words beyond a bounded table of common ones meet their counts in a join.
+texts, the results are averaged, every class by how often it stood in the task, and that
+repeats. Word counts are exact. Words beyond a bounded table of common ones and the words with
+a class meet their counts in a join.
 """
 
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -26,46 +31,67 @@ from pyspark.sql import functions as F
 from shelfcast.llm.common import ship, stored, word_bytes
 
 END = b""  # the end token; no word is empty
-CLASSES = 256  # class 0: end of text (and what stands before its start), 1: any other word
+LEAST = 10  # times in the training texts from which a word is a class of its own
+BUCKET_WORDS = 64  # distinct rarer words of a bucket, about
+FLAT = 256  # classes up to which one group holds all
 DIMENSIONS = 16
 ROUNDS = 2
 SEED = 4
-COMMON_WORDS = 200_000  # rows sent to every task at most, each of
-COMMON_BYTES = 64  # bytes at most; other words are joined
+COMMON_WORDS = 200_000  # rows sent to every task at most beside the words with a class, each of
+COMMON_BYTES = 64  # bytes at most; other words are joined, and share the buckets
 SMOOTHING = 0.1
 NOISE = 10  # noise samples that a data sample is told from
-SHARED = 64  # noise words drawn for a batch, each counted NOISE / SHARED times
+SHARED = 64  # noise groups drawn for a batch, each counted NOISE / SHARED times
+OWN = 4  # noise words drawn for a token within its word's group
 BATCH = 16_384  # tokens of a step
 RATE = 0.1
 STEADY = 1e-8  # squared gradients that Adagrad starts from
-CHUNK = 1 << 20  # tokens whose contexts are counted together
+CHUNK = 1 << 20  # tokens whose contexts are fitted together
+SCORED = 1 << 17  # tokens that are scored together
+ROWS = 1 << 12  # contexts of a matrix product
 _FLUSH = 500_000  # distinct words held in a task before they are sent on
 
 
 @dataclass
 class LogBilinear:
-    """``score(w | a, b) = (near * vectors[b] + far * vectors[a]) . outputs[w] + bias[w]``."""
+    """``score(w | a, b) = (near * vectors[b] + far * vectors[a]) . outputs[w] + bias[w]``.
+
+    ``heads`` and ``lean`` are the outputs and biases of the groups; class ``w`` is in group
+    ``w // width``.
+    """
 
     vectors: np.ndarray
     outputs: np.ndarray
     near: np.ndarray
     far: np.ndarray
     bias: np.ndarray
+    heads: np.ndarray
+    lean: np.ndarray
 
     @classmethod
     def start(cls, unigram: np.ndarray, dimensions: int = DIMENSIONS, seed: int = SEED):
         draw = np.random.default_rng(seed)
         shape = (len(unigram), dimensions)
+        group = np.add.reduceat(unigram, np.arange(0, len(unigram), width_of(len(unigram))))
+        own = np.repeat(group, width_of(len(unigram)))[: len(unigram)]
         return cls(
             draw.normal(0, 0.3, shape).astype(np.float32),
             draw.normal(0, 0.01, shape).astype(np.float32),
             np.ones(dimensions, np.float32),
             np.full(dimensions, 0.5, np.float32),
-            np.log(unigram).astype(np.float32),
+            np.log(unigram / own).astype(np.float32),
+            np.zeros((len(group), dimensions), np.float32),
+            np.log(group).astype(np.float32),
         )
 
+    @property
+    def width(self) -> int:
+        return width_of(len(self.bias))
+
     def arrays(self) -> list[np.ndarray]:
-        return [self.vectors, self.outputs, self.near, self.far, self.bias]
+        return [
+            self.vectors, self.outputs, self.near, self.far, self.bias, self.heads, self.lean
+        ]
 
     def flat(self) -> np.ndarray:
         return np.concatenate([a.ravel() for a in self.arrays()])
@@ -77,19 +103,85 @@ class LogBilinear:
             at += a.size
         return LogBilinear(*parts)
 
+    def rows(self) -> np.ndarray:
+        """The model as rows: one a class, then one a group, then that of the two scales."""
+        n, groups, d = len(self.bias), len(self.lean), len(self.near)
+        out = np.zeros((n + groups + 1, 2 * d + 1), np.float32)
+        out[:n] = np.hstack([self.vectors, self.outputs, self.bias[:, None]])
+        out[n:-1, : d + 1] = np.hstack([self.heads, self.lean[:, None]])
+        out[-1, : 2 * d] = np.concatenate([self.near, self.far])
+        return out
+
+    def with_rows(self, at: np.ndarray, values: np.ndarray) -> LogBilinear:
+        """The model with the rows ``at`` replaced."""
+        n, d = len(self.bias), len(self.near)
+        out = self.rows()
+        out[at] = values
+        return LogBilinear(
+            out[:n, :d].copy(),
+            out[:n, d : 2 * d].copy(),
+            out[-1, :d].copy(),
+            out[-1, d : 2 * d].copy(),
+            out[:n, 2 * d].copy(),
+            out[n:-1, :d].copy(),
+            out[n:-1, d].copy(),
+        )
+
     def context(self, far: np.ndarray, near: np.ndarray) -> np.ndarray:
         return self.vectors[near] * self.near + self.vectors[far] * self.far
 
+    def log10(self, far: np.ndarray, near: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """log10 P(word | far, near): normalised once for each distinct context and group."""
+        n, width = len(self.bias), self.width
+        pair, of = np.unique(far * n + near, return_inverse=True)
+        hidden = self.context(pair // n, pair % n)
+        group = word // width
+        out = np.empty(len(word))
+        by = np.argsort(of, kind="stable")
+        ends = np.searchsorted(of[by], np.arange(0, len(pair) + ROWS, ROWS))
+        for first, lo, hi in zip(range(0, len(pair), ROWS), ends, ends[1:]):
+            scores = hidden[first : first + ROWS] @ self.heads.T + self.lean
+            scores -= _log_sum(scores)
+            mine = by[lo:hi]
+            out[mine] = scores[of[mine] - first, group[mine]]
+        by = np.argsort(group, kind="stable")
+        ends = np.searchsorted(group[by], np.arange(len(self.lean) + 1))
+        for g, (lo, hi) in enumerate(zip(ends, ends[1:])):
+            outputs, bias = (a[g * width : (g + 1) * width] for a in (self.outputs, self.bias))
+            asked, place = np.unique(of[by[lo:hi]], return_inverse=True)
+            order = lo + np.argsort(place, kind="stable")
+            place = np.sort(place)
+            for first in range(0, len(asked), ROWS):
+                scores = hidden[asked[first : first + ROWS]] @ outputs.T + bias
+                scores -= _log_sum(scores)
+                a, b = np.searchsorted(place, [first, first + ROWS])
+                mine = by[order[a:b]]
+                out[mine] += scores[place[a:b] - first, word[mine] - g * width]
+        return out / math.log(10)
+
     def log10_table(self) -> np.ndarray:
-        """log10 P(w | a, b) at [a * classes + b, w], by batched matrix products."""
+        """log10 P(w | a, b) at [a * classes + b, w], for few classes."""
         n = len(self.bias)
-        table = np.empty((n * n, n), np.float32)
-        for a in range(n):
-            scores = self.context(np.full(n, a), np.arange(n)) @ self.outputs.T + self.bias
-            top = scores.max(axis=1, keepdims=True)
-            norm = np.log(np.exp(scores - top).sum(axis=1, keepdims=True)) + top
-            table[a * n : (a + 1) * n] = (scores - norm) / math.log(10)
-        return table
+        far, near, word = (x.ravel() for x in np.indices((n, n, n)))
+        return self.log10(far, near, word).reshape(n * n, n)
+
+
+def width_of(classes: int) -> int:
+    """Classes of a group."""
+    return classes if classes <= FLAT else math.isqrt(classes - 1) + 1
+
+
+def _log_sum(scores: np.ndarray) -> np.ndarray:
+    top = scores.max(axis=1, keepdims=True)
+    return np.log(np.exp(scores - top).sum(axis=1, keepdims=True)) + top
+
+
+def _summed(index: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct places and the sums of their values."""
+    order = np.argsort(index, kind="stable")
+    held = index[order]
+    starts = np.flatnonzero(np.concatenate([[True], held[1:] != held[:-1]]))
+    return held[starts], np.add.reduceat(values[order], starts, axis=0)
 
 
 def fit_nce(
@@ -99,59 +191,92 @@ def fit_nce(
     seed: int,
     rate: float = RATE,
     squares: list[np.ndarray] | None = None,
+) -> LogBilinear:
+    """``fit_trigrams`` on codes ``(a * classes + b) * classes + w``, for few classes."""
+    n = len(unigram)
+    parts = (codes // (n * n), codes // n % n, codes % n)
+    return fit_trigrams(model, *parts, unigram, seed, rate, squares)
+
+
+def fit_trigrams(
+    model: LogBilinear,
+    fars: np.ndarray,
+    nears: np.ndarray,
+    words: np.ndarray,
+    unigram: np.ndarray,
+    seed: int,
+    rate: float = RATE,
+    squares: list[np.ndarray] | None = None,
 ) -> LogBilinear:
     """One pass of noise-contrastive estimation over trigrams, with Adagrad steps.
 
-    ``codes`` are ``(a * classes + b) * classes + w``, one for each token. A batch shares its
-    noise words, drawn from ``unigram``, so that scores and gradients are matrix products;
-    equal trigrams of a batch are one row. ``squares`` carries the step sizes on.
+    Groups are told from noise groups that a batch shares, a word from noise words of its own
+    group; both are drawn from ``unigram``. A step touches the classes of its batch only.
+    ``squares`` carries the step sizes on.
     """
-    classes = len(unigram)
+    width = model.width
     draw = np.random.default_rng(seed)
-    vectors, outputs, near, far, bias = (a.copy() for a in model.arrays())
+    model = LogBilinear(*(a.copy() for a in model.arrays()))
+    vectors, outputs, near, far, bias, heads, lean = model.arrays()
     if squares is None:
-        squares = [np.full_like(a, STEADY) for a in (vectors, outputs, near, far, bias)]
-    shift = np.log(NOISE * unigram).astype(np.float32)
-    order = draw.permutation(codes)
-
-    def step(values, slot, gradient):
+        squares = [np.full_like(a, STEADY) for a in model.arrays()]
+    upto = np.concatenate([[0.0], np.cumsum(unigram)])
+    edges = np.minimum(np.arange(0, len(lean) + 1) * width, len(unigram))
+    group_share = np.diff(upto[edges])
+    group_share = group_share / group_share.sum()
+    group_shift = np.log(NOISE * group_share).astype(np.float32)
+    shift = np.log(OWN * unigram / np.repeat(group_share, width)[: len(unigram)])
+    shift = shift.astype(np.float32)
+    order = draw.permutation(len(words))
+
+    def step(values, slot, index, gradient):
+        index, total = _summed(index, gradient.astype(np.float32))
+        squares[slot][index] += total * total
+        values[index] -= rate * total / np.sqrt(squares[slot][index])
+
+    def step_all(values, slot, gradient):
         squares[slot] += gradient * gradient
         values -= rate * gradient / np.sqrt(squares[slot])
 
-    def rows(index, values):
-        return np.stack([np.bincount(index, v, classes) for v in values.T], axis=1)
-
     for i in range(0, len(order), BATCH):
-        code, times = np.unique(order[i : i + BATCH], return_counts=True)
-        weight = (times / times.sum()).astype(np.float32)
-        word, b, a = code % classes, code // classes % classes, code // (classes * classes)
-        noise = draw.choice(classes, SHARED, p=unigram)
-        hidden = vectors[b] * near + vectors[a] * far
-        true = (hidden * outputs[word]).sum(axis=1) + bias[word] - shift[word]
-        fake = hidden @ outputs[noise].T + bias[noise] - shift[noise]
+        mine = order[i : i + BATCH]
+        word, b, a = words[mine], nears[mine], fars[mine]
+        weight = np.float32(1 / len(mine))
+        group = word // width
+        at_b, at_a = vectors[b], vectors[a]
+        hidden = at_b * near + at_a * far
+        by_hidden = np.zeros_like(hidden)
+        if len(lean) > 1:
+            noise = draw.choice(len(lean), SHARED, p=group_share)
+            true = (hidden * heads[group]).sum(axis=1) + lean[group] - group_shift[group]
+            fake = hidden @ heads[noise].T + lean[noise] - group_shift[noise]
+            pull = -weight / (1 + np.exp(np.clip(true, -30, 30)))
+            push = weight * NOISE / SHARED / (1 + np.exp(np.clip(-fake, -30, 30)))
+            by_hidden += pull[:, None] * heads[group] + push @ heads[noise]
+            places = np.concatenate([group, noise])
+            step(heads, 5, places, np.concatenate([pull[:, None] * hidden, push.T @ hidden]))
+            step(lean, 6, places, np.concatenate([pull, push.sum(axis=0)]))
+        low, high = upto[edges[group]][:, None], upto[edges[group + 1]][:, None]
+        noise = np.searchsorted(upto, low + draw.random((len(mine), OWN)) * (high - low), "right")
+        noise = np.clip(noise - 1, edges[group][:, None], edges[group + 1][:, None] - 1)
+        at_word, at_noise = outputs[word], outputs[noise]
+        true = (hidden * at_word).sum(axis=1) + bias[word] - shift[word]
+        fake = np.einsum("nd,nkd->nk", hidden, at_noise) + bias[noise] - shift[noise]
         pull = -weight / (1 + np.exp(np.clip(true, -30, 30)))
-        push = (weight * NOISE / SHARED)[:, None] / (1 + np.exp(np.clip(-fake, -30, 30)))
-        by_hidden = pull[:, None] * outputs[word] + push @ outputs[noise]
-        by_output = rows(word, pull[:, None] * hidden) + rows(noise, push.T @ hidden)
-        by_bias = np.bincount(word, pull, classes) + np.bincount(noise, push.sum(0), classes)
-        by_vector = rows(b, by_hidden * near) + rows(a, by_hidden * far)
-        by_near = (by_hidden * vectors[b]).sum(axis=0)
-        by_far = (by_hidden * vectors[a]).sum(axis=0)
-        for slot, (values, gradient) in enumerate(
-            (
-                (vectors, by_vector),
-                (outputs, by_output),
-                (near, by_near),
-                (far, by_far),
-                (bias, by_bias),
-            )
-        ):
-            step(values, slot, gradient.astype(np.float32))
-    return LogBilinear(vectors, outputs, near, far, bias)
-
-
-def _contexts(ids: np.ndarray, ends: np.ndarray, classes: int) -> np.ndarray:
-    """Codes of the trigrams of texts laid end to end; ``ends`` are the places of class 0."""
+        push = weight / (1 + np.exp(np.clip(-fake, -30, 30)))
+        by_hidden += pull[:, None] * at_word + np.einsum("nk,nkd->nd", push, at_noise)
+        by_noise = (push[:, :, None] * hidden[:, None, :]).reshape(-1, hidden.shape[1])
+        places = np.concatenate([word, noise.ravel()])
+        step(outputs, 1, places, np.concatenate([pull[:, None] * hidden, by_noise]))
+        step(bias, 4, places, np.concatenate([pull, push.ravel()]))
+        step(vectors, 0, np.concatenate([b, a]), np.concatenate([by_hidden * near, by_hidden * far]))
+        step_all(near, 2, (by_hidden * at_b).sum(axis=0))
+        step_all(far, 3, (by_hidden * at_a).sum(axis=0))
+    return model
+
+
+def _before(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The classes two and one before, in texts laid end to end; ``ends`` are the places of class 0."""
     n = len(ids)
     back = np.zeros(n + 2, np.int64)
     back[2:] = ids
@@ -161,6 +286,12 @@ def _contexts(ids: np.ndarray, ends: np.ndarray, classes: int) -> np.ndarray:
     far[starts] = 0
     second = starts + 1
     far[second[second < n]] = 0
+    return far, near
+
+
+def _contexts(ids: np.ndarray, ends: np.ndarray, classes: int) -> np.ndarray:
+    """Codes of the trigrams of texts laid end to end, for few classes."""
+    far, near = _before(ids, ends)
     return (far * classes + near) * classes + ids
 
 
@@ -217,139 +348,206 @@ def held_out(id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id).cast("string")) % 10 == 0, F.lit(False))
 
 
-def _local_fit(shared, model: LogBilinear, unigram: np.ndarray, round_: int):
-    classes = len(unigram)
-
+def _local_fit(shared, round_: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = shared.value
-        own, tokens, ids, ends = model, 0, [], []
-        squares = [np.full_like(a, STEADY) for a in model.arrays()]
+        ids_of, first, buckets, unigram, start = shared.value
+        own, ids, ends = start, [], []
+        squares = [np.full_like(a, STEADY) for a in start.arrays()]
+        seen = np.zeros(len(unigram), np.int64)
 
         def learn(own):
             flat = np.fromiter(ids, np.int64, len(ids))
-            codes = _contexts(flat, np.array(ends, np.int64), classes)
-            return fit_nce(own, codes, unigram, SEED + round_, RATE / (1 + round_), squares)
+            far, near = _before(flat, np.array(ends, np.int64))
+            np.add(seen, np.bincount(flat, minlength=len(seen)), out=seen)
+            rate = RATE / (1 + round_)
+            return fit_trigrams(own, far, near, flat, unigram, SEED + round_, rate, squares)
 
         for batch in batches:
             for text in batch.column("text").to_pylist():
-                ids.extend(ids_of.get(w, 1) for w in word_bytes(text))
+                for w in word_bytes(text):
+                    k = ids_of.get(w)
+                    ids.append(first + zlib.crc32(w) % buckets if k is None else k)
                 ids.append(0)
                 ends.append(len(ids) - 1)
                 if len(ids) >= CHUNK:
-                    own, tokens = learn(own), tokens + len(ids)
+                    own = learn(own)
                     ids, ends = [], []
         if ids:
-            own, tokens = learn(own), tokens + len(ids)
+            own = learn(own)
+        tokens = int(seen.sum())
         if tokens:
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.arange(len(own.flat())), pa.int32()),
-                    pa.array(own.flat().astype(np.float64) * tokens, pa.float64()),
-                    pa.array(np.full(len(own.flat()), tokens), pa.int64()),
-                ],
-                ["at", "value", "tokens"],
-            )
+            rows = own.rows()
+            times = np.full(len(rows), tokens, np.int64)
+            times[: len(seen)] = seen
+            at = np.flatnonzero(times)
+            for i in range(0, len(at), 4096):
+                yield _row_batch(at[i : i + 4096], rows[at[i : i + 4096]], times[at[i : i + 4096]])
 
     return run
 
 
+def _row_batch(at, rows, times) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(at, pa.int32()),
+            pa.array([r.tobytes() for r in np.asarray(rows, np.float32)], pa.binary()),
+            pa.array(times, pa.int64()),
+        ],
+        ["at", "row", "times"],
+    )
+
+
+def _matrix(column) -> np.ndarray:
+    held = column.to_pylist()
+    return np.frombuffer(b"".join(held), np.float32).reshape(len(held), -1)
+
+
+def _mean_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Weighted means of rows that arrive sorted by ``at``; holds back the last one."""
+    at, total, times = np.empty(0, np.int64), None, np.empty(0, np.int64)
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        more = batch.column("times").to_numpy()
+        rows = _matrix(batch.column("row")).astype(np.float64) * more[:, None]
+        places = np.concatenate([at, batch.column("at").to_numpy()])
+        rows = rows if total is None else np.concatenate([total, rows])
+        starts = np.flatnonzero(np.concatenate([[True], places[1:] != places[:-1]]))
+        total = np.add.reduceat(rows, starts, axis=0)
+        times = np.add.reduceat(np.concatenate([times, more]), starts)
+        at = places[starts]
+        if len(at) > 1:
+            yield _row_batch(at[:-1], total[:-1] / times[:-1, None], times[:-1])
+            at, total, times = at[-1:], total[-1:], times[-1:]
+    if len(at):
+        yield _row_batch(at, total / times[:, None], times)
+
+
 @dataclass
 class Scorer:
-    """All that scoring needs but the counts of words outside ``common``."""
+    """All that scoring needs but the counts of words outside ``common`` and ``classes``.
+
+    ``classes`` holds class and count of the end and of every word with a class of its own;
+    a bucket ``k`` is class ``len(classes) + k``.
+    """
 
     model: LogBilinear
-    classes: dict[bytes, int]
+    classes: dict[bytes, tuple[int, int]]
     common: list[tuple[bytes, int]]
     total: int
     distinct: int
-    rare_total: int
-    rare_distinct: int
+    rare_total: np.ndarray
+    rare_distinct: np.ndarray
+
+
+def own_class():
+    """A word of ``word, n`` is a class of its own."""
+    short = F.octet_length("word").between(1, COMMON_BYTES)
+    return short & (F.col("n") >= LEAST)
 
 
-def train(training: DataFrame, counts: DataFrame, classes: int = CLASSES, rounds: int = ROUNDS):
+def train(training: DataFrame, counts: DataFrame, rounds: int = ROUNDS):
     """``Scorer`` learnt from all of ``training`` (column ``text``); ``counts`` are its words."""
     spark = training.sparkSession
     ship(spark)
-    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    common = common_words(counts)
-    top = [w for w, _ in common if w != END][: classes - 2]
-    number = {END: 0} | {w: i + 2 for i, w in enumerate(top)}
-    known = dict(common)
-    seen = np.zeros(len(number) + 1)
-    for word, k in number.items():
-        seen[k] = known.get(word, 0)
-    if END not in known and total:
-        seen[0] = counts.filter(F.col("word") == F.lit(END)).first().n
-    rare_total = int(total - seen.sum())
-    rare_distinct = int(distinct - (seen > 0).sum())
-    seen[1] = rare_total
+    total, distinct, ends = counts.agg(
+        F.coalesce(F.sum("n"), F.lit(0)),
+        F.count("*"),
+        F.coalesce(F.sum(F.when(F.octet_length("word") == 0, F.col("n"))), F.lit(0)),
+    ).first()
+    # grows with the corpus, as the model does: one row a class
+    top = counts.filter(own_class()).orderBy(F.desc("n"), "word").toArrow()
+    number = {END: (0, int(ends))}
+    for i, (w, n) in enumerate(zip(top["word"].to_pylist(), top["n"].to_pylist(), strict=True)):
+        number[w] = (i + 1, n)
+    rare = counts.filter(~own_class() & (F.octet_length("word") > 0))
+    buckets = max(1, -(-(int(distinct) - len(number) + (not ends)) // BUCKET_WORDS))
+    rare_total, rare_distinct = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
+    sums = (
+        rare.groupBy((F.crc32("word") % buckets).cast("int").alias("k"))
+        .agg(F.sum("n").alias("n"), F.count("*").alias("words"))
+        .toArrow()
+    )
+    rare_total[sums["k"].to_numpy()] = sums["n"].to_numpy()
+    rare_distinct[sums["k"].to_numpy()] = sums["words"].to_numpy()
+    seen = np.concatenate([[n for _, n in number.values()], rare_total]).astype(np.float64)
     unigram = (seen + 1.0) / (seen + 1.0).sum()
     model = LogBilinear.start(unigram)
-    shared = spark.sparkContext.broadcast({w: k for w, k in number.items() if w != END})
+    ids = {w: k for w, (k, _) in number.items()}
     for round_ in range(rounds if total else 0):
-        fitted = training.select("text").mapInArrow(
-            _local_fit(shared, model, unigram, round_), "at int, value double, tokens bigint"
-        )
-        mean = fitted.groupBy("at").agg((F.sum("value") / F.sum("tokens")).alias("mean"))
-        rows = sorted((r.at, r.mean) for r in mean.collect())  # as many as the model has numbers
-        model = model.unflat(np.array([m for _, m in rows]))
+        shared = spark.sparkContext.broadcast((ids, len(number), buckets, unigram, model))
+        schema = "at int, row binary, times bigint"
+        fitted = training.select("text").mapInArrow(_local_fit(shared, round_), schema)
+        mean = (
+            fitted.repartition("at").sortWithinPartitions("at").mapInArrow(_mean_rows, schema)
+        ).toArrow()  # a row a class at most
+        model = model.with_rows(mean["at"].to_numpy(), _matrix(mean["row"]))
+        shared.unpersist()
+    common = common_words(counts)
     return Scorer(model, number, common, int(total), int(distinct), rare_total, rare_distinct)
 
 
 def _scored(shared, extra: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, entry = shared.value
-        classes = len(model.bias)
-        table = model.log10_table().ravel()
-        weight = np.array([math.log10(n + SMOOTHING) for _, (_, n) in entry.items()] + [0.0])
-        number = np.array([k for k, _ in entry.values()] + [1], np.int64)
+        model, entry, first, rare_total, rare_distinct = shared.value
+        weight = np.array([math.log10(n + SMOOTHING) for _, n in entry.values()] + [0.0])
+        number = [k for k, _ in entry.values()] + [-1]
         known = np.array([n > 0 for _, n in entry.values()] + [False])
         place = {w: i for i, w in enumerate(entry)}
-        tail = len(place)
-        end = place[END]
-        for batch in batches:
-            out = [[] for _ in range(6)]
-            for text in batch.column("text").to_pylist():
-                found = word_bytes(text)
-                at = np.fromiter(
-                    (place.get(w, tail) for w in found), np.int64, len(found)
-                )
-                at = np.append(at, end)
-                ids = number[at]
-                codes = _contexts(ids, np.array([len(ids) - 1]), classes)
-                plain = weight[at]
-                rare = ids == 1
-                missing = np.flatnonzero(at == tail)
-                unseen = Counter(found[i] for i in missing)
-                for column, value in zip(
-                    out,
-                    (
-                        len(at),
-                        int(known[at].sum()),
-                        float(plain.sum()),
-                        float(table[codes].sum(dtype=np.float64) + plain[rare].sum()),
-                        int(rare.sum()),
-                        list(unseen.items()),
-                    ),
-                    strict=True,
-                ):
-                    column.append(value)
-            pairs = pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())]))
-            yield pa.RecordBatch.from_arrays(
+        tail, end, buckets = len(place), place[END], len(rare_total)
+        # a bucket is shared out among its words and one that stands for all unseen ones
+        share = np.log10(rare_total + SMOOTHING * (rare_distinct + 1))
+        pairs = pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())]))
+
+        def scored(held, at, ids, ends, unseen):
+            at, ids, ends = (np.array(x, np.int64) for x in (at, ids, ends))
+            far, near = _before(ids, ends)
+            plain = weight[at]
+            rare = ids >= first
+            fancy = model.log10(far, near, ids)
+            fancy[rare] += plain[rare] - share[ids[rare] - first]
+            starts = np.concatenate([[0], ends[:-1] + 1])
+            return pa.RecordBatch.from_arrays(
                 [
-                    *(batch.column(c) for c in extra),
-                    pa.array(out[0], pa.int64()),
-                    pa.array(out[1], pa.int64()),
-                    pa.array(out[2], pa.float64()),
-                    pa.array(out[3], pa.float64()),
-                    pa.array(out[4], pa.int64()),
+                    *(pa.concat_arrays([h.field(i) for h in held]) for i in range(len(extra))),
+                    pa.array(np.diff(np.concatenate([[-1], ends])), pa.int64()),
+                    pa.array(np.add.reduceat(known[at].astype(np.int64), starts), pa.int64()),
+                    pa.array(np.add.reduceat(plain, starts), pa.float64()),
+                    pa.array(np.add.reduceat(fancy, starts), pa.float64()),
                     pa.array(
-                        [[{"word": w, "times": t} for w, t in x] for x in out[5]], pairs
+                        [[{"word": w, "times": t} for w, t in x.items()] for x in unseen], pairs
                     ),
                 ],
-                [*extra, "n_tokens", "n_known", "plain", "fancy", "n_rare", "tail"],
+                [*extra, "n_tokens", "n_known", "plain", "fancy", "tail"],
             )
 
+        held, at, ids, ends, unseen = [], [], [], [], []
+        for batch in batches:
+            fields = pa.StructArray.from_arrays([batch.column(c) for c in extra], extra)
+            begun = 0
+            for row, text in enumerate(batch.column("text").to_pylist()):
+                missing = Counter()
+                for w in word_bytes(text):
+                    i = place.get(w, tail)
+                    k = number[i]
+                    if i == tail:
+                        missing[w] += 1
+                    at.append(i)
+                    ids.append(first + zlib.crc32(w) % buckets if k < 0 else k)
+                at.append(end)
+                ids.append(0)
+                ends.append(len(at) - 1)
+                unseen.append(missing)
+                if len(at) >= SCORED:
+                    held.append(fields.slice(begun, row + 1 - begun))
+                    yield scored(held, at, ids, ends, unseen)
+                    held, at, ids, ends, unseen = [], [], [], [], []
+                    begun = row + 1
+            if begun < batch.num_rows:
+                held.append(fields.slice(begun))
+        if ends:
+            yield scored(held, at, ids, ends, unseen)
+
     return run
 
 
@@ -362,16 +560,15 @@ def score(docs: DataFrame, scorer: Scorer, counts: DataFrame) -> DataFrame:
     the smoothing alone.
     """
     spark = docs.sparkSession
-    entry = {w: (scorer.classes.get(w, 1), n) for w, n in scorer.common}
-    entry.setdefault(END, (0, 0))
-    if END not in dict(scorer.common) and scorer.total:
-        entry[END] = (0, counts.filter(F.col("word") == F.lit(END)).first().n)
-    shared = spark.sparkContext.broadcast((scorer.model, entry))
+    entry = {w: (-1, n) for w, n in scorer.common} | scorer.classes
+    shared = spark.sparkContext.broadcast(
+        (scorer.model, entry, len(scorer.classes), scorer.rare_total, scorer.rare_distinct)
+    )
     extra = ["doc_id", "held_out"]
     parts = docs.select(*extra, "text").mapInArrow(
         _scored(shared, extra),
         "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, plain double, "
-        "fancy double, n_rare bigint, tail array<struct<word:binary,times:bigint>>",
+        "fancy double, tail array<struct<word:binary,times:bigint>>",
     )
     parts = stored(parts.withColumn("row", F.monotonically_increasing_id()))
     tails = parts.select("row", F.inline("tail")).join(counts, "word", "left")
@@ -381,7 +578,6 @@ def score(docs: DataFrame, scorer: Scorer, counts: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("more_known"),
     )
     base_norm = math.log10(scorer.total + SMOOTHING * (scorer.distinct + 1))
-    rare_norm = math.log10(scorer.rare_total + SMOOTHING * (scorer.rare_distinct + 1))
     more = F.coalesce(F.col("more"), F.lit(0.0))
     return parts.drop("tail").join(sums, "row", "left").select(
         "doc_id",
@@ -390,7 +586,7 @@ def score(docs: DataFrame, scorer: Scorer, counts: DataFrame) -> DataFrame:
         (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(scorer.total).cast("bigint").alias("train_tokens"),
         (F.col("plain") + more - F.col("n_tokens") * base_norm).alias("base_score"),
-        (F.col("fancy") + more - F.col("n_rare") * rare_norm).alias("score"),
+        (F.col("fancy") + more).alias("score"),
     )
 
 

@@ -254,6 +254,32 @@ def test_language_model_is_normalised_and_learns():
     assert (model.unflat(model.flat()).vectors == model.vectors).all()
 
 
+def test_language_model_has_a_class_for_every_repeated_word(spark):
+    """More words than one group holds, normalised over all words, learnt from the words themselves."""
+    draw = np.random.default_rng(1)
+    texts = []
+    for i in range(900):  # an odd word is followed by its own partner only
+        texts.append(" ".join(f"p{k} q{k}" for k in draw.integers(0, 400, 40)) + f" once{i} bar")
+    rows = [(i, t) for i, t in enumerate(texts)] + [(-7, "p3 q3"), (-8, "p3 q4"), (-9, "never")]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2)
+    counts = lm.word_counts(table.filter("doc_id >= 0"))
+    scorer = lm.train(table.filter("doc_id >= 0"), counts)
+    held = Counter(w for t in texts for w in words(t))
+    frequent = {w.encode() for w, n in held.items() if n >= lm.LEAST}
+    assert set(scorer.classes) == frequent | {b""} and len(frequent) == 801
+    model, rare = scorer.model, sum(n for n in held.values() if n < lm.LEAST)
+    assert len(model.bias) == 802 + len(scorer.rare_total) and len(model.lean) > 1
+    assert scorer.rare_total.sum() == rare and scorer.rare_distinct.sum() == 900
+    every = np.arange(len(model.bias))
+    for a, b in ((0, 0), (1, 700), (801, 802)):
+        there = np.full(len(every), a), np.full(len(every), b)
+        assert (10.0 ** model.log10(*there, every)).sum() == pytest.approx(1, abs=1e-4)
+    scores = lm.score(table.withColumn("held_out", F.lit(False)), scorer, counts)
+    got = {r.doc_id: (r.base_score, r.score) for r in scores.collect()}
+    assert got[-7][1] > got[-8][1] and got[-9][1] < 0
+    assert sum(s for i, (_, s) in got.items() if i >= 0) > sum(b for i, (b, _) in got.items() if i >= 0)
+
+
 def test_language_model_of_nothing(empty):
     assert lm.train_and_score(empty).count() == 0
 
