@@ -187,10 +187,10 @@ def filter_urls(
 ) -> DataFrame:
     """``page_id, host, path, rule, verdict, mined, confidence`` for every page.
 
-    ``labels`` (``url, blocked``) is what FP-growth learns from. Left out, the pages that a
-    stated rule covers are the labelled ones: their verdict is known, and token
-    combinations that go with it are carried over to the pages no rule covers. A page that
-    neither a stated nor a mined rule fits is allowed.
+    ``labels`` (``url, blocked``) is what FP-growth learns from. Left out, every distinct URL
+    of the pages is learnt from: those that a stated rule blocks as blocked, all others as
+    not blocked, uncovered ones too, so that a token of many unblocked pages has no
+    confidence. A page that neither a stated nor a mined rule fits is allowed.
 
     One row per row that went in, repeated rows included. A null URL, or one without
     ``://``, has empty host and path and no stated rule. Other columns are ignored.
@@ -208,8 +208,8 @@ def filter_urls(
         tokens(F.col("url"), F.col("host"), F.col("path")).alias("tokens"),
     )
     if labels is None:
-        known = judged.filter("stated IS NOT NULL")
-        known = known.select("tokens", (F.col("stated.verdict") == "block").alias("blocked"))
+        blocked = F.coalesce(F.col("stated.verdict") == "block", F.lit(False))
+        known = judged.select("tokens", blocked.alias("blocked"))
     else:
         labelled = labels.select(F.col("url").alias("own"), "blocked").filter("own IS NOT NULL")
         known = labelled.select(

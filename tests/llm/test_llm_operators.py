@@ -201,6 +201,17 @@ def test_stated_rules_and_mined_verdicts(spark):
     assert {r.verdict for r in urlrules.filter_urls(pages.filter("url IS NULL")).collect()} == {"allow"}
 
 
+def test_pages_no_rule_covers_count_against_mined_rules(spark):
+    urls = [f"https://example.com/de/{i}" for i in range(40)] + [f"https://example.com/en/{i}" for i in range(60)]
+    urls += [f"https://shop.net/sale/{i}" for i in range(40)] + [f"https://shop.org/sale/{i}" for i in range(4)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    found = {urls[r.page_id]: r for r in urlrules.filter_urls(pages).collect()}
+    assert all(r.verdict == "allow" and r.mined is None for u, r in found.items() if "/en/" in u)
+    assert all(r.verdict == "block" for u, r in found.items() if "/de/" in u or ".net/" in u)
+    carried = [r for u, r in found.items() if ".org/" in u]  # 40 of 44 with path:sale are blocked
+    assert all(r.verdict == "block" and r.confidence == pytest.approx(40 / 44) for r in carried)
+
+
 def test_mined_rules_match_brute_force(spark):
     draw = np.random.default_rng(5)
     rows = [([f"t{k}" for k in sorted(set(draw.integers(0, 6, 3).tolist()))],) for _ in range(200)]
