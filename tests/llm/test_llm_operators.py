@@ -337,6 +337,45 @@ def test_a_template_that_rewrites_history_is_found():
     assert upper[1][0][upper[1][1] : upper[1][2]] == "xyz"
 
 
+@pytest.mark.parametrize("kind", ["rewrites an old turn", "prologue", "system in the last user turn"])
+def test_templates_see_the_whole_prefix_over_partitions(spark, kind):
+    def old(turns):  # the first turn is written anew from turn 30 on
+        return "".join("*" if k == 0 and len(turns) > 30 else f"<{r}>{t}" for k, (r, t) in enumerate(turns))
+
+    def prologue(turns):  # each turn names the first
+        return "BOS|" + "".join(f"{turns[0][1]}/{r}:{t}\n" for r, t in turns)
+
+    def moved(turns):
+        last = max((k for k, (r, _) in enumerate(turns) if r == "user"), default=-1)
+        first = turns[0][1] if turns else ""
+        return "".join(f"<{r}>{first if k == last else ''}{t}" for k, (r, t) in enumerate(turns[1:], 1))
+
+    template = {"rewrites an old turn": old, "prologue": prologue}.get(kind, moved)
+    roles = lambda i: "system" if i == 0 else "user" if i % 2 else "assistant"
+    rows = [(c, i, roles(i), f"c{c}t{i}") for c in range(3) for i in range(40)]
+    table = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(4)
+    found = chat.format_turns(table, template).collect()
+    assert len(found) == 120
+    for c in range(3):
+        own = sorted((r for r in found if r.conv_id == c), key=lambda r: r.ordinal)
+        turns, done = [(r, t) for x, _, r, t in rows if x == c], ""
+        assert [r.turn for r in own] == list(range(40))
+        for k, r in enumerate(own):
+            now = template(turns[: k + 1])
+            assert r.rewrites == (not now.startswith(done))
+            assert r.formatted == (None if r.rewrites else now[len(done) :])
+            if r.loss_start >= 0:
+                assert r.formatted[r.loss_start : r.loss_end] == turns[k][1]
+            done = now
+        assert any(r.rewrites for r in own) == (kind != "prologue")
+
+
+def test_a_wrong_turnwise_claim_is_found():
+    claimed = chat.turnwise(lambda turns: f"{len(turns)}" + "".join(t for _, t in turns))
+    with pytest.raises(ValueError, match="turnwise"):
+        chat._turn_spans([("user", "a"), ("user", "b")], claimed)
+
+
 # -- token files ---------------------------------------------------------------------
 
 
