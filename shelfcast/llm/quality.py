@@ -6,7 +6,7 @@ references count every document.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.llm.common import SPACE, stored, words
@@ -15,8 +15,9 @@ WINDOW = 5  # words of a repeated window
 LEAST_WORDS = 10
 REPEATED_PERCENT = 20
 COMMON = 24  # common words of a language
-LANGUAGES = 64  # languages with a reference of their own; others share the pooled one
 POOLED = "*"
+BROADCAST_BYTES = 8 << 20  # references of up to this size are broadcast
+SIFTED = 2_000  # common words up to which one look-up sorts out all others; for speed only
 CLASS_GUARD = 200  # letters and marks below which the character histogram says nothing
 WORD_GUARD = 100  # words below which the common-word histogram says nothing
 CLASS_DISTANCE = 0.36
@@ -125,9 +126,9 @@ def class_counts(text: Column, word_chars: Column, n_symbols: Column) -> Column:
 def references(docs: DataFrame, lang: str = "lang", text: str = "text") -> DataFrame:
     """``lang, common, word_share, class_share`` over all documents, and a pooled row ``*``.
 
-    At most ``LANGUAGES`` languages of the most words have a row, so the table is small
-    whatever the data. ``common`` are a language's commonest words (ties by word);
-    ``word_share`` their shares of its words, then the share of all others.
+    A row for every language. ``common`` are a language's commonest words (ties by word);
+    ``word_share`` their shares of its words, then the share of all others. The pooled row
+    is for documents without a language.
     """
     base = docs.select(
         F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")
@@ -137,53 +138,58 @@ def references(docs: DataFrame, lang: str = "lang", text: str = "text") -> DataF
         .groupBy("lang", "word")
         .agg(F.count("*").alias("n"))
     )
-    pooled = counted.groupBy("word").agg(F.sum("n").alias("n")).select(
-        F.lit(POOLED).alias("lang"), "word", "n"
-    )
-    totals = counted.groupBy("lang").agg(F.sum("n").alias("total"))
-    chosen = totals.filter("lang IS NOT NULL AND lang != '*'").orderBy(
-        F.desc("total"), "lang"
-    ).limit(LANGUAGES)
-    spark = docs.sparkSession
     content = F.coalesce("text", F.lit(""))
-    langs = [r.lang for r in chosen.collect()]  # LANGUAGES at most
-    own = counted.filter(F.col("lang").isin(langs)) if langs else counted.limit(0)
-    classes = (
+    classes = stored(
         base.select(
-            F.when(F.col("lang").isin(langs), F.col("lang")).otherwise(F.lit(None)).alias("lang")
-            if langs
-            else F.lit(None).cast("string").alias("lang"),
+            "lang",
             F.posexplode(
                 class_counts(content, F.length(F.regexp_replace(content, SPACE, "")), symbols(content))
             ).alias("k", "n"),
         )
         .groupBy("lang", "k")
         .agg(F.sum("n").alias("n"))
-        .collect()
-    )  # LANGUAGES + 1 times the number of classes
-    sizes = {k: v for k, v in own.groupBy("lang").agg(F.sum("n")).collect()}
-    sizes[POOLED] = counted.agg(F.sum("n")).first()[0] or 0
-    rows = []
-    for name in [*langs, POOLED]:
-        source = pooled if name == POOLED else own.filter(F.col("lang") == name)
-        top = source.orderBy(F.desc("n"), "word").limit(COMMON).collect()
-        per_class = [0] * (len(CLASSES) + 3)
-        for r in classes:
-            if name in (r.lang, POOLED):
-                per_class[r.k] += r.n or 0
-        total, chars = sizes.get(name) or 0, sum(per_class)
-        share = [r.n / total for r in top]
-        rows.append(
-            (
-                name,
-                [r.word for r in top],
-                [*share, max(0.0, 1.0 - sum(share))],
-                [c / chars if chars else 0.0 for c in per_class],
-            )
+    )
+
+    def rows_of(word_counts: DataFrame, class_sums: DataFrame) -> DataFrame:
+        by = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
+        top = word_counts.withColumn("at", F.row_number().over(by)).filter(F.col("at") <= COMMON)
+        top = top.groupBy("lang").agg(
+            F.array_sort(F.collect_list(F.struct("at", "word", "n"))).alias("top")
+        )
+        totals = word_counts.groupBy("lang").agg(F.sum("n").alias("total"))
+        marks = class_sums.groupBy("lang").agg(
+            F.transform(
+                F.array_sort(F.collect_list(F.struct("k", "n"))), lambda x: x["n"]
+            ).alias("marks")
+        )
+        share = F.coalesce(
+            F.transform("top", lambda x: x["n"] / F.col("total")), F.array().cast("array<double>")
         )
-    return spark.createDataFrame(
-        rows, "lang string, common array<string>, word_share array<double>, class_share array<double>"
+        rest = F.greatest(F.lit(0.0), 1 - F.aggregate(share, F.lit(0.0), lambda a, x: a + x))
+        chars = F.aggregate("marks", F.lit(0).cast("bigint"), lambda a, x: a + x)
+        joined = marks.join(top, "lang", "left").join(totals, "lang", "left")
+        return joined.select(
+            "lang",
+            F.coalesce(
+                F.transform("top", lambda x: x["word"]), F.array().cast("array<string>")
+            ).alias("common"),
+            F.concat(share, F.array(rest)).alias("word_share"),
+            F.transform(
+                "marks", lambda x: F.when(chars > 0, x / chars).otherwise(0.0)
+            ).alias("class_share"),
+        )
+
+    named = "lang IS NOT NULL AND lang != '*'"
+    pooled = F.lit(POOLED).alias("lang")
+    none = docs.sparkSession.range(len(CLASSES) + 3).select(
+        pooled, F.col("id").cast("int").alias("k"), F.lit(0).cast("bigint").alias("n")
     )
+    all_marks = classes.select(pooled, "k", "n").unionByName(none)
+    of_all = rows_of(
+        counted.groupBy("word").agg(F.sum("n").alias("n")).select(pooled, "word", "n"),
+        all_marks.groupBy("lang", "k").agg(F.sum("n").alias("n")),
+    )
+    return stored(rows_of(counted.filter(named), classes.filter(named)).unionByName(of_all))
 
 
 def js_distance(counts: Column, share: Column) -> Column:
@@ -207,14 +213,17 @@ def js_distance(counts: Column, share: Column) -> Column:
     return _let(counts, of)
 
 
-def common_counts(found: Column, common: Column, any_common: list[str]) -> Column:
+def common_counts(found: Column, common: Column, any_common: list[str] | None) -> Column:
     """How often each common word stands in a text, then all other words.
 
-    ``any_common`` holds the common words of all references: one look-up sorts out most
-    words. Places in the list then become characters of one string, whose counts are
+    ``any_common`` holds the common words of all references, if they are few: one look-up
+    then sorts out most words. Places in the list then become characters of one string, whose counts are
     string lengths.
     """
-    near = F.filter(found, lambda w: w.isin(any_common)) if any_common else F.slice(found, 1, 0)
+    if any_common is None:
+        near = F.filter(found, lambda w: F.array_contains(common, w))
+    else:
+        near = F.filter(found, lambda w: w.isin(any_common)) if any_common else F.slice(found, 1, 0)
     coded = F.array_join(F.transform(near, lambda w: F.char(F.array_position(common, w) + 64)), "")
 
     def counts(s: Column) -> Column:
@@ -244,37 +253,40 @@ def judge(
     A document is kept unless it fails the base rules or its histograms lie farther from
     its language's than the two distances. Texts of under ``CLASS_GUARD`` marks or
     ``WORD_GUARD`` words are not held to the respective histogram: distance 0. Null, empty
-    and blank texts fail the base rules. A null language, or one beyond the referenced ones,
-    is held to the pooled reference. Columns of ``docs`` named like an output are replaced;
-    others pass through. No shuffle of texts: references are small and looked up in place.
+    and blank texts fail the base rules. Every language has its own reference; a null one, or
+    one that given ``refs`` lack, is held to the pooled reference. Columns of ``docs`` named like an output are replaced;
+    others pass through. References are joined by language: broadcast if they are found to be
+    of ``BROADCAST_BYTES`` at most, so that no text is shuffled.
     """
     outputs = [
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "class_js", "word_js", "kept",
     ]
-    held = docs.drop(*outputs, "_words", "_ref")
+    held = docs.drop(*outputs, "_words", "_ref", "_lang", "_own")
     refs = references(held) if refs is None else refs
-    # LANGUAGES + 1 rows of COMMON words and shares at most
-    table = {
-        r.lang: (r.common, r.word_share, r.class_share) for r in refs.collect()
-    }
+    pooled = refs.filter(F.col("lang") == POOLED).first()  # one row
+    own = refs.filter(F.col("lang") != POOLED).select(
+        F.col("lang").alias("_lang"), F.struct("common", "word_share", "class_share").alias("_own")
+    )
+    size = F.octet_length(F.array_join("common", "")) + F.octet_length("lang")
+    shares = 16 * (F.size("common") + F.size("class_share") + 1)
+    if (refs.agg(F.sum(size + shares)).first()[0] or 0) <= BROADCAST_BYTES:
+        own = F.broadcast(own)
 
     def literal(entry) -> Column:
-        common, word_share, class_share = entry
         return F.struct(
-            F.array(*map(F.lit, common)).cast("array<string>").alias("common"),
-            F.array(*map(F.lit, word_share)).cast("array<double>").alias("word_share"),
-            F.array(*map(F.lit, class_share)).cast("array<double>").alias("class_share"),
+            F.array(*map(F.lit, entry.common)).cast("array<string>").alias("common"),
+            F.array(*map(F.lit, entry.word_share)).cast("array<double>").alias("word_share"),
+            F.array(*map(F.lit, entry.class_share)).cast("array<double>").alias("class_share"),
         )
 
-    ref = literal(table[POOLED])
-    for name in sorted(set(table) - {POOLED}):
-        ref = F.when(F.col("lang").cast("string") == name, literal(table[name])).otherwise(ref)
-    counted = base_counts(held).withColumn("_ref", ref)
+    joined = held.join(own, F.col("lang").cast("string") == F.col("_lang"), "left")
+    counted = base_counts(joined).withColumn("_ref", F.coalesce("_own", literal(pooled)))
     marks = class_counts(
         F.col("text"), F.col("word_chars").cast("int"), F.col("n_symbols").cast("int")
     )
-    any_common = sorted({word for common, _, _ in table.values() for word in common})
+    sifted = refs.select(F.explode("common").alias("word")).distinct().limit(SIFTED + 1).collect()
+    any_common = sorted(r.word for r in sifted) if len(sifted) <= SIFTED else None
     measured = counted.withColumns(
         {
             "base_failed": base_failed(),
@@ -294,7 +306,7 @@ def judge(
         ~F.col("base_failed")
         & (F.col("class_js") <= class_distance)
         & (F.col("word_js") <= word_distance),
-    ).drop("_words", "_ref")
+    ).drop("_words", "_ref", "_lang", "_own")
 
 
 def keep_good(docs: DataFrame, refs: DataFrame | None = None) -> DataFrame:

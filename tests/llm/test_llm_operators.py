@@ -436,6 +436,29 @@ def test_divergence_matches_brute_force_and_drops_odd_texts(spark):
     assert {r.doc_id for r in quality.keep_good(table).collect()} <= set(range(60))
 
 
+def test_every_language_has_its_own_reference(spark, monkeypatch):
+    """A corpus led by one language: the 70 small ones are not held to the pooled words."""
+    draw, rows = np.random.default_rng(4), []
+    for g in range(71):
+        for _ in range(150 if g == 0 else 2):
+            often = [f"g{g}w{k}" for k in draw.integers(0, 20, 60)]
+            rest = [f"v{k}" for k in draw.integers(0, 10**6, 90)]
+            rows.append((len(rows), " ".join(draw.permutation(often + rest)), f"l{g}"))
+    table = spark.createDataFrame([*rows, (999, rows[0][1], None)], "doc_id bigint, text string, lang string")
+    refs = {r.lang: r for r in quality.references(table).collect()}
+    assert set(refs) == {f"l{g}" for g in range(71)} | {"*"}
+    for g in (0, 70):
+        c = Counter(w for _, t, name in rows if name == f"l{g}" for w in t.split())
+        top = sorted(c.items(), key=lambda x: (-x[1], x[0]))[: quality.COMMON]
+        assert refs[f"l{g}"].common == [w for w, _ in top]
+        assert refs[f"l{g}"].word_share[:-1] == pytest.approx([n / c.total() for _, n in top])
+    judged = {r.doc_id: r for r in quality.judge(table).collect()}
+    assert len(judged) == len(rows) + 1 and all(r.kept for r in judged.values())
+    monkeypatch.setattr(quality, "BROADCAST_BYTES", 0)  # a join of shuffled sides, no sifting: same result
+    monkeypatch.setattr(quality, "SIFTED", 10)
+    assert {r.doc_id: r for r in quality.judge(table).collect()} == judged
+
+
 # -- exact top-k ---------------------------------------------------------------------
 
 
