@@ -139,6 +139,12 @@ def _exact(pairs: DataFrame, file: DataFrame) -> DataFrame:
     )
 
 
+def in_blocks(asked: DataFrame, many: int) -> DataFrame:
+    """``asked`` with ``block``, a hash of the entry: blocks of about ``BLOCK``, without a shuffle."""
+    blocks = max(1, -(-many // BLOCK))
+    return asked.withColumn("block", F.pmod(F.xxhash64("entry"), F.lit(blocks)))
+
+
 def top_k(
     rows: DataFrame,
     k: int = 5,
@@ -154,7 +160,7 @@ def top_k(
     compared. Rows that repeat an id with one vector count once; with different vectors
     each is a candidate, and the id asks once for each. Other columns are ignored.
 
-    Queries are scanned for in blocks of ``BLOCK`` distinct vectors, so what a task is sent
+    Queries are scanned for in blocks of about ``BLOCK`` distinct vectors, so what a task is sent
     does not grow with the data.
     """
     spark = rows.sparkSession
@@ -162,15 +168,11 @@ def top_k(
     vectors = integer_vectors(rows, id, vector)
     is_query = F.pmod(F.col("vec_id"), F.lit(every)) == 0
     file, widths = build(vectors, k + 1, is_query)
-    asked = stored(
-        file.filter("asked").select(
-            "entry", "v", F.row_number().over(Window.orderBy("entry")).alias("nth")
-        )
-    )
-    many = asked.count()
+    many = file.filter("asked").count()
+    asked = stored(in_blocks(file.filter("asked").select("entry", "v"), many))
     scans = []
-    for first in range(0, many, BLOCK):
-        block = asked.filter(F.col("nth").between(first + 1, first + BLOCK)).collect()
+    for n in range(-(-many // BLOCK)):
+        block = asked.filter(F.col("block") == n).collect()
         by_size = {}
         for size in {len(r.v) for r in block}:
             own = [r for r in block if len(r.v) == size]

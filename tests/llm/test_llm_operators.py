@@ -482,6 +482,21 @@ def test_top_k_matches_brute_force(spark):
     assert vafile.top_k(table.limit(0)).count() == 0
 
 
+def test_queries_are_cut_into_blocks_without_one_task_for_all(spark, monkeypatch):
+    draw = np.random.default_rng(6)
+    table = spark.createDataFrame(
+        [(i, draw.normal(size=4).tolist()) for i in range(120)], "vec_id bigint, embedding array<float>"
+    )
+    whole = sorted(map(tuple, vafile.top_k(table, k=3, every=5).collect()))
+    monkeypatch.setattr(vafile, "BLOCK", 7)
+    asked = spark.range(500).withColumnRenamed("id", "entry")
+    cut = vafile.in_blocks(asked, 500)
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+    assert {r.block for r in cut.collect()} <= set(range(72))
+    assert sorted(map(tuple, vafile.top_k(table, k=3, every=5).collect())) == whole and len(whole) == 72
+
+
 # -- mixing --------------------------------------------------------------------------
 
 
