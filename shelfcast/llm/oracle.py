@@ -96,9 +96,93 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
 FROM e GROUP BY conv_id
 """
 
+
+
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 of a text of ASCII characters, by the reflected polynomial 0xEDB88320."""
+    eight = "lambda c, i: xor(c >> 1, (c & 1) * 3988292384)"
+    byte = f"lambda c, b: list_reduce(range(8), {eight}, xor(c, b))"
+    codes = f"list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT)"
+    return f"xor(list_reduce({codes}, {byte}, 4294967295::BIGINT), 4294967295)"
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen({value}::VARCHAR)::VARCHAR || ':' || {value}::VARCHAR, '-')"
+
+
+def _leaf(text: str) -> str:
+    fields = map(_field, ("doc_id", "source", "lang", "n_chars", text))
+    return f"sha256({' || '.join(fields)})"
+
+
+_LOW = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _tree(nodes: str, base: str) -> str:
+    """Recursive table of a forest's nodes: every 8 of a level make one of the next."""
+    return f"""
+{nodes} AS (
+  SELECT 0 AS level, tree, pos, n, digest FROM {base}
+  UNION ALL
+  SELECT level + 1, tree, pos // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM {nodes} WHERE n > 1 GROUP BY level, tree, pos // 8, n)"""
+
+
+# every node's siblings by a join on its run, and the fold up a path of ancestors
+MERKLE = f"""
+WITH RECURSIVE
+l AS (
+  SELECT doc_id, lang, {_leaf("text")} AS leaf,
+         CASE WHEN {_crc32("doc_id::VARCHAR")} % 3 = 0 THEN {_leaf(_LOW)}
+              ELSE {_leaf("text")} END AS claimed FROM documents),
+g AS (SELECT lang, row_number() OVER (ORDER BY lang ASC NULLS FIRST) - 1 AS tree, count(*) AS n
+      FROM l GROUP BY lang),
+b AS (
+  SELECT doc_id, leaf, claimed, leaf AS digest, tree, n,
+         row_number() OVER (PARTITION BY tree ORDER BY doc_id ASC NULLS FIRST, leaf) - 1 AS pos
+  FROM l JOIN g ON l.lang IS NOT DISTINCT FROM g.lang),
+{_tree("inner_nodes", "b")},
+s AS (SELECT -1 AS tree, tree AS pos, (SELECT count(*) FROM g) AS n, digest
+      FROM inner_nodes WHERE n = 1),
+{_tree("top_nodes", "s")},
+heights AS (SELECT tree, max(level) AS height FROM inner_nodes GROUP BY tree),
+runs AS (
+  SELECT x.level, x.tree, x.pos,
+         coalesce(string_agg(y.digest, '' ORDER BY y.pos) FILTER (y.pos < x.pos), '') AS before,
+         coalesce(string_agg(y.digest, '' ORDER BY y.pos) FILTER (y.pos > x.pos), '') AS after
+  FROM (SELECT * FROM inner_nodes UNION ALL SELECT * FROM top_nodes) x
+  JOIN (SELECT * FROM inner_nodes UNION ALL SELECT * FROM top_nodes) y
+    ON x.level = y.level AND x.tree = y.tree AND x.pos // 8 = y.pos // 8
+  WHERE x.n > 1 GROUP BY x.level, x.tree, x.pos),
+fold AS (
+  SELECT doc_id, leaf, claimed, tree AS own, 0 AS step, tree, 0 AS level, pos,
+         claimed AS digest, '' AS proof
+  FROM b
+  UNION ALL
+  SELECT doc_id, leaf, claimed, own, step + 1,
+         CASE WHEN f.level < coalesce(h.height, 99) THEN f.tree ELSE -1 END,
+         CASE WHEN f.level < coalesce(h.height, 99) THEN f.level + 1 ELSE 0 END,
+         CASE WHEN f.level < coalesce(h.height, 99) THEN f.pos // 8 ELSE f.own END,
+         CASE WHEN f.level < coalesce(h.height, 99)
+              THEN sha256(r.before || f.digest || r.after) ELSE f.digest END,
+         CASE WHEN f.level < coalesce(h.height, 99)
+              THEN f.proof || r.before || r.after ELSE f.proof END
+  FROM fold f LEFT JOIN heights h ON h.tree = f.tree
+  LEFT JOIN runs r ON r.tree = f.tree AND r.level = f.level AND r.pos = f.pos
+  WHERE h.tree IS NOT NULL OR r.tree IS NOT NULL),
+ends AS (
+  SELECT * FROM fold f WHERE tree = -1
+    AND level = (SELECT max(level) FROM top_nodes)),
+r AS (SELECT digest AS root FROM top_nodes WHERE n = 1)
+SELECT doc_id, leaf, s.digest AS subroot, root, sha256(proof) AS proof_sha256,
+       e.digest AS folded_root, e.digest = root AS verified
+FROM ends e JOIN s ON s.pos = e.own, r
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_near_dedup": NEAR_DEDUP,
     "op5_chat_format": CHAT,
     "op8_exact_top_k": TOP_K,
     "op9_source_mix": SOURCE_MIX,
+    "op11_merkle_manifest": MERKLE,
 }

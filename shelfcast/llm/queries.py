@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from shelfcast.llm import (
     chat,
     lm,
+    merkle,
     minhash,
     mixing,
     pieces,
@@ -20,7 +21,7 @@ from shelfcast.llm import (
     urlrules,
     vafile,
 )
-from shelfcast.llm.common import read
+from shelfcast.llm.common import lower_ascii, read
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -87,6 +88,24 @@ def piece_encoding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Proofs of all documents, and what they say of texts of which some were tampered with."""
+    crc = F.crc32(F.col("doc_id").cast("string"))
+    tampered = F.when(crc % 3 == 0, lower_ascii(F.col("text"))).otherwise(F.col("text"))
+    docs = read(spark, folder, "documents")
+    manifest = merkle.build(docs, claimed=merkle.leaf_digest(text=tampered))
+    proofs = merkle.prove(manifest)
+    led = merkle.folded(F.col("claimed"), F.col("places"), F.col("siblings"))
+    return proofs.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.proof_digest(F.col("siblings")).alias("proof_sha256"),
+        led.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -104,5 +123,6 @@ REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_top_k": exact_top_k,
     "op9_source_mix": source_mix,
     "op10_piece_encoding": piece_encoding,
+    "op11_merkle_manifest": merkle_manifest,
     "pipeline": pipeline,
 }
