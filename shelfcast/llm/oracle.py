@@ -99,10 +99,11 @@ FROM e GROUP BY conv_id
 
 
 def _crc32(text: str) -> str:
-    """Unsigned CRC-32 of a text of ASCII characters, by the reflected polynomial 0xEDB88320."""
+    """Unsigned CRC-32 of a text's UTF-8, by the reflected polynomial 0xEDB88320."""
     eight = "lambda c, i: xor(c >> 1, (c & 1) * 3988292384)"
     byte = f"lambda c, b: list_reduce(range(8), {eight}, xor(c, b))"
-    codes = f"list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT)"
+    pairs = f"regexp_extract_all(hex(encode({text})), '..')"
+    codes = f"list_transform({pairs}, lambda x: ('0x' || x)::BIGINT)"
     return f"xor(list_reduce({codes}, {byte}, 4294967295::BIGINT), 4294967295)"
 
 
@@ -179,10 +180,54 @@ SELECT doc_id, leaf, s.digest AS subroot, root, sha256(proof) AS proof_sha256,
 FROM ends e JOIN s ON s.pos = e.own, r
 """
 
+
+def _place(text: str) -> str:
+    return f"('0x' || substr(md5({text}), 1, 15))::BIGINT"
+
+
+# rows in the order of the ring, one after the other: each to the first shard clockwise with room
+RING = f"""
+WITH RECURSIVE
+v AS (
+  SELECT s, row_number() OVER (ORDER BY {_place("'ring-1:shard ' || s || ' node ' || n")}, s) - 1 AS i,
+         {_place("'ring-1:shard ' || s || ' node ' || n")} AS place
+  FROM range(8) a(s), range(256) b(n)),
+arcs AS (SELECT arc, s, min((i - arc + 4096) % 2048) AS far
+         FROM range(2049) a(arc), v GROUP BY arc, s),
+prefs AS (SELECT arc, list(s ORDER BY far) AS shards FROM arcs GROUP BY arc),
+d AS (
+  SELECT doc_id, strlen(coalesce(text, ''))::BIGINT + 1 AS size,
+         {_crc32("coalesce(text, '')")}::BIGINT AS text_crc32,
+         {_place("'ring-1:key:' || coalesce(doc_id::VARCHAR, '')")} AS place
+  FROM documents),
+a AS (
+  SELECT d.*, coalesce(i, 2048) AS arc
+  FROM d ASOF LEFT JOIN v ON d.place <= v.place),
+k AS (
+  SELECT a.*, shards,
+         row_number() OVER (ORDER BY a.place, doc_id NULLS FIRST, size, text_crc32) AS k
+  FROM a JOIN prefs USING (arc)),
+caps AS (SELECT list(n // 8 + (s < n % 8)::BIGINT ORDER BY s) AS caps
+         FROM (SELECT count(*) AS n FROM d), range(8) r(s)),
+t AS (
+  SELECT 0::BIGINT AS k, NULL::BIGINT AS shard, NULL::BIGINT AS slot,
+         [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[] AS held
+  UNION ALL
+  SELECT k, shard, held[shard + 1],
+         list_transform(held, lambda x, i: x + (i - 1 = shard)::BIGINT)
+  FROM (SELECT k.k, held,
+               list_filter(shards, lambda s: held[s + 1] < caps[s + 1])[1] AS shard
+        FROM t JOIN k ON k.k = t.k + 1, caps))
+SELECT doc_id, size, text_crc32, 'rows' AS law, shard::INTEGER AS shard, slot,
+       NULL::INTEGER AS grown_shard
+FROM k JOIN t USING (k)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_near_dedup": NEAR_DEDUP,
     "op5_chat_format": CHAT,
     "op8_exact_top_k": TOP_K,
     "op9_source_mix": SOURCE_MIX,
     "op11_merkle_manifest": MERKLE,
+    "op12_ring_shards": RING,
 }

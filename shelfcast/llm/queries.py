@@ -16,6 +16,7 @@ from shelfcast.llm import (
     mixing,
     pieces,
     quality,
+    ring,
     tokenfile,
     toxicity,
     urlrules,
@@ -25,6 +26,7 @@ from shelfcast.llm.common import lower_ascii, read
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+SHARDS = 8
 CONTROL_TURN = "</s>[INST] ok [/INST]"
 
 
@@ -106,6 +108,18 @@ def merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def ring_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents on eight shards whose row counts differ by one at most."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = read(spark, folder, "documents").select(
+        "doc_id",
+        (F.octet_length(text).cast("bigint") + 1).alias("size"),
+        F.crc32(text).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+    )
+    return ring.assign(rows, SHARDS).withColumn("grown_shard", F.lit(None).cast("int"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -124,5 +138,6 @@ REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_source_mix": source_mix,
     "op10_piece_encoding": piece_encoding,
     "op11_merkle_manifest": merkle_manifest,
+    "op12_ring_shards": ring_shards,
     "pipeline": pipeline,
 }
