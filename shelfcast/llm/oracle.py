@@ -223,6 +223,87 @@ SELECT doc_id, size, text_crc32, 'rows' AS law, shard::INTEGER AS shard, slot,
 FROM k JOIN t USING (k)
 """
 
+
+_SAID = "coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')"
+_BEST = "row_number() OVER (PARTITION BY conv_id, {} ORDER BY cost, audit)"
+
+# the best edits for each state of the grammar, row by row; up to three inserts before a row
+TURNS = rf"""
+WITH RECURSIVE
+k AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_crc32(_SAID)} % 20 AS k FROM conversations),
+d AS (
+  SELECT conv_id, turn, CASE k WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g')
+                ELSE text END AS text,
+         unnest(CASE k WHEN 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM k WHERE k <> 0),
+o AS (
+  SELECT conv_id, turn, role, text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+         NOT regexp_matches(text, '[^ 	-]') AS blank
+  FROM d),
+p AS (
+  SELECT *, NOT blank AND row_number() OVER (
+    PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again FROM o),
+r AS (
+  SELECT *, blank OR again AS gone, substr(role, 1, 1) AS initial,
+         NOT blank AND NOT again AND NOT regexp_matches(text, '[.!?][ 	-]*$') AS short,
+         lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS last
+  FROM p),
+c AS (
+  SELECT conv_id, max(i) AS n,
+         coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (blank) AS blank, count(*) FILTER (again) AS duplicate,
+         count(*) FILTER (short) AS truncated,
+         count(*) FILTER (i > 1 AND last || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM r GROUP BY conv_id),
+ins(p, q, said) AS (VALUES
+  (0, 0, []::VARCHAR[]), (1, 1, []), (2, 2, []), (3, 3, []),
+  (0, 2, ['user:']), (1, 2, ['user:']), (2, 3, ['assistant:']), (3, 2, ['user:']),
+  (0, 3, ['user:', 'assistant:']), (1, 3, ['user:', 'assistant:']),
+  (2, 2, ['assistant:', 'user:']), (3, 3, ['user:', 'assistant:']),
+  (0, 2, ['user:', 'assistant:', 'user:']), (1, 2, ['user:', 'assistant:', 'user:']),
+  (2, 3, ['assistant:', 'user:', 'assistant:']), (3, 2, ['user:', 'assistant:', 'user:'])),
+t AS (
+  SELECT conv_id, 0::BIGINT AS i, 0 AS state, 0::BIGINT AS cost, '' AS audit, []::VARCHAR[] AS said
+  FROM c
+  UNION ALL
+  SELECT conv_id, i, state, cost, audit, said FROM (
+    SELECT *, {_BEST.format("state")} AS best FROM (
+      SELECT t.conv_id, r.i,
+             CASE e WHEN 'D' THEN q
+                    WHEN 'R' THEN CASE q WHEN 2 THEN 3 ELSE 2 END
+                    ELSE CASE initial WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END END AS state,
+             t.cost + 2 * len(ins.said) + CASE e WHEN 'D' THEN 3 WHEN 'R' THEN 2 ELSE 0 END
+               + CASE WHEN e <> 'D' AND short THEN 1 ELSE 0 END AS cost,
+             t.audit || repeat('I', len(ins.said)) || e AS audit,
+             t.said || ins.said || CASE e
+               WHEN 'D' THEN []::VARCHAR[]
+               WHEN 'K' THEN [role || ':' || text]
+               ELSE [CASE q WHEN 2 THEN 'assistant' ELSE 'user' END || ':' || text] END AS said
+      FROM t JOIN r ON t.conv_id IS NOT DISTINCT FROM r.conv_id AND r.i = t.i + 1
+      JOIN ins ON ins.p = t.state, (VALUES ('D'), ('K'), ('R')) edits(e)
+      WHERE e = 'D' OR NOT gone AND (e = 'R'
+        OR initial = 's' AND q = 0 OR initial = 'u' AND q <> 2 OR initial = 'a' AND q = 2)))
+  WHERE best = 1),
+ends AS (
+  SELECT t.conv_id, t.cost + 2 * len(ins.said) AS cost,
+         t.audit || repeat('I', len(ins.said)) AS audit, t.said || ins.said AS said
+  FROM t JOIN c ON t.conv_id IS NOT DISTINCT FROM c.conv_id AND t.i = c.n
+  JOIN ins ON ins.p = t.state WHERE q IN (0, 3)),
+b AS (SELECT * FROM (SELECT *, {_BEST.format("1")} AS best FROM ends) WHERE best = 1)
+SELECT a.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+       coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+       coalesce(audit, '') AS audit,
+       sha256(coalesce(array_to_string(said, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a
+LEFT JOIN c ON a.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN b ON a.conv_id IS NOT DISTINCT FROM b.conv_id
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_near_dedup": NEAR_DEDUP,
     "op5_chat_format": CHAT,
@@ -230,4 +311,5 @@ ORACLE_SQL: dict[str, str] = {
     "op9_source_mix": SOURCE_MIX,
     "op11_merkle_manifest": MERKLE,
     "op12_ring_shards": RING,
+    "op13_turn_repair": TURNS,
 }

@@ -19,6 +19,7 @@ from shelfcast.llm import (
     ring,
     tokenfile,
     toxicity,
+    turns,
     urlrules,
     vafile,
 )
@@ -120,6 +121,41 @@ def ring_shards(spark: SparkSession, folder: str) -> DataFrame:
     return ring.assign(rows, SHARDS).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Turns with planted faults, by a hash of conversation and turn; nulls are one space."""
+    space = F.lit(" ")
+    said = [F.coalesce(F.col(c).cast("string"), space) for c in ("conv_id", "turn", "role", "text")]
+    kind = F.crc32(F.concat(said[0], F.lit(":"), said[1])) % 20
+    role = F.when(F.col("_kind") == 4, "user").otherwise(F.col("role"))
+    text = F.when(F.col("_kind") == 1, "").otherwise(F.col("text"))
+    text = F.when(F.col("_kind") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(text)
+    copies = F.when(F.col("_kind") == 3, 2).otherwise(1)
+    return (
+        conversations.select(
+            "conv_id", "turn", said[2].alias("role"), said[3].alias("text"), kind.alias("_kind")
+        )
+        .filter("_kind <> 0")
+        .select("conv_id", "turn", role.alias("role"), text.alias("text"), copies.alias("_copies"))
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies")))
+        .drop("_copy", "_copies")
+    )
+
+
+def turn_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Conversations with planted faults, repaired; one row for every conversation."""
+    table = read(spark, folder, "conversations")
+    found = turns.report(turns.repair(damaged(table))).withColumnRenamed("conv_id", "_conv")
+    every = table.select("conv_id").distinct()
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    nothing = F.sha2(F.lit(""), 256)
+    return every.join(found, F.col("conv_id").eqNullSafe(F.col("_conv")), "left").select(
+        "conv_id",
+        *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", nothing).alias("repaired_sha256"),
+    )
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -139,5 +175,6 @@ REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_piece_encoding": piece_encoding,
     "op11_merkle_manifest": merkle_manifest,
     "op12_ring_shards": ring_shards,
+    "op13_turn_repair": turn_repair,
     "pipeline": pipeline,
 }
