@@ -6,6 +6,7 @@ entry are iterative (forests, k-means); their inputs and their metrics are cover
 
 from __future__ import annotations
 
+from checks import forests
 from checks.queries import CHOSEN_PRODUCTS, EXPLORED, SPOILT_EVERY, TOP_CUT
 from shelfcast.operators.clusters import CLUSTERS, TERMS_PER_CLUSTER
 from shelfcast.operators.encode import INVENTORY_INPUTS, REGRESSION_INPUTS
@@ -214,6 +215,13 @@ def _test_part(piece: str, parts: list[tuple[str, float]], body: str) -> str:
 {body}"""
 
 
+def _forest(model: forests.Model, body: str) -> str:
+    grown = ",\n".join(
+        f"{name} AS MATERIALIZED ({piece})" for name, piece in forests.pieces(model).items()
+    )
+    return _query(model.source, "").rstrip() + ",\n" + grown + "\n" + body
+
+
 def _vector(inputs: list[str]) -> str:
     columns = ", ".join(f'CAST("{name}" AS DOUBLE) AS f{i}' for i, name in enumerate(inputs))
     return _query(
@@ -256,6 +264,22 @@ def _pivot(key: str, pivoted: str, values: list[str], source: str) -> str:
     return f'SELECT "{key}", {columns} FROM {source} GROUP BY "{key}"'
 
 
+_TUNING = """
+SELECT "numTrees"::INTEGER AS "numTrees", "maxDepth"::INTEGER AS "maxDepth", round(score, 4) AS score,
+       b."numTrees" IS NOT NULL AS best
+FROM grid LEFT JOIN best b USING ("numTrees", "maxDepth")"""
+
+_STOCK_METRICS = """,
+c AS (
+  SELECT x AS c, count(*) FILTER (stock_decision = x) AS a, count(*) FILTER (predicted_label = x) AS p,
+         count(*) FILTER (stock_decision = x AND predicted_label = x) AS tp
+  FROM tested, (SELECT said AS x FROM label_names) GROUP BY x)
+SELECT round(sum(tp) / sum(a), 4) AS accuracy, round(sum(a * (2 * tp / (a + p))) / sum(a), 4) AS f1,
+       round(sum(a * CASE WHEN p > 0 THEN tp / p ELSE 0 END) / sum(a), 4) AS "weightedPrecision",
+       round(sum(tp) / sum(a), 4) AS "weightedRecall"
+FROM c"""
+
+
 def oracle_sql() -> dict[str, str]:
     heat = 'quarterly WHERE "Description" IN (SELECT "Description" FROM heatmap_keys)'
     return {
@@ -365,6 +389,27 @@ AS "MonthLabel" FROM seasonal""",
         "correlation_matrix": _correlation_matrix(),
         "split_regression": _split("features", _REGRESSION),
         "split_inventory": _split("labeled", _INVENTORY),
+        "demand_forecast": _forest(
+            forests.DEMAND,
+            'SELECT "Description", "InvoiceMonth", "TotalPrice", prediction FROM tested',
+        ),
+        "demand_metrics": _forest(
+            forests.DEMAND,
+            """
+SELECT round(sqrt(avg(("TotalPrice" - prediction) ** 2)), 2) AS "RMSE",
+       round(avg(abs("TotalPrice" - prediction)), 2) AS "MAE",
+       any_value("numTrees")::INTEGER AS "numTrees", any_value("maxDepth")::INTEGER AS "maxDepth"
+FROM tested""",
+        ),
+        "demand_tuning": _forest(forests.DEMAND, _TUNING),
+        "demand_trees": _forest(forests.DEMAND, forests.trees(forests.DEMAND, 1)),
+        "stock_forecast": _forest(
+            forests.STOCK,
+            'SELECT "Description", "InvoiceMonth", stock_decision, predicted_label FROM tested',
+        ),
+        "stock_metrics": _forest(forests.STOCK, _STOCK_METRICS),
+        "stock_tuning": _forest(forests.STOCK, _TUNING),
+        "stock_trees": _forest(forests.STOCK, forests.trees(forests.STOCK, 1)),
         "demand_forecast_rows": _test_part(
             "features",
             _REGRESSION,

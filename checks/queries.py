@@ -30,6 +30,7 @@ from shelfcast.operators import (
     split,
     stats,
     text,
+    treetables,
 )
 from shelfcast.session import cut_lineage, scratch_path
 from shelfcast.sources import tables
@@ -480,27 +481,63 @@ def cluster_terms(spark: SparkSession, folder: str) -> DataFrame:
 # -- trained models ------------------------------------------------------------------
 
 
+def _demand(spark: SparkSession, folder: str) -> treetables.TableForest:
+    return treetables.demand_forecast(cut_lineage(_features(spark, folder)))
+
+
+def _stock(spark: SparkSession, folder: str) -> treetables.TableForest:
+    return treetables.stock_forecast(cut_lineage(_labeled(spark, folder)))
+
+
 def demand_forecast(spark: SparkSession, folder: str) -> DataFrame:
-    return _iso(forest.demand_forecast(cut_lineage(_features(spark, folder))).predictions)
+    return _iso(_demand(spark, folder).predictions)
 
 
 def demand_metrics(spark: SparkSession, folder: str) -> DataFrame:
     """Scores and chosen parameters of a fresh fit."""
-    document = forest.demand_metrics(forest.demand_forecast(cut_lineage(_features(spark, folder))))
-    return document.select("RMSE", "MAE", "Best Hyperparameters.*")
+    return forest.demand_metrics(_demand(spark, folder)).select("RMSE", "MAE", "Best Hyperparameters.*")
 
 
 def stock_forecast(spark: SparkSession, folder: str) -> DataFrame:
-    return _iso(forest.stock_forecast(cut_lineage(_labeled(spark, folder))).predictions)
+    return _iso(_stock(spark, folder).predictions)
 
 
 def stock_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    return forest.stock_metrics(forest.stock_forecast(cut_lineage(_labeled(spark, folder))))
+    return forest.stock_metrics(_stock(spark, folder))
+
+
+def _tuning(found: treetables.TableForest) -> DataFrame:
+    return found.tuning.withColumn("score", F.round("score", 4))
+
+
+def demand_tuning(spark: SparkSession, folder: str) -> DataFrame:
+    """Hold-out score of each grid point, and which one is best."""
+    return _tuning(_demand(spark, folder))
+
+
+def stock_tuning(spark: SparkSession, folder: str) -> DataFrame:
+    return _tuning(_stock(spark, folder))
+
+
+def _trees(found: treetables.TableForest) -> DataFrame:
+    columns = ["tree", "node", "feature", "threshold", "n_rows"]
+    label = F.element_at("sums", 1).alias("label_sum")
+    return found.nodes.filter(F.col("view") == treetables.FINAL).select(*columns, label)
+
+
+def demand_trees(spark: SparkSession, folder: str) -> DataFrame:
+    """The nodes of all trees of the final forest."""
+    return _trees(_demand(spark, folder))
+
+
+def stock_trees(spark: SparkSession, folder: str) -> DataFrame:
+    """The same; the label sum is that of the most frequent decision."""
+    return _trees(_stock(spark, folder))
 
 
 # -- what any fit must satisfy -------------------------------------------------------
-# SQL cannot grow the trees; it can say which rows a fit must score, and that every
-# property computed from the fit must hold.
+# For the forests and clusters of MLlib, which SQL cannot fit: which rows a fit must score, and
+# that every property computed from the fit must hold.
 
 
 def demand_forecast_rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -737,4 +774,8 @@ REGISTERED: dict[str, Query] = {
     "demand_metrics": demand_metrics,
     "stock_forecast": stock_forecast,
     "stock_metrics": stock_metrics,
+    "demand_tuning": demand_tuning,
+    "stock_tuning": stock_tuning,
+    "demand_trees": demand_trees,
+    "stock_trees": stock_trees,
 }

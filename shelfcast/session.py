@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import cache
@@ -62,6 +64,22 @@ def scratch_tables(spark: SparkSession) -> Iterator[None]:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application; for Python steps in tasks."""
+    context = spark.sparkContext
+    if getattr(context, "_shelfcast_shipped", False):
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="shelfcast-code-"), "shelfcast_code.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for folder, _, names in os.walk(top):
+            for name in (n for n in names if n.endswith(".py")):
+                full = os.path.join(folder, name)
+                archive.write(full, os.path.join("shelfcast", os.path.relpath(full, top)))
+    context.addPyFile(path)
+    context._shelfcast_shipped = True
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Store a table in the shared folder and go on from there.
 
