@@ -179,13 +179,14 @@ def pieces(model: Model, grid: t.TreeGrid = t.TreeGrid()) -> dict[str, str]:
             sums.append(
                 f"list_reduce(list({share} ORDER BY tree), lambda a, b: a + b, 0::DOUBLE) AS v_{c}"
             )
+        sums.append("count(*) AS grown")
         each.append(
             f'SELECT view, key, {number} AS "numTrees", {depth} AS "maxDepth", {", ".join(sums)} '
             f"FROM path_{depth} JOIN sums USING (view, tree, node) WHERE tree < {number} GROUP BY view, key"
         )
     found["summed"] = " UNION ALL ".join(each)
     if classes == 1:
-        said = 'v_0 / "numTrees" AS prediction'
+        said = "v_0 / grown AS prediction"
     else:
         most_of = "greatest(" + ", ".join(f"v_{c}" for c in range(classes)) + ")"
         cases = " ".join(f"WHEN v_{c} = {most_of} THEN {c}" for c in range(classes))

@@ -6,8 +6,9 @@ entry are iterative (forests, k-means); their inputs and their metrics are cover
 
 from __future__ import annotations
 
-from checks import forests
+from checks import forests, kmeans
 from checks.queries import CHOSEN_PRODUCTS, EXPLORED, SPOILT_EVERY, TOP_CUT
+from shelfcast.operators import centers
 from shelfcast.operators.clusters import CLUSTERS, TERMS_PER_CLUSTER
 from shelfcast.operators.encode import INVENTORY_INPUTS, REGRESSION_INPUTS
 from shelfcast.operators.rollup import TOP_PRODUCTS
@@ -222,6 +223,20 @@ def _forest(model: forests.Model, body: str) -> str:
     return _query(model.source, "").rstrip() + ",\n" + grown + "\n" + body
 
 
+def _clusters(last: str, entries: str, vocabulary: str, scale: int, body: str) -> str:
+    steps = kmeans.pieces(entries, vocabulary, scale).items()
+    taken = ",\n".join(f"{name} AS MATERIALIZED ({piece})" for name, piece in steps)
+    return _query(last, "").rstrip() + ",\n" + taken + "\n" + body
+
+
+def _tfidf_clusters(body: str) -> str:
+    return _clusters("phrase_weights", kmeans.WEIGHTS, "phrase_idf", centers.SCALE, body)
+
+
+def _count_clusters(body: str) -> str:
+    return _clusters("vocabulary", kmeans.COUNTS, "vocabulary", 1, body)
+
+
 def _vector(inputs: list[str]) -> str:
     columns = ", ".join(f'CAST("{name}" AS DOUBLE) AS f{i}' for i, name in enumerate(inputs))
     return _query(
@@ -264,6 +279,9 @@ def _pivot(key: str, pivoted: str, values: list[str], source: str) -> str:
     return f'SELECT "{key}", {columns} FROM {source} GROUP BY "{key}"'
 
 
+_CENTERS = """
+SELECT c::INTEGER AS "NLP_Category", term, s AS sum, w AS weight FROM final JOIN terms USING (j)"""
+
 _TUNING = """
 SELECT "numTrees"::INTEGER AS "numTrees", "maxDepth"::INTEGER AS "maxDepth", round(score, 4) AS score,
        b."numTrees" IS NOT NULL AS best
@@ -430,6 +448,21 @@ FROM tested""",
             _INVENTORY,
             "SELECT count(*) AS n_rows, TRUE AS accuracy_agrees, TRUE AS recall_agrees FROM t",
         ),
+        "description_clusters": _count_clusters('SELECT "Description", "NLP_Category" FROM assigned'),
+        "description_centers": _count_clusters(_CENTERS),
+        "tfidf_clusters": _tfidf_clusters('SELECT "Description", "NLP_Category" FROM assigned'),
+        "cluster_cost": _tfidf_clusters(
+            """
+SELECT "NLP_Category", count(*) AS n_names, round(sum(cost), 4) AS cost
+FROM assigned GROUP BY ALL"""
+        ),
+        "cluster_terms": _tfidf_clusters(
+            f"""
+SELECT c::INTEGER AS "NLP_Category", position::INTEGER AS position, term, weight FROM (
+  SELECT c, term, weight, row_number() OVER (PARTITION BY c ORDER BY weight DESC, term) AS position
+  FROM (SELECT c, term, round(s::DOUBLE / w::DOUBLE / {float(centers.SCALE)}::DOUBLE, 6) AS weight
+        FROM final JOIN terms USING (j))) WHERE position <= {TERMS_PER_CLUSTER}"""
+        ),
         "description_clusters_rows": _query(
             "features", 'SELECT DISTINCT "Description", TRUE AS is_nearest FROM features'
         ),

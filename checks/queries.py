@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from shelfcast import schema
 from shelfcast.operators import (
     audit,
+    centers,
     clean,
     clusters,
     encode,
@@ -466,16 +467,31 @@ def tfidf_weights(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def description_clusters(spark: SparkSession, folder: str) -> DataFrame:
-    found = clusters.count_clusters(cut_lineage(_labeled(spark, folder)))
-    return found.assigned
+    found = centers.count_clusters(cut_lineage(_labeled(spark, folder)))
+    return found.assigned.select("Description", "NLP_Category")
+
+
+def description_centers(spark: SparkSession, folder: str) -> DataFrame:
+    """The centres: weighted sums of their points, and their weights."""
+    return centers.count_clusters(cut_lineage(_labeled(spark, folder))).centers
+
+
+def _phrase_clusters(spark: SparkSession, folder: str) -> centers.TableClusters:
+    return centers.tfidf_clusters(cut_lineage(_labeled(spark, folder)))
 
 
 def tfidf_clusters(spark: SparkSession, folder: str) -> DataFrame:
-    return clusters.tfidf_clusters(cut_lineage(_labeled(spark, folder))).assigned
+    return _phrase_clusters(spark, folder).assigned.select("Description", "NLP_Category")
+
+
+def cluster_cost(spark: SparkSession, folder: str) -> DataFrame:
+    """Names and cost of each cluster of the phrases."""
+    found = _phrase_clusters(spark, folder).assigned.groupBy("NLP_Category")
+    return found.agg(F.count("*").alias("n_names"), F.round(F.sum("cost"), 4).alias("cost"))
 
 
 def cluster_terms(spark: SparkSession, folder: str) -> DataFrame:
-    return clusters.cluster_terms(clusters.tfidf_clusters(cut_lineage(_labeled(spark, folder))))
+    return centers.cluster_terms(_phrase_clusters(spark, folder))
 
 
 # -- trained models ------------------------------------------------------------------
@@ -638,7 +654,8 @@ def tfidf_clusters_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 def cluster_terms_rank(spark: SparkSession, folder: str) -> DataFrame:
     """Places of the terms of each cluster, and whether weights fall from place to place."""
-    terms = cluster_terms(spark, folder)
+    found = clusters.tfidf_clusters(cut_lineage(_labeled(spark, folder)))
+    terms = clusters.cluster_terms(found)
     above = F.lag("weight").over(Window.partitionBy("NLP_Category").orderBy("position"))
     return terms.select(
         "NLP_Category", "position", (F.coalesce(above, F.col("weight")) >= F.col("weight")).alias("falls")
@@ -756,6 +773,8 @@ REGISTERED: dict[str, Query] = {
     "tfidf_vocabulary": tfidf_vocabulary,
     "tfidf_weights": tfidf_weights,
     "description_clusters": description_clusters,
+    "description_centers": description_centers,
+    "cluster_cost": cluster_cost,
     "tfidf_clusters": tfidf_clusters,
     "cluster_terms": cluster_terms,
     "stage_round_trip": stage_round_trip,

@@ -194,6 +194,8 @@ def count_clusters(features: DataFrame, k: int = CLUSTERS) -> TableClusters:
     """Clusters on plain term counts; a name weighs as many rows as it stands for."""
     docs = cut_lineage(text.tokens(text.descriptions(features)))
     vocab = [row.term for row in text.vocabulary(docs, "filtered").select("term").collect()]
+    if not vocab:
+        return fit(_without_terms(docs), [], k)
     vectors = text.count_vectors(docs, vocab, "filtered", "features")
     return fit(_integers(vectors, 1), vocab, k)
 
@@ -202,10 +204,17 @@ def tfidf_clusters(features: DataFrame, k: int = CLUSTERS) -> TableClusters:
     """Clusters on weighted one- and two-word phrases, weights to six places."""
     docs = cut_lineage(text.phrases(text.descriptions(features)))
     vocab = [(row.term, row.idf) for row in text.phrase_vocabulary(docs).collect()]
+    if not vocab:
+        return fit(_without_terms(docs), [], k, SCALE)
     vectors = text.tfidf_vectors(docs, vocab, "features")
     return fit(_integers(vectors, SCALE), [term for term, _ in vocab], k, SCALE)
 
 
+def _without_terms(docs: DataFrame) -> DataFrame:
+    """No name has a term of the vocabulary: all are one cluster."""
+    return docs.select("Description", "n_rows", F.array().cast("array<bigint>").alias("vector"))
+
+
 def _integers(vectors: DataFrame, scale: int) -> DataFrame:
     values = F.transform(vector_to_array("features"), lambda x: F.round(x * scale).cast("bigint"))
     return vectors.select("Description", "n_rows", values.alias("vector"))

@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from math import ceil, exp, factorial, sqrt
 
 import numpy as np
@@ -282,7 +282,7 @@ def _histograms(nodes: Nodes, level: int, allowed: np.ndarray, classes: int, n_i
                 for tree in range(trees) if len(rows) else ():
                     at = nodes.reached(view, tree, bins[rows], level)
                     drawn = weights[rows, tree].astype(np.int64)
-                    open_ = (at >= first) & (drawn > 0) & (nodes.sums[view, tree, at, 0] != 1)
+                    open_ = (at >= first) & (drawn > 0)
                     for f in range(n_inputs):
                         use = np.flatnonzero(open_ & allowed[tree, at, f])
                         if len(use):
@@ -354,7 +354,7 @@ def grow(points: DataFrame, n_inputs: int, classes: int, grid: TreeGrid, most: i
     """
     trees, depth = max(grid.trees), max(grid.depths)
     nodes = Nodes.empty(trees, depth, 1 + classes)
-    nodes.sums[:, :, 1, 0] = 2  # not known yet, but enough to be cut
+    nodes.sums[:, :, 1, 0] = 2  # not known yet
     growing = points.filter("grows").select("view", "label", "bins", "weights")
     stats = STATS[: 1 + classes]
     sums = ", ".join(f"{s} bigint" for s in stats)
@@ -368,6 +368,8 @@ def grow(points: DataFrame, n_inputs: int, classes: int, grid: TreeGrid, most: i
                     allowed[tree, node, chosen] = True
         if not allowed.any():
             break
+        if level == 0:
+            nodes.sums[:, :, 1, 0] = 0  # stays so in trees that drew no row
         cells = growing.mapInArrow(
             _histograms(nodes, level, allowed, classes, n_inputs),
             f"forest bigint, node bigint, feature bigint, bin bigint, {sums}",
@@ -428,7 +430,8 @@ def node_table(
 
 def _scored(nodes: Nodes, points: list[tuple[int, int]], classes: int, n_inputs: int, view: int):
     """For each grid point: the mean over its trees of a node's mean label, or the class whose
-    shares in the nodes add up to most, the first of equal ones."""
+    shares in the nodes add up to most, the first of equal ones. Trees that drew no row take no
+    part; without any there is no prediction."""
 
     def value(tree: int, at: np.ndarray) -> np.ndarray:
         sums = nodes.sums[view, tree, at].astype(np.float64)
@@ -440,13 +443,16 @@ def _scored(nodes: Nodes, points: list[tuple[int, int]], classes: int, n_inputs:
             bins = _matrix(batch, "bins", n_inputs)
             for trees, depth in points:
                 total = np.zeros((batch.num_rows, classes))
-                for tree in range(trees):
+                grown = [t for t in range(trees) if nodes.sums[view, t, 1, 0]]
+                for tree in grown:
                     total += value(tree, nodes.reached(view, tree, bins, depth))
-                found = total[:, 0] / trees if classes == 1 else total.argmax(axis=1) * 1.0
+                found = total.argmax(axis=1) * 1.0
+                if classes == 1 and grown:
+                    found = total[:, 0] / len(grown)
                 columns = {n: batch[n] for n in batch.schema.names if n not in ("bins", "view")}
                 columns["numTrees"] = pa.array([trees] * batch.num_rows, pa.int32())
                 columns["maxDepth"] = pa.array([depth] * batch.num_rows, pa.int32())
-                columns["prediction"] = pa.array(found)
+                columns["prediction"] = pa.array(found, mask=np.full(len(found), not grown))
                 yield pa.RecordBatch.from_pydict(columns)
 
     return run
@@ -486,6 +492,8 @@ def _fit(
     """``rows`` need ``label``, an integer; ``values`` are what products are encoded by."""
     spark = rows.sparkSession
     ship_package(spark)
+    own = [name for name in inputs if name != "DescriptionIndex"]
+    rows = rows.select(*dict.fromkeys([*KEYS, "label", *keep, *own, grid.product]))
     inputs = [i for name in inputs for i in (values if name == "DescriptionIndex" else [name])]
     seen = in_views(rows, parts, grid.train_ratio)
     if any(i in values for i in inputs):
@@ -544,7 +552,7 @@ def demand_forecast(
     means = {"product_mean": F.col("label")}
     keep = [*KEYS, "TotalPrice"]
     found = _fit(rows, inputs, means, REGRESSION_PARTS, 1, [], keep, grid)
-    return _with(found, found.predictions.select(*keep, "prediction"))
+    return replace(found, predictions=found.predictions.select(*keep, "prediction"))
 
 
 def stock_forecast(
@@ -570,16 +578,4 @@ def stock_forecast(
     classes = max(2, len(names))
     found = _fit(rows, inputs, shares, INVENTORY_PARTS, classes, names, keep, grid)
     said = F.get(F.lit(names) if names else F.array(F.lit("")), F.col("prediction").cast("int"))
-    return _with(found, found.predictions.select(*keep, said.alias("predicted_label")))
-
-
-def _with(found: TableForest, predictions: DataFrame) -> TableForest:
-    return TableForest(
-        predictions,
-        found.nodes,
-        found.tuning,
-        found.holdout,
-        found.best_parameters,
-        found.inputs,
-        found.labels,
-    )
+    return replace(found, predictions=found.predictions.select(*keep, said.alias("predicted_label")))

@@ -6,15 +6,15 @@ executors recomputes only its own stage, and jobs can be rerun one by one.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfcast import schema
 from shelfcast.operators import (
+    centers,
     clean,
-    clusters,
     features,
     forest,
     holidays,
@@ -22,6 +22,7 @@ from shelfcast.operators import (
     rollup,
     seasonality,
     stats,
+    treetables,
 )
 from shelfcast.schema import TxColumns
 from shelfcast.sources import tables, transactions
@@ -125,30 +126,43 @@ def seasonality_job(spark: SparkSession, stages: Stages) -> dict[str, int]:
 
 
 def demand_job(
-    spark: SparkSession, stages: Stages, tuning: forest.Tuning = forest.Tuning()
-) -> forest.Forecast:
-    result = forest.demand_forecast(_features(spark, stages), tuning=tuning)
+    spark: SparkSession, stages: Stages, grid: treetables.TreeGrid = treetables.TreeGrid()
+) -> treetables.TableForest:
+    """Forecast, metric document, and the model: its nodes and how the grid points scored."""
+    result = treetables.demand_forecast(_features(spark, stages), grid=grid)
     stages.write(result.predictions, "predictions")
     written = stages.read(spark, "predictions", schema.PREDICTIONS)
-    stored = forest.Forecast(written, result.model)
+    stored = replace(result, predictions=written)
     tables.write_metrics(forest.demand_metrics(stored), stages.path("model_metrics"))
+    _write_model(stored, stages, "model")
     return stored
 
 
 def stock_job(
-    spark: SparkSession, stages: Stages, tuning: forest.Tuning = forest.Tuning()
-) -> forest.Forecast:
-    result = forest.stock_forecast(_labeled(spark, stages), tuning=tuning)
+    spark: SparkSession, stages: Stages, grid: treetables.TreeGrid = treetables.TreeGrid()
+) -> treetables.TableForest:
+    result = treetables.stock_forecast(_labeled(spark, stages), grid=grid)
     stages.write(result.predictions, "predictions_inventory")
     written = stages.read(spark, "predictions_inventory", schema.PREDICTIONS_INVENTORY)
-    stored = forest.Forecast(written, result.model)
+    stored = replace(result, predictions=written)
     tables.write_metrics(forest.stock_metrics(stored), stages.path("model_metrics_inventory"))
+    _write_model(stored, stages, "model_inventory")
     return stored
 
 
+def _write_model(found: treetables.TableForest, stages: Stages, name: str) -> None:
+    """Node tables hold arrays, so they are Parquet whatever the format of the stages."""
+    tables.write_stage(found.nodes, stages.path(f"{name}_nodes"))
+    tables.write_stage(found.tuning, stages.path(f"{name}_tuning"))
+
+
 def clusters_job(spark: SparkSession, stages: Stages) -> dict[str, int]:
-    found = clusters.count_clusters(_labeled(spark, stages))
-    return {"description_clusters": stages.write(found.assigned, "description_clusters")}
+    found = centers.count_clusters(_labeled(spark, stages))
+    assigned = found.assigned.select("Description", "NLP_Category")
+    return {
+        "description_clusters": stages.write(assigned, "description_clusters"),
+        "description_centers": tables.write_stage(found.centers, stages.path("description_centers")),
+    }
 
 
 def correlation_job(spark: SparkSession, stages: Stages) -> None:

@@ -7,7 +7,17 @@ from pyspark.sql import functions as F
 
 from checks import queries
 from shelfcast import schema
-from shelfcast.operators import clusters, encode, features, forest, holidays, metrics, rollup, text
+from shelfcast.operators import (
+    clusters,
+    encode,
+    features,
+    forest,
+    holidays,
+    metrics,
+    rollup,
+    text,
+    treetables,
+)
 from shelfcast.plans import jobs
 from shelfcast.session import cut_lineage
 from shelfcast.sources.holidays import uk_bank_holidays
@@ -196,8 +206,10 @@ def test_holidays_of_the_same_months_have_equal_averages(spark, labeled):
     impact = [tuple(r) for r in holidays.holiday_impact(labeled, queries._calendar(spark)).collect()]
     values = dict(impact)
     assert values["Early May Bank Holiday"] == values["Spring Bank Holiday"]
-    assert [v for _, v in impact] == sorted(values.values(), reverse=True)
     assert len(impact) == 10
+    asked = [tuple(r) for r in queries.holiday_impact(spark, SF).collect()]
+    assert dict(asked) == values
+    assert [v for _, v in asked] == sorted(values.values(), reverse=True)
 
 
 def test_seasonal_tables_have_few_rows_per_product(spark):
@@ -225,9 +237,13 @@ def test_jobs_end_to_end(spark, tmp_path, fmt):
     jobs.holiday_impact_job(spark, stages, calendar)
     assert jobs.holiday_products_job(tx, stages, calendar)["top_holiday_products"] > 0
     assert jobs.seasonality_job(spark, stages)["quarterly_summary"] > 0
-    demand = jobs.demand_job(spark, stages, QUICK)
+    small = treetables.TreeGrid(trees=(3, 5), depths=(3,))
+    demand = jobs.demand_job(spark, stages, small)
     assert demand.best_parameters["maxDepth"] == 3
-    jobs.stock_job(spark, stages, QUICK)
+    jobs.stock_job(spark, stages, small)
+    nodes = spark.read.parquet(stages.path("model_nodes"))
+    assert nodes.exceptAll(demand.nodes).count() == 0 and nodes.agg(F.max("depth")).first()[0] == 3
+    assert spark.read.parquet(stages.path("model_inventory_tuning")).filter("best").count() == 1
     assert jobs.clusters_job(spark, stages)["description_clusters"] == 149
     jobs.correlation_job(spark, stages)
 
