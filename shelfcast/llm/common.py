@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
 from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import shelfcast
-from shelfcast.session import cut_lineage
+from shelfcast.session import cut_lineage, ship_package
 
 SPACE = r"[\x20\x09-\x0D]+"
 BLANKS = " \t\n\x0b\f\r"
+BATCH_SETTING, SPARK_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+BATCH_ROWS = 1000
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -41,20 +39,12 @@ def word_bytes(text: str | None) -> list[bytes]:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application."""
-    context = spark.sparkContext
-    if getattr(context, "_shelfcast_shipped", False):
-        return
-    top = os.path.dirname(os.path.abspath(shelfcast.__file__))
-    path = os.path.join(tempfile.mkdtemp(prefix="shelfcast-code-"), "shelfcast_code.zip")
-    with zipfile.ZipFile(path, "w") as archive:
-        for folder, _, names in os.walk(top):
-            for name in names:
-                if name.endswith(".py"):
-                    full = os.path.join(folder, name)
-                    archive.write(full, os.path.join("shelfcast", os.path.relpath(full, top)))
-    context.addPyFile(path)
-    context._shelfcast_shipped = True
+    """Send this package to the executors, once per application, and let Python steps take
+    ``BATCH_ROWS`` rows at a time where the session leaves Spark's own number: texts may be long,
+    and a batch is held several times over, in the executor and in its worker."""
+    if spark.conf.get(BATCH_SETTING) == SPARK_BATCH_ROWS:
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
+    ship_package(spark)
 
 
 def stored(df: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.llm.common import stored
-from shelfcast.llm.order import in_order, part_of
+from shelfcast.operators.order import in_order, part_of
 
 SEED = "ring-1"
 NODES = 256  # virtual nodes of a shard

@@ -21,7 +21,7 @@ from shelfcast.llm.common import ship
 from shelfcast.session import scratch_path
 
 END_ID = 1
-REMEMBERED = 700_000  # encoded words kept by a worker; all are dropped beyond that
+REMEMBERED = 200_000  # encoded words kept by a worker (50 MB); all are dropped beyond that
 WRITE_OPTIONS = {
     "compression": "zstd",
     "parquet.block.size": str(32 << 20),

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm.common import BLANKS, ship, stored
-from shelfcast.llm.order import in_order
+from shelfcast.operators.order import in_order
 
 # The costs of edits.
 REROLE, DELETE, INSERT, CUT_SHORT = 2, 3, 2, 1
