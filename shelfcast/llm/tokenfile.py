@@ -21,7 +21,7 @@ from shelfcast.llm.common import ship
 from shelfcast.session import scratch_path
 
 END_ID = 1
-REMEMBERED = 200_000  # encoded words kept by a worker (50 MB); all are dropped beyond that
+REMEMBERED = 300_000  # encoded words in each of a worker's two generations, 55 MB each
 WRITE_OPTIONS = {
     "compression": "zstd",
     "parquet.block.size": str(32 << 20),
@@ -36,7 +36,7 @@ WRITE_OPTIONS = {
 def _tokenizer(path: str):
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(path), {}
+    return Tokenizer.from_file(path), {}, {}
 
 
 def _special(tokenizer) -> list[bytes]:
@@ -71,7 +71,7 @@ class WordEncoder:
     """
 
     def __init__(self, path: str):
-        self.tokenizer, self.known = _tokenizer(path)
+        self.tokenizer, self.known, self.older = _tokenizer(path)
         self.special = _special(self.tokenizer)
         self.folds = self._ids([b"A"]) == self._ids([b"a"])
         self.closing = _closing(self.tokenizer)
@@ -127,11 +127,15 @@ class WordEncoder:
             if self.folds and not any(s in raw for s in self.special):
                 raw = raw.lower()
             cut.append(raw.split())
-        known = self.known
-        if len(known) > REMEMBERED:
+        known, older = self.known, self.older
+        if len(known) > REMEMBERED:  # words met since then are kept, others are dropped next time
+            older.clear()
+            older.update(known)
             known.clear()
-        new = list(set().union(*cut).difference(known)) if cut else []
-        self._learn(new)
+        new = set().union(*cut).difference(known) if cut else set()
+        met = new.intersection(older)
+        known.update((word, older[word]) for word in met)
+        self._learn(list(new - met))
         return [b"".join(map(known.__getitem__, words)) for words in cut]
 
 
