@@ -6,10 +6,12 @@ references count every document.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import SPACE, stored, words
+from shelfcast.llm.common import BLANKS, stored, words
 
 WINDOW = 5  # words of a repeated window
 LEAST_WORDS = 10
@@ -40,6 +42,10 @@ def _left(text: Column, others: str) -> Column:
     return F.length(F.regexp_replace(text, others, ""))
 
 
+def _without_blanks(content: Column) -> Column:
+    return reduce(lambda text, blank: F.replace(text, F.lit(blank), F.lit("")), BLANKS, content)
+
+
 def symbols(content: Column) -> Column:
     return _left(content, r"[^#*$%&|<>]+")
 
@@ -48,11 +54,12 @@ def _repeated_words(found: Column) -> Column:
     """Words in windows of ``WINDOW`` words that the text has twice or more."""
 
     def windows(w: Column) -> Column:
-        size = F.size(w)
-        start = F.sequence(F.lit(0), size - WINDOW)
-        return F.transform(
-            start,
-            lambda i: F.xxhash64(*(F.get(w, i + k) for k in range(WINDOW))),
+        return _let(
+            F.transform(w, lambda x: F.xxhash64(x)),
+            lambda codes: F.transform(
+                F.sequence(F.lit(0), F.size(w) - WINDOW),
+                lambda i: F.xxhash64(*(F.get(codes, i + k) for k in range(WINDOW))),
+            ),
         )
 
     def covered(codes: Column) -> Column:
@@ -93,7 +100,7 @@ def _repeated_words(found: Column) -> Column:
 def base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``_words`` and the base counts appended (null text: empty)."""
     content = F.coalesce(F.col(text), F.lit(""))
-    lines = F.filter(F.split(content, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    lines = F.filter(F.split(content, "\n", -1), lambda x: F.btrim(x, F.lit(BLANKS)) != "")
     step = docs.withColumn("_words", words(F.col(text))).withColumn("_lines", lines)
     return step.withColumns(
         {
@@ -143,7 +150,7 @@ def references(docs: DataFrame, lang: str = "lang", text: str = "text") -> DataF
         base.select(
             "lang",
             F.posexplode(
-                class_counts(content, F.length(F.regexp_replace(content, SPACE, "")), symbols(content))
+                class_counts(content, F.length(_without_blanks(content)), symbols(content))
             ).alias("k", "n"),
         )
         .groupBy("lang", "k")
