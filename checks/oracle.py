@@ -298,6 +298,41 @@ SELECT round(sum(tp) / sum(a), 4) AS accuracy, round(sum(a * (2 * tp / (a + p)))
 FROM c"""
 
 
+_GATES = """,
+g(stage, rule, n_broken) AS (
+  SELECT stage, rule, CASE
+    WHEN stage = 'lacking' AND rule LIKE '%stock_decision%' THEN 1
+    WHEN stage <> 'spoilt' THEN 0
+    WHEN rule = 'InvoiceMonth is a month' THEN (SELECT count(*) FROM labeled WHERE "Month" = 2)
+    WHEN rule LIKE 'stock_decision is%' THEN (SELECT count(*) FROM labeled WHERE stock_decision = 'Reduce')
+    ELSE 0 END
+  FROM (VALUES ('spoilt'), ('lacking'), ('empty')) s(stage),
+       (VALUES ('has stock_decision'), ('Description is filled'), ('TotalPrice is a number'),
+               ('InvoiceMonth is a month'), ('stock_decision is one of Increase, Maintain')) r(rule)
+  UNION ALL SELECT 'overlong', 'avg_quarter_sales is a number', count(*) FROM quarterly WHERE "Quarter" = 'Q3'
+  UNION ALL SELECT 'overlong', 'Quarter is one of Q1, Q2, Q3', 0
+  UNION ALL SELECT 'missing', 'avg_quarter_sales is a number', 0
+  UNION ALL SELECT 'missing', 'Quarter is one of Q1, Q2, Q3', 0
+  UNION ALL SELECT stage, 'is not empty', (stage IN ('empty', 'missing'))::INTEGER
+  FROM (VALUES ('spoilt'), ('lacking'), ('empty'), ('overlong'), ('missing')) s(stage))
+SELECT stage, rule, n_broken::BIGINT AS n_broken, n_broken = 0 AS passed FROM g"""
+
+_RUN_LOG = f""",
+k AS (
+  SELECT description, month, sum(cents) AS cents FROM clean
+  WHERE CAST(invoice AS BIGINT) % {SPOILT_EVERY} <> 0 GROUP BY description, month),
+m AS (
+  SELECT * FROM k WHERE description IN (
+    SELECT description FROM k GROUP BY description ORDER BY sum(cents) DESC, description LIMIT {TOP_PRODUCTS})),
+n AS (SELECT count(*) AS kept, count(DISTINCT description) AS products FROM m),
+l AS (SELECT count(*) AS lines, count(*) FILTER (
+  CAST(ltrim(invoice, 'C') AS BIGINT) % {SPOILT_EVERY} = 0) AS rejects FROM tx)
+SELECT run, stage, CASE stage WHEN 'monthly' THEN lines ELSE kept END::BIGINT AS rows_in,
+       CASE stage WHEN 'monthly' THEN kept ELSE kept - products END::BIGINT AS rows_out,
+       CASE stage WHEN 'monthly' THEN rejects END::BIGINT AS rejects
+FROM n, l, (VALUES ('first'), ('second')) r(run), (VALUES ('monthly'), ('features')) s(stage)"""
+
+
 def oracle_sql() -> dict[str, str]:
     heat = 'quarterly WHERE "Description" IN (SELECT "Description" FROM heatmap_keys)'
     return {
@@ -567,6 +602,8 @@ FROM phrase_weights""",
             'SELECT "Description", "Quarter", CAST(mean_cents AS DOUBLE) / 100 AS avg_quarter_sales '
             "FROM quarterly WHERE \"Quarter\" <> 'Q4'",
         ),
+        "stage_gate": _query("quarterly", "").rstrip() + _GATES,
+        "run_log": _query("clean", "").rstrip() + _RUN_LOG,
         "stage_audit": _query(
             "features",
             """

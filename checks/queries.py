@@ -23,6 +23,7 @@ from shelfcast.operators import (
     encode,
     features,
     forest,
+    gate,
     holidays,
     metrics,
     reports,
@@ -33,6 +34,8 @@ from shelfcast.operators import (
     text,
     treetables,
 )
+from shelfcast.operators.runlog import RunLog
+from shelfcast.plans import jobs
 from shelfcast.session import cut_lineage, scratch_path
 from shelfcast.sources import tables
 from shelfcast.sources.holidays import read_holidays, uk_bank_holidays
@@ -719,6 +722,59 @@ def stage_audit(spark: SparkSession, folder: str) -> DataFrame:
     return audit.audit_table(spark, counts)
 
 
+def stage_gate(spark: SparkSession, folder: str) -> DataFrame:
+    """Gates of stages that are sound, lack a column, are empty, hold over-long lines and
+    unreadable fields, or are not there."""
+    labeled = cut_lineage(_labeled(spark, folder))
+    spoilt = F.when(F.col("Month") == 2, "2010/13").otherwise(
+        F.date_format("InvoiceMonth", "yyyy-MM-dd")
+    )
+    rules = [
+        gate.column("stock_decision"),
+        gate.filled("Description"),
+        gate.numeric("TotalPrice"),
+        gate.month("InvoiceMonth"),
+        gate.one_of("stock_decision", ("Increase", "Maintain")),
+    ]
+    path = scratch_path(spark, "overlong")
+    measure = F.when(F.col("Quarter") == "Q3", "n/a").otherwise(
+        F.col("avg_quarter_sales").cast("string")
+    )
+    lines = _quarterly(spark, folder).select(
+        F.concat_ws(",", F.concat(F.lit('"'), "Description", F.lit('"')), "Quarter", measure,
+                    F.when(F.col("Quarter") == "Q4", "one field more"))
+    )
+    lines.write.text(path)
+    layout = T.StructType(
+        [T.StructField(c, T.StringType()) for c in ("Description", "Quarter", "avg_quarter_sales")]
+    )
+    read = tables.read_tolerant(spark, path, layout, header=False)
+    missing = tables.read_tolerant(spark, scratch_path(spark, "nowhere"), layout)
+    report = [
+        gate.numeric("avg_quarter_sales"),
+        gate.one_of("Quarter", ("Q1", "Q2", "Q3")),
+    ]
+    found = [
+        gate.check(labeled.withColumn("InvoiceMonth", spoilt), "spoilt", rules),
+        gate.check(labeled.drop("stock_decision"), "lacking", rules),
+        gate.check(labeled.limit(0), "empty", rules),
+        gate.check(read, "overlong", report),
+        gate.check(missing, "missing", report),
+    ]
+    return gate.outcome_table(spark, found)
+
+
+def run_log(spark: SparkSession, folder: str) -> DataFrame:
+    """The log after two runs: raw lines with rejects, then the same stages again."""
+    root = scratch_path(spark, "logged")
+    stages, path = jobs.Stages(root), f"{root}/run_log"
+    for run in ("first", "second"):
+        log = RunLog(spark, path, run)
+        jobs.monthly_job(_spoilt_scan(spark, folder), stages, log=log)
+        jobs.features_job(spark, stages, uk_bank_holidays(spark), log)
+    return log.read().select("run", "stage", "rows_in", "rows_out", "rejects")
+
+
 REGISTERED: dict[str, Query] = {
     "clean_transactions": clean_transactions,
     "transactions_csv_scan": transactions_csv_scan,
@@ -782,6 +838,8 @@ REGISTERED: dict[str, Query] = {
     "tolerant_scan": tolerant_scan,
     "metrics_document": metrics_document,
     "stage_audit": stage_audit,
+    "stage_gate": stage_gate,
+    "run_log": run_log,
     "demand_forecast_rows": demand_forecast_rows,
     "stock_forecast_rows": stock_forecast_rows,
     "demand_metrics_agree": demand_metrics_agree,

@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import SparkSession
 
 from shelfcast.operators import rollup
+from shelfcast.operators.runlog import RunLog
 from shelfcast.plans import jobs
 from shelfcast.session import scratch_tables
 from shelfcast.sources.holidays import read_holidays, uk_bank_holidays
@@ -65,10 +66,13 @@ def main() -> None:
             )
         raise SystemExit("this job needs --transactions or --star")
 
+    log = RunLog(spark, stages.path("run_log"))
     calendar = read_holidays(spark, args.holidays) if args.holidays else uk_bank_holidays(spark)
     steps = {
-        "monthly": lambda: jobs.monthly_job(transactions(True), stages, args.top or None),
-        "features": lambda: jobs.features_job(spark, stages, calendar),
+        "monthly": lambda: jobs.monthly_job(
+            transactions(True), stages, args.top or None, log=log
+        ),
+        "features": lambda: jobs.features_job(spark, stages, calendar, log),
         "holiday-impact": lambda: jobs.holiday_impact_job(spark, stages, calendar),
         "holiday-products": lambda: jobs.holiday_products_job(transactions(), stages, calendar),
         "seasonality": lambda: jobs.seasonality_job(spark, stages),

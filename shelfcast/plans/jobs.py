@@ -6,6 +6,7 @@ executors recomputes only its own stage, and jobs can be rerun one by one.
 
 from __future__ import annotations
 
+from contextlib import nullcontext
 from dataclasses import dataclass, replace
 from datetime import date
 
@@ -17,6 +18,7 @@ from shelfcast.operators import (
     clean,
     features,
     forest,
+    gate,
     holidays,
     reports,
     rollup,
@@ -24,7 +26,9 @@ from shelfcast.operators import (
     stats,
     treetables,
 )
+from shelfcast.operators.runlog import Entry, RunLog
 from shelfcast.schema import TxColumns
+from shelfcast.session import cut_lineage
 from shelfcast.sources import tables, transactions
 
 
@@ -44,44 +48,58 @@ class Stages:
     def write(self, df: DataFrame, name: str, sort_by=None, single_file=False) -> int:
         return tables.write_stage(df, self.path(name), self.fmt, sort_by, single_file)
 
+    def logged(self, log: RunLog | None, stage: str):
+        """An entry of the log, or one that is not kept."""
+        return log.stage(stage) if log else nullcontext(Entry(stage))
+
 
 def monthly_job(
     tx: DataFrame,
     stages: Stages,
     n: int | None = rollup.TOP_PRODUCTS,
     c: TxColumns = TxColumns(),
+    log: RunLog | None = None,
 ) -> dict[str, int]:
     """Raw transactions to monthly sales of the best sellers.
 
     Lines read with ``keep_unreadable`` that do not fit their columns become the stage
-    ``rejects`` and are counted there; the sales are those of all other lines.
+    ``rejects`` and are counted there; the sales are those of all other lines. The raw file is
+    read once: lines are routed to typed tables on both sides, and all else reads those.
     """
-    counts = {}
-    if transactions.UNREADABLE in tx.columns:
-        counts["rejects"] = stages.write(transactions.rejects(tx), "rejects")
-        tx = transactions.readable(tx)
-    sales = clean.clean_transactions(tx, c)
-    monthly = rollup.monthly_sales(sales, n)
-    keys = ["Description", "InvoiceMonth"]
-    return counts | {"monthly_sales": stages.write(monthly, "monthly_sales", keys)}
-
-
-def features_job(spark: SparkSession, stages: Stages, holiday_table: DataFrame) -> dict[str, int]:
+    with stages.logged(log, "monthly") as entry:
+        counts = {}
+        if transactions.UNREADABLE in tx.columns:
+            tx, rejected, seen = transactions.routed(tx, stages.path("transactions_routed"))
+            counts["rejects"] = stages.write(rejected, "rejects")
+            entry.lines, entry.rejects = seen["lines"], seen["rejects"]
+        else:
+            tx = entry.reading(tx)
+        totals = cut_lineage(rollup.monthly_totals(clean.clean_transactions(tx, c)))
+        monthly = rollup.restrict_to_top(totals, n)
+        keys = ["Description", "InvoiceMonth"]
+        entry.rows_out = stages.write(monthly, "monthly_sales", keys)
+        return counts | {"monthly_sales": entry.rows_out}
+
+
+def features_job(
+    spark: SparkSession, stages: Stages, holiday_table: DataFrame, log: RunLog | None = None
+) -> dict[str, int]:
     """Monthly sales to features, with and without the stock decision.
 
     The labelled table is computed once and the plain one is a projection of what was
     written, so the windows do not run twice.
     """
-    monthly = stages.read(spark, "monthly_sales", schema.MONTHLY_SALES)
-    months = holidays.holiday_months(holidays.parse_calendar(holiday_table))
-    labeled = features.label_stock_decision(features.build_features(monthly, months))
-    counts = {
-        "features_with_labels": stages.write(labeled, "features_with_labels"),
-    }
-    written = stages.read(spark, "features_with_labels", schema.FEATURES_LABELED)
-    plain = written.select(*schema.FEATURES.names)
-    counts["features"] = stages.write(plain, "features")
-    return counts
+    with stages.logged(log, "features") as entry:
+        monthly = entry.reading(stages.read(spark, "monthly_sales", schema.MONTHLY_SALES))
+        months = holidays.holiday_months(holidays.parse_calendar(holiday_table))
+        labeled = features.label_stock_decision(features.build_features(monthly, months))
+        counts = {
+            "features_with_labels": stages.write(labeled, "features_with_labels"),
+        }
+        written = stages.read(spark, "features_with_labels", schema.FEATURES_LABELED)
+        plain = written.select(*schema.FEATURES.names)
+        entry.rows_out = counts["features"] = stages.write(plain, "features")
+        return counts
 
 
 def _features(spark: SparkSession, stages: Stages) -> DataFrame:
@@ -170,6 +188,50 @@ def correlation_job(spark: SparkSession, stages: Stages) -> None:
     tables.write_stage(matrix, stages.path("correlation_matrix"), "csv", ["col_a"], True)
 
 
+# What each report is made from, and what its stage must be like.
+REPORT_INPUTS = {
+    "forecast_explorer": "predictions",
+    "product_mae": "predictions",
+    "top_holiday_products": "top_holiday_products",
+    "quarterly_heatmap": "quarterly_summary",
+    "month_labels": "newyear_vs_christmas",
+    "holiday_impact": "holiday_impact",
+    "inventory_matches": "predictions_inventory",
+    "match_counts": "predictions_inventory",
+    "class_by_match": "predictions_inventory",
+}
+REPORT_STAGES = {
+    "predictions": (schema.PREDICTIONS, ("TotalPrice", "prediction")),
+    "predictions_inventory": (schema.PREDICTIONS_INVENTORY, ("predicted_label",)),
+    "quarterly_summary": (schema.QUARTERLY_SUMMARY, ("Quarter", "avg_quarter_sales")),
+    "newyear_vs_christmas": (schema.NEWYEAR_VS_CHRISTMAS, ("avg_monthly_sales",)),
+    "top_holiday_products": (schema.HOLIDAY_PRODUCTS, ("total_sales",)),
+    "holiday_impact": (schema.HOLIDAY_IMPACT, ("Name", "avg_sales")),
+}
+
+
+def _loaded(spark: SparkSession, stages: Stages, name: str) -> DataFrame:
+    table, _ = REPORT_STAGES[name]
+    if stages.fmt == "csv":
+        return tables.tidy_header(tables.read_tolerant(spark, stages.path(name), table))
+    return tables.read_or_empty(spark, stages.path(name), table)
+
+
+def report_gates(spark: SparkSession, stages: Stages) -> dict[str, gate.Outcome]:
+    """Each stage that reports are made from, held to its rules in one pass.
+
+    A stage must be there with rows and with its measures filled.
+    """
+    return {
+        name: gate.check(
+            _loaded(spark, stages, name),
+            name,
+            [*map(gate.column, table.names), *map(gate.filled, measures)],
+        )
+        for name, (table, measures) in REPORT_STAGES.items()
+    }
+
+
 def report_tables(
     spark: SparkSession,
     stages: Stages,
@@ -183,20 +245,18 @@ def report_tables(
     ``first`` and ``last`` the months of the explorer; None is no restriction.
     """
 
-    def load(name: str, table) -> DataFrame:
-        if stages.fmt == "csv":
-            return tables.tidy_header(tables.read_tolerant(spark, stages.path(name), table))
-        return tables.read_or_empty(spark, stages.path(name), table)
+    def load(name: str) -> DataFrame:
+        return _loaded(spark, stages, name)
 
     def chosen(df: DataFrame) -> DataFrame:
         return df if products is None else reports.for_products(df, products)
 
-    predictions = load("predictions", schema.PREDICTIONS)
-    decisions = load("predictions_inventory", schema.PREDICTIONS_INVENTORY)
-    quarterly = load("quarterly_summary", schema.QUARTERLY_SUMMARY)
-    seasonal = load("newyear_vs_christmas", schema.NEWYEAR_VS_CHRISTMAS)
-    sold = load("top_holiday_products", schema.HOLIDAY_PRODUCTS)
-    impact = load("holiday_impact", schema.HOLIDAY_IMPACT)
+    predictions = load("predictions")
+    decisions = load("predictions_inventory")
+    quarterly = load("quarterly_summary")
+    seasonal = load("newyear_vs_christmas")
+    sold = load("top_holiday_products")
+    impact = load("holiday_impact")
     return {
         "regression_metrics": tables.read_metrics(
             spark, stages.path("model_metrics"), schema.REGRESSION_METRICS
@@ -225,13 +285,21 @@ def report_job(
     first: date | None = None,
     last: date | None = None,
 ) -> dict[str, int]:
-    """Write every report table below ``report/``, empty ones too; returns their rows.
+    """Write the report tables below ``report/``; returns their rows.
 
-    A report without rows has no usable input: its stage is missing or empty, or the
-    choice of products and months leaves nothing.
+    A report whose stage does not pass its gate is skipped; ``report/gates`` says of every stage
+    which rules hold and how many rows break the others. A choice of products and months that
+    leaves nothing gives an empty report.
     """
+    gates = report_gates(spark, stages)
+    tables.write_stage(
+        gate.outcome_table(spark, list(gates.values())), stages.path("report/gates"), stages.fmt
+    )
+    for name, source in REPORT_INPUTS.items():
+        if not gates[source].passed:
+            print(f"report {name} skipped: {source}: {gates[source].reason}")
     return {
         name: stages.write(df, f"report/{name}")
         for name, df in report_tables(spark, stages, products, first, last).items()
-        if name not in ("regression_metrics", "inventory_metrics")
+        if name in REPORT_INPUTS and gates[REPORT_INPUTS[name]].passed
     }

@@ -47,7 +47,9 @@ def empty_table(spark: SparkSession, table: T.StructType) -> DataFrame:
     return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in table])
 
 
-def read_tolerant(spark: SparkSession, path: str, table: T.StructType) -> DataFrame:
+def read_tolerant(
+    spark: SparkSession, path: str, table: T.StructType, header: bool = True
+) -> DataFrame:
     """CSV folder read as leniently as a person would read it.
 
     Lines with more fields than the header are skipped, short lines are padded with
@@ -55,7 +57,7 @@ def read_tolerant(spark: SparkSession, path: str, table: T.StructType) -> DataFr
     """
     wide = T.StructType(table.fields + [T.StructField(_OVERFLOW, T.StringType())])
     try:
-        rows = spark.read.schema(wide).option("header", True).option("escape", '"').csv(path)
+        rows = spark.read.schema(wide).option("header", header).option("escape", '"').csv(path)
     except AnalysisException as error:
         if not _path_missing(error):
             raise
@@ -82,11 +84,6 @@ def has_columns(df: DataFrame, names: set[str]) -> bool:
     return names <= set(df.columns)
 
 
-def is_usable(df: DataFrame, names: set[str]) -> bool:
-    """True when the table has the columns and at least one row."""
-    return has_columns(df, names) and not df.isEmpty()
-
-
 # -- sinks ---------------------------------------------------------------------------
 
 

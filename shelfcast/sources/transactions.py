@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfcast import schema
 
 UNREADABLE = "_unreadable"
+REJECTED = "_rejected"
 
 
 def read_transactions(
@@ -58,6 +59,26 @@ def readable(tx: DataFrame) -> DataFrame:
     return tx.filter(F.col(UNREADABLE).isNull() & _all_fields(tx)).drop(UNREADABLE)
 
 
+def routed(tx: DataFrame, path: str) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """One scan of ``tx`` to two tables below ``path``: lines that fit, and rejects.
+
+    The write is partitioned by whether a line is rejected, and counts ``lines`` and ``rejects``
+    as it goes; whoever reads one side opens none of the other's files.
+    """
+    flagged = tx.withColumn(
+        REJECTED, (F.col(UNREADABLE).isNotNull() & _all_fields(tx)).cast("int")
+    )
+    seen = Observation()
+    watched = flagged.observe(
+        seen, F.count(F.lit(1)).alias("lines"), F.sum(REJECTED).alias("rejects")
+    )
+    watched.write.mode("overwrite").partitionBy(REJECTED).parquet(path)
+    counts = {name: seen.get[name] or 0 for name in ("lines", "rejects")}
+    stored = tx.sparkSession.read.schema(flagged.schema).parquet(path)
+    good = stored.filter(F.col(REJECTED) == 0).drop(REJECTED, UNREADABLE)
+    return good, stored.filter(F.col(REJECTED) == 1).drop(REJECTED), counts
+
+
 def _all_fields(tx: DataFrame) -> Column:
     """Always true, but names every column: the reader does not judge fields it need not read."""
     fields = [F.col(f"`{name}`").cast("string") for name in tx.columns if name != UNREADABLE]

@@ -15,11 +15,13 @@ from shelfcast.operators import (
     holidays,
     metrics,
     rollup,
+    runlog,
     text,
     treetables,
 )
 from shelfcast.plans import jobs
 from shelfcast.session import cut_lineage
+from shelfcast.sources import transactions
 from shelfcast.sources.holidays import uk_bank_holidays
 from shelfcast.sources.star import star_transactions
 
@@ -255,8 +257,53 @@ def test_jobs_end_to_end(spark, tmp_path, fmt):
     assert report["quarterly_heatmap"].count() == 12
     assert report["regression_metrics"].first().RMSE > 0
     assert jobs.report_job(spark, stages)["quarterly_heatmap"] == 12
+    gates = stages.read(spark, "report/gates", queries.gate.outcome_table(spark, []).schema)
+    assert gates.filter("NOT passed").count() == 0 and gates.select("stage").distinct().count() == 6
     some = stages.read(spark, "predictions", schema.PREDICTIONS).first()
     month = some.InvoiceMonth
     chosen = jobs.report_tables(spark, stages, [some.Description], month, month)
     assert [r.InvoiceMonth for r in chosen["forecast_explorer"].collect()] == [month]
     assert {r.Description for r in chosen["month_labels"].collect()} <= {some.Description}
+
+
+def test_reports_of_missing_stages_are_skipped_with_a_reason(spark, tmp_path, capsys):
+    stages = jobs.Stages(str(tmp_path))
+    stages.write(holidays.holiday_impact(queries._labeled(spark, SF), queries._calendar(spark)), "holiday_impact")
+    assert set(jobs.report_job(spark, stages)) == {"holiday_impact"}
+    assert "report product_mae skipped: predictions: is not empty: 1 broken" in capsys.readouterr().out
+    gates = spark.read.parquet(stages.path("report/gates"))
+    assert {r.stage for r in gates.filter("passed AND rule = 'is not empty'").collect()} == {"holiday_impact"}
+
+
+def test_raw_lines_are_read_once_and_routed(spark, tmp_path):
+    raw = tmp_path / "raw.csv"
+    good = [f"{i},P{i % 3},{1 + i % 4},2.5,7,2010-0{1 + i % 9}-01 00:00:00" for i in range(900)]
+    bad = ["x1,P1,many,2.5,7,2010-01-01 00:00:00", "x2,P1,1,free,7,2010-01-01 00:00:00"]
+    names = ",".join(schema.TRANSACTIONS.names)
+    order = ["Invoice", "Description", "Quantity", "Price", "Customer ID", "InvoiceDate"]
+
+    def line(text):
+        values = dict(zip(order, text.split(","), strict=True))
+        return ",".join(values.get(n, "x") for n in schema.TRANSACTIONS.names)
+
+    raw.write_text("\n".join([names, *map(line, good + bad)]) + "\n")
+    tx = transactions.read_transactions(spark, str(raw), keep_unreadable=True)
+    log = runlog.RunLog(spark, str(tmp_path / "log"), "one")
+    stages = jobs.Stages(str(tmp_path / "out"))
+    counts = jobs.monthly_job(tx, stages, log=log)
+    assert counts == {"rejects": 2, "monthly_sales": 9}
+    (entry,) = log.read().collect()
+    assert (entry.rows_in, entry.rows_out, entry.rejects) == (902, 9, 2)
+    assert entry.started <= entry.ended
+    again = transactions.routed(tx, str(tmp_path / "routed"))
+    raw.unlink()  # nothing reads the file any more
+    assert (again[0].count(), again[1].count()) == (900, 2) and again[2] == {"lines": 902, "rejects": 2}
+
+
+def test_a_failed_stage_leaves_no_entry(spark, tmp_path):
+    log = runlog.RunLog(spark, str(tmp_path / "log"))
+    with pytest.raises(ValueError), log.stage("broken"):
+        raise ValueError
+    with log.stage("whole") as entry:
+        entry.rows_out = 3
+    assert [(r.run, r.stage, r.rows_out, r.rows_in) for r in log.read().collect()] == [(log.run, "whole", 3, None)]

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from shelfcast import schema
 from shelfcast.operators import audit, clean, rollup
 from shelfcast.plans import jobs
+from shelfcast.operators import gate
 from shelfcast.sources import tables
 from shelfcast.sources.holidays import read_holidays
 from shelfcast.sources.transactions import UNREADABLE, read_transactions, readable, rejects
@@ -145,9 +146,11 @@ def test_header_and_column_gate(spark):
     df = spark.createDataFrame([("a", 1.0)], PAIR).toDF(" k", "v ")
     tidy = tables.tidy_header(df)
     assert tidy.columns == ["k", "v"]
-    assert tables.is_usable(tidy, {"k"})
-    assert not tables.is_usable(tidy, {"k", "z"})
-    assert not tables.is_usable(tidy.limit(0), {"k"})
+    assert gate.check(tidy, "s", [gate.column("k")]).passed
+    assert gate.check(tidy, "s", [gate.column("k"), gate.filled("z")]).reason == "z is filled: 1 broken"
+    assert gate.check(tidy.limit(0), "s", [gate.column("k")]).reason == "is not empty: 1 broken"
+    assert gate.check(tidy.limit(0), "s", [gate.column("k")], allow_empty=True).passed
+    assert not gate.check(tidy, "s", [gate.of_type("v", "string"), gate.numeric("k")]).passed
 
 
 @pytest.mark.parametrize("options", [{}, {"sort_by": ["k"]}, {"sort_by": ["k"], "single_file": True}])
