@@ -7,9 +7,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import types as T
 
 from shelfcast import schema
-from shelfcast.operators import audit, clean, rollup
+from shelfcast.operators import audit, clean, gate, rollup
 from shelfcast.plans import jobs
-from shelfcast.operators import gate
 from shelfcast.sources import tables
 from shelfcast.sources.holidays import read_holidays
 from shelfcast.sources.transactions import UNREADABLE, read_transactions, readable, rejects
