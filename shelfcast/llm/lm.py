@@ -323,11 +323,12 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return parts.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def common_words(counts: DataFrame, most: int = COMMON_WORDS) -> list[tuple[bytes, int]]:
-    """The commonest words, at most ``most`` of at most ``COMMON_BYTES`` bytes each.
+def common_words(counts: DataFrame, most: int | None = None) -> list[tuple[bytes, int]]:
+    """The commonest words, at most ``most`` (``COMMON_WORDS``) of at most ``COMMON_BYTES`` bytes each.
 
     Cut where whole frequencies fit, so that ties are all in or all out.
     """
+    most = COMMON_WORDS if most is None else most
     short = counts.filter(F.octet_length("word") <= COMMON_BYTES)
     sizes = sorted(
         (row.n, row.words) for row in short.groupBy("n").agg(F.count("*").alias("words")).collect()

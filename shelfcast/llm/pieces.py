@@ -501,8 +501,10 @@ def _assemble(model: Model, common):
     return run
 
 
-def common_segments(counts: DataFrame, most: int = COMMON) -> int | None:
-    """Least count at which at most ``most`` short segments are left; None: not one fits."""
+def common_segments(counts: DataFrame, most: int | None = None) -> int | None:
+    """Least count at which at most ``most`` (``COMMON``) short segments are left; None: not one
+    fits."""
+    most = COMMON if most is None else most
     short = counts.filter(F.char_length("segment") <= FOLDED)
     sizes = short.groupBy("n").agg(F.count("*").alias("many")).collect()
     least, held = None, 0
@@ -550,8 +552,10 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
     rare = keyed.mapInArrow(
         _missing(model, common), "k1 bigint, k2 int, rare array<string>"
     ).select("k1", "k2", F.explode("rare").alias("segment"))
+    # equal rows share a key: each of its segments is looked up once
     own = (
-        rare.join(dictionary, "segment")
+        rare.distinct()
+        .join(dictionary, "segment")
         .groupBy("k1", "k2")
         .agg(F.collect_list(F.struct("segment", "ids")).alias("found"))
         .select(

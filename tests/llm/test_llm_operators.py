@@ -557,11 +557,22 @@ def test_pieces_equal_the_library_and_decode(docs, empty):
 
 def test_rare_segments_come_by_the_join(docs, monkeypatch):
     monkeypatch.setattr(pieces, "COMMON", 3)
+    few = docs.sparkSession.createDataFrame([("a", 9), ("b", 5), ("c", 5), ("d", 1)], "segment string, n bigint")
+    assert pieces.common_segments(few) == 5
     whole = sorted((str(r) for r in pieces.encode(docs, PIECE_MODEL).collect()))
     monkeypatch.setattr(pieces, "common_segments", lambda counts, most=0: None)
     assert sorted((str(r) for r in pieces.encode(docs, PIECE_MODEL).collect())) == whole
 
 
+def test_rare_segments_of_equal_rows_are_looked_up_once(spark):
+    text = " ".join(f"rare{i}word" for i in range(60))
+    rows = spark.createDataFrame([(7, text)] * 300 + [(8, text + " more")], "doc_id bigint, text string")
+    found = pieces.encode(rows, PIECE_MODEL).groupBy("doc_id").agg(
+        F.count("*").alias("n"), F.count_distinct("ids").alias("lists")
+    )
+    assert sorted(map(tuple, found.collect())) == [(7, 300, 1), (8, 1, 1)]
+
+
 def test_viterbi_equals_the_library_on_a_unigram_model(spark, docs, tmp_path):
     import sentencepiece
     from sentencepiece import sentencepiece_model_pb2 as proto
