@@ -97,10 +97,16 @@ def test_large_sides_are_not_broadcast(spark):
 ITERATIVE = {
     "demand_forecast",
     "demand_metrics",
+    "demand_tuning",
+    "demand_trees",
     "stock_forecast",
     "stock_metrics",
+    "stock_tuning",
+    "stock_trees",
     "description_clusters",
+    "description_centers",
     "tfidf_clusters",
+    "cluster_cost",
     "cluster_terms",
 }
 COMPANIONS = {
