@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 
 from shelfcast.operators import text
 from shelfcast.operators.clusters import CLUSTERS, TERMS_PER_CLUSTER
-from shelfcast.operators.partitions import partitions_for
 from shelfcast.session import cut_lineage, ship_package
 
 MOST_STEPS = 20
@@ -177,7 +176,7 @@ def fit(
     """Clusters of ``points`` (``Description, n_rows, vector`` of integers in units of ``scale``)."""
     spark = points.sparkSession
     ship_package(spark)
-    points = cut_lineage(points.repartition(partitions_for(points.count()), "Description"))
+    points = cut_lineage(points)  # read once a step; sums do not depend on where points lie
     start = starting_centers(points, k)
     centers, steps, settled = _Centers(start, [1] * len(start)), 0, not start
     while not settled and steps < MOST_STEPS:
