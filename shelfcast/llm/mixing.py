@@ -3,10 +3,12 @@
 The documents of a source are shuffled by a hash and laid end to end, repeatedly; a copy's
 virtual finish time is the number of its source's words up to its end, over the source's
 target. Sorted by finish time over all sources, the mix keeps the target proportions at
-every point, and reaches all targets, and so the total budget, at time 1, where it is cut.
+every point, and reaches all targets, and so the total budget, at time 1, where it is cut. The
+copy of each source that is under way then is served up to that word.
 
-Word sums run inside small slices of a source (a source that holds a third of all rows is
-many slices), and from slice to slice over a table of one row per slice.
+Sums run inside range partitions of narrow rows (a source that holds a third of all rows is
+many partitions), and from partition to partition over a table of one row for each. Texts meet
+their place in the mix in the last join; no window or running sum holds them.
 """
 
 from __future__ import annotations
@@ -19,7 +21,8 @@ from shelfcast.llm.common import SPACE, stored
 WEIGHTS = (3, 1, 2)
 BUDGET_PERCENT = 150
 COPIES = 2  # a document is taken so often at most
-SLICE_DIGITS = 3  # hex digits of the shuffle key that make a slice: 4096 slices a source
+PART_ROWS = 200_000  # narrow rows of a range partition whose sums run in one task
+WORD_AND_BLANKS = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"
 SEED = "mix-1"
 
 
@@ -72,88 +75,131 @@ def targets(sources: DataFrame, weights=WEIGHTS, percent: int = BUDGET_PERCENT)
     )
 
 
-def schedule(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``size, source_size, target, before`` appended.
+def running(rows: DataFrame, order: list, value: str, by: list[str]) -> DataFrame:
+    """``rows`` with ``before``: the sum of ``value`` over the rows that ``order`` puts before
+    a row, among those alike in ``by``, which ``order`` starts with.
 
-    ``before`` is the number of words of the source that stand before the document in its
-    shuffled order. Needs ``doc_id, source, size``; other columns pass through.
+    Rows are range-partitioned by ``order``, about ``PART_ROWS`` each, and summed within their
+    partition; the partitions' own sums, one row for each and ``by``, are summed over all.
     """
-    slice_ = F.substring(F.col("_key"), 1, SLICE_DIGITS)
-    keyed = docs.withColumn("_key", shuffle_key(F.col("doc_id"))).withColumn("_slice", slice_)
-    sums = stored(keyed.groupBy("source", "_slice").agg(F.sum("size").alias("_held")))
-    by = Window.partitionBy("source").orderBy("_slice")
-    until = by.rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select(
-        F.col("source").alias("_source"),
-        F.col("_slice").alias("_own"),
-        F.coalesce(F.sum("_held").over(until), F.lit(0)).alias("_first"),
+    many = rows.count()
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    parts = max(1, -(-many // PART_ROWS), min(cores, many // 1000))
+    laid = stored(rows.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id()))
+    sums = laid.groupBy("part", *by).agg(F.sum(value).alias("held"))
+    until = Window.partitionBy(*by).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast("bigint")
+    firsts = sums.select(
+        F.col("part").alias("_part"),
+        *[F.col(c).alias(f"_{c}") for c in by],
+        F.coalesce(F.sum("held").over(until), zero).alias("_first"),
     )
-    goals = targets(
-        sums.groupBy("source").agg(F.sum("_held").alias("source_size"))
-    ).withColumnRenamed("source", "_source")
-    starts = stored(
-        starts.join(goals, starts["_source"].eqNullSafe(goals["_source"])).drop(goals["_source"])
-    )
-    inside = (
-        Window.partitionBy("source", "_slice")
-        .orderBy("_key", "doc_id", "size")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    placed = keyed.withColumn("_inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    joined = placed.join(
-        starts,
-        placed["source"].eqNullSafe(starts["_source"]) & (placed["_slice"] == starts["_own"]),
-    )
-    return joined.withColumn("before", F.col("_first") + F.col("_inside")).drop(
-        "_key", "_slice", "_source", "_own", "_first", "_inside"
+    inside = Window.partitionBy("part", *by).orderBy(*order)
+    inside = inside.rowsBetween(Window.unboundedPreceding, -1)
+    own = laid.withColumn("_inside", F.coalesce(F.sum(value).over(inside), zero))
+    alike = F.col("part") == F.col("_part")
+    for c in by:
+        alike &= F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return (
+        own.join(firsts, alike)
+        .withColumn("before", F.col("_first") + F.col("_inside"))
+        .drop("part", "_part", "_first", "_inside", *[f"_{c}" for c in by])
     )
 
 
-def taken_of(copy: int) -> Column:
-    """Words that the mix takes of a document's copy: those before virtual time 1."""
-    start = F.col("before") + copy * F.col("source_size")
-    room = F.floor("target").cast("bigint") - start
-    return F.greatest(F.lit(0).cast("bigint"), F.least(F.col("size"), room))
+def goals_of(sized: DataFrame) -> DataFrame:
+    """``source, source_size, target`` of the sources of ``sized`` (``source, size``)."""
+    return targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")))
+
+
+def mix(sized: DataFrame, goals: DataFrame) -> DataFrame:
+    """``row, copy, take, finish, source, doc_id``: the mix, a row for each copy in it.
+
+    ``sized`` holds ``row, doc_id, source, size``. A copy is in if it begins before its source's
+    target; ``take`` of its words are, all but for the copy that passes the target.
+    """
+    keyed = sized.withColumn("key", shuffle_key(F.col("doc_id")))
+    last = F.col("source").asc_nulls_last()
+    placed = running(keyed, [last, "key", "doc_id", "size", "row"], "size", ["source"])
+    goals = goals.withColumnRenamed("source", "_source")
+    due = F.floor("target").cast("bigint")
+    begin = F.col("before") + F.col("copy") * F.col("source_size")
+    copies = (
+        placed.join(goals, F.col("source").eqNullSafe(F.col("_source")))
+        .withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))))
+        .withColumn("begin", begin)
+        .filter(F.col("begin") < due)
+        .withColumn("take", F.least(F.col("size"), due - F.col("begin")))
+        .withColumn("finish", (F.col("begin") + F.col("take")) / F.col("target"))
+        .select("row", "doc_id", "source", "copy", "take", "finish")
+    )
+    budget = goals.agg(F.coalesce(F.sum(due), F.lit(0))).first()[0]
+    order = ["finish", last, "doc_id", "row", "copy"]
+    served = running(copies, order, "take", []).filter(F.col("before") < budget)
+    return served.withColumn("take", F.least(F.col("take"), budget - F.col("before"))).drop("before")
+
+
+def _sized(rows: DataFrame, id, source, text) -> DataFrame:
+    """The narrow rows that are scheduled, written down: ``row`` numbers may not change later."""
+    return stored(
+        rows.select(
+            "row", id.alias("doc_id"), source.cast("string").alias("source"), size_of(text).alias("size")
+        )
+    )
 
 
 def mix_sizes(docs: DataFrame) -> DataFrame:
     """``doc_id, size, source_size, target, taken`` for every document.
 
-    One row per row that went in. The document at a source's target is cut there, so taken
-    words meet the target to a word. Null texts have size 0; null ids are shuffled like any
-    other id; a null source is a source, the last. Rows that repeat an id are documents of
-    their own. No words at all: targets are 0. Reruns agree: the order is a hash of the id.
-    Other columns are ignored.
+    ``taken`` sums the copies that ``mix`` emits. One row per row that went in. The document at a
+    source's target is cut there, so taken words meet the target to a word. Null texts have size
+    0; null ids are shuffled like any other id; a null source is a source, the last. Rows that
+    repeat an id are documents of their own. No words at all: targets are 0. Reruns agree: the
+    order is a hash of the id. Other columns are ignored.
     """
-    sized = docs.select(
-        F.col("doc_id"), F.col("source").cast("string").alias("source"), size_of(F.col("text")).alias("size")
+    numbered = docs.select(
+        F.monotonically_increasing_id().alias("row"), *[F.col(c).alias(c) for c in ("doc_id", "source", "text")]
+    )
+    sized = _sized(numbered, F.col("doc_id"), F.col("source"), F.col("text"))
+    goals = stored(goals_of(sized))
+    taken = mix(sized, goals).groupBy("row").agg(F.sum("take").alias("taken"))
+    goals = goals.withColumnRenamed("source", "_source")
+    return (
+        sized.join(goals, F.col("source").eqNullSafe(F.col("_source")))
+        .join(taken, "row", "left")
+        .select(
+            "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken")
+        )
     )
-    taken = sum((taken_of(c) for c in range(1, COPIES)), taken_of(0))
-    return schedule(sized).select("doc_id", "size", "source_size", "target", taken.alias("taken"))
 
 
-def mix_documents(docs: DataFrame) -> DataFrame:
-    """The mix itself: the columns of ``docs``, whole documents by virtual finish time.
+def first_words(text: Column, many: Column) -> Column:
+    """A text up to the end of its ``many``-th word, blanks as they are."""
+    each = F.regexp_extract_all(text, F.lit(WORD_AND_BLANKS), F.lit(0))
+    return F.array_join(F.slice(each, 1, many.cast("int")), "")
+
 
-    A copy is in if at least half of its words stand before time 1, so a source misses its
-    target by half a document at most. Documents may come twice. Sorted over all sources by
-    finish time; ties by source and id.
+def mix_documents(docs: DataFrame) -> DataFrame:
+    """The mix itself: the columns of ``docs``, by virtual finish time.
+
+    The same copies as ``mix_sizes`` counts. Documents may come twice; a copy that its source's
+    target cuts, one a source at most, has its text up to the last word taken, and its other
+    columns as they were. Sorted over all sources by finish time; ties by source and id. Nulls,
+    repeated ids and documents without words: as there; a document without words is in if it
+    stands before the target. An empty table gives an empty mix. Other columns pass through,
+    whatever their names.
     """
     columns = docs.columns
-    sized = docs.select(F.struct(*columns).alias("_row")).select(
-        "_row",
-        F.col("_row.doc_id").alias("doc_id"),
-        F.col("_row.source").cast("string").alias("source"),
-        size_of(F.col("_row.text")).alias("size"),
-    )
-    copies = schedule(sized).withColumn(
-        "_copy", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1)))
+    whole = stored(
+        docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*columns).alias("doc"))
     )
-    start = F.col("before") + F.col("_copy") * F.col("source_size")
-    copies = copies.filter((F.col("target") > 0) & (2 * start + F.col("size") <= 2 * F.col("target")))
-    finish = (start + F.col("size")) / F.col("target")
+    sized = _sized(whole, F.col("doc.doc_id"), F.col("doc.source"), F.col("doc.text"))
+    copies = stored(mix(sized, stored(goals_of(sized))).join(sized.select("row", "size"), "row"))
+    text = F.when(
+        F.col("take") < F.col("size"), first_words(F.col("doc.text"), F.col("take"))
+    ).otherwise(F.col("doc.text"))
     return (
-        copies.withColumn("_finish", finish)
-        .orderBy("_finish", F.col("source").asc_nulls_last(), "doc_id", "_copy")
-        .select("_row.*")
+        copies.join(whole, "row")
+        .orderBy("finish", F.col("source").asc_nulls_last(), "doc_id", "row", "copy")
+        .select(*[text.alias(c) if c == "text" else F.col(f"doc.`{c}`").alias(c) for c in columns])
     )

@@ -540,6 +540,48 @@ def test_mix_meets_its_targets(docs, empty):
     assert max(Counter(r.doc_id for r in mixed.filter("doc_id < 14").collect()).values()) <= 2
 
 
+@pytest.mark.parametrize("part_rows", [200_000, 3])
+def test_taken_words_are_those_of_the_emitted_mix(spark, docs, monkeypatch, part_rows):
+    monkeypatch.setattr(mixing, "PART_ROWS", part_rows)
+    odd = [(100 + i, f"{i} " * (i % 7 + 1), "en", "abc"[i % 3], 0, "n", i) for i in range(60)]
+    table = docs.unionByName(spark.createDataFrame(odd, DOCS)).withColumn("row", F.lit("clash"))
+    counted = Counter()
+    for r in mixing.mix_sizes(table).collect():
+        counted[r.doc_id] += r.taken
+    mixed = mixing.mix_documents(table).collect()
+    emitted = Counter()
+    whole = {}
+    for r in table.collect():
+        whole.setdefault(r.doc_id, []).append(r)
+    cut = Counter()
+    for r in mixed:
+        emitted[r.doc_id] += len(plain_words(r.text))
+        assert r.row == "clash" and any((r.text or "") == (w.text or "")[: len(r.text or "")] for w in whole[r.doc_id])
+        cut[r.source] += not any(r.text == w.text for w in whole[r.doc_id])
+    assert +emitted == +counted and max(cut.values()) <= 1 and sum(cut.values()) > 0
+    # at every point of the mix the sources' words are near their shares, by a document at most
+    sized = [(r.source, len(plain_words(r.text))) for r in mixed]
+    total, so_far = Counter(), Counter()
+    for s, n in sized:
+        total[s] += n
+    for s, n in (x for x in sized if x[1]):
+        so_far[s] += n
+        time = so_far[s] / total[s]
+        assert all(so_far[o] <= time * total[o] + 1 for o in total if o != s)
+
+
+def test_running_sums_over_a_hot_key(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "PART_ROWS", 50)
+    rows = [(i, "same" if i % 3 else str(i), i % 4) for i in range(1000)]
+    table = spark.createDataFrame(rows, "row bigint, key string, n bigint").repartition(4)
+    found = mixing.running(table, ["key", "row"], "n", []).orderBy("key", "row").collect()
+    total = 0
+    for r in found:
+        assert r.before == total
+        total += r.n
+    assert len(found) == 1000
+
+
 # -- pieces --------------------------------------------------------------------------
 
 
