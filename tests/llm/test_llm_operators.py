@@ -482,6 +482,33 @@ def test_top_k_matches_brute_force(spark):
     assert vafile.top_k(table.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("wave", [16, 1])
+def test_top_k_of_any_finite_vector(spark, monkeypatch, wave):
+    monkeypatch.setattr(vafile, "BLOCK", 5)
+    monkeypatch.setattr(vafile, "WAVE", wave)
+    draw = np.random.default_rng(5)
+    for scale in (1.0, 1e12, 1e30, 7e305, 1.7e308):
+        rows = []
+        for i in range(120):
+            wide = scale if i % 3 else 1.0
+            rows.append((i, [float(x) for x in draw.uniform(-1, 1, 4) * wide]))
+        rows += [(120, [1e30, 1.0]), (121, [2.0**60, 3.0]), (122, [-0.0, 0.0]), (125, [0.0, 0.0])]
+        table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)
+        whole = {i: [math.floor(256 * x) for x in v] for i, v in rows if all(abs(256 * x) < math.inf for x in v)}
+        want = []
+        for q, a in whole.items():
+            if q % 5:
+                continue
+            scores = []
+            for c, b in whole.items():
+                if c != q and len(a) == len(b):
+                    score = sum(x * y for x, y in zip(a, b))
+                    scores.append((-min(max(score, -(1 << 63)), (1 << 63) - 1), c))
+            want += [(q, n + 1, c, -s) for n, (s, c) in enumerate(sorted(scores)[:3])]
+        found = vafile.top_k(table, k=3, every=5).collect()
+        assert sorted(map(tuple, found)) == sorted(want)
+
+
 def test_queries_are_cut_into_blocks_without_one_task_for_all(spark, monkeypatch):
     draw = np.random.default_rng(6)
     table = spark.createDataFrame(
