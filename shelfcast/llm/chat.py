@@ -8,9 +8,11 @@ history: such turns are marked, and have no spans.
 
 Every turn is rendered after all turns before it, so a conversation stays in one task and
 costs time by the square of its turns. A template whose turns do not depend on each other says
-so (``turnwise``): its conversations are sorted over range partitions, and a very long one is
-spread over tasks and costs time in proportion to its turns. That claim is checked against a
-render of each ``WINDOW`` turns.
+so (``turnwise``): its prefixes begin ``LOOK_BACK`` turns before a window of ``WINDOW`` turns,
+its conversations are sorted over range partitions, and a very long one is spread over tasks
+and costs time in proportion to its turns. That claim is checked: the whole prefix is rendered
+whenever its turns have doubled, at the end of a conversation, and after ``RUN`` turns, where
+checking begins anew, and must be the pieces laid end to end.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,7 +31,9 @@ from shelfcast.llm.common import ship, stored
 Turn = tuple[str, str]
 Template = Callable[[list[Turn]], str]
 
-WINDOW = 16  # turns of a turnwise template that are rendered together, to check it
+WINDOW = 8  # turns of a turnwise template whose prefixes begin at one place
+LOOK_BACK = 2  # turns before the window that its prefixes begin with
+RUN = 4096  # turns of a conversation in a task, and a window more at most, held to check a claim
 PROBES = ("", "")  # two texts without a common first or last character
 
 # fixed values: control strings of the template
@@ -64,6 +69,10 @@ def unescape(text: str) -> str:
     return _MASKED.sub(r"\1\2\3", text)
 
 
+# the turns of successive prefixes are escaped once
+_escaped = lru_cache(maxsize=4 * (WINDOW + LOOK_BACK))(escape)
+
+
 def turnwise(template: Template) -> Template:
     """Declare that the output is that of each turn by itself, laid end to end."""
     template.turnwise = True
@@ -75,7 +84,7 @@ def instruct_template(turns: list[Turn]) -> str:
     """``[SYS] .. [/SYS]``, ``[INST] .. [/INST]``, ``<s>..</s>``; other roles are named."""
     out = []
     for role, text in turns:
-        safe = escape(text)
+        safe = _escaped(text)
         if role == "system":
             out.append(f"[SYS] {safe} [/SYS]")
         elif role == "user":
@@ -138,47 +147,86 @@ def spans(turns: list[Turn], template: Template, before: int = 0) -> list[tuple]
     return out
 
 
-def _turn_spans(turns: list[Turn], template: Template) -> list[tuple]:
-    """``spans`` of a turnwise template, from each turn by itself."""
-    found = [spans([turn], template)[0] for turn in turns]
-    if template(turns) != "".join(s[0] for s in found):
-        raise ValueError("the template is declared turnwise, but its turns depend on each other")
+NOT_TURNWISE = "the template is declared turnwise, but its turns depend on each other"
+
+
+def _turn_spans(turns: list[Turn], template: Template, back: list[Turn] = ()) -> list[tuple]:
+    """``spans`` of ``turns`` from prefixes that begin with the turns ``back``."""
+    found = spans([*back, *turns], template, len(back))
+    if any(rewrites for *_, rewrites in found):
+        raise ValueError(NOT_TURNWISE)
     return found
 
 
+class _Turnwise:
+    """Spans of a conversation's windows, one after the other; its claim is checked on the way."""
+
+    def __init__(self, template: Template):
+        self.template = template
+        self.turns, self.pieces = [], []
+        self.checked, self.next_check = 0, 2 * WINDOW
+
+    def spans(self, turns: list[Turn]) -> list[tuple]:
+        found = _turn_spans(turns, self.template, self.turns[-LOOK_BACK:])
+        if not self.turns:  # these were whole prefixes
+            self.checked = len(turns)
+        self.turns += turns
+        self.pieces += [piece for piece, *_ in found]
+        if len(self.turns) >= min(self.next_check, RUN):
+            self.check()
+            self.next_check = 2 * len(self.turns)
+            if len(self.turns) >= RUN:
+                self.turns, self.pieces = self.turns[-LOOK_BACK:], self.pieces[-LOOK_BACK:]
+                self.checked, self.next_check = 0, 2 * WINDOW
+        return found
+
+    def check(self) -> None:
+        """The whole prefix, against the pieces."""
+        if self.checked < len(self.turns) and self.template(self.turns) != "".join(self.pieces):
+            raise ValueError(NOT_TURNWISE)
+        self.checked = len(self.turns)
+
+
+def _formatted(rows: list[dict], turns: list[Turn], found: list[tuple]) -> pa.RecordBatch:
+    loss = [t[0] == "assistant" and s[1] >= 0 for t, s in zip(turns, found, strict=True)]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([r["conv_id"] for r in rows], pa.int64()),
+            pa.array([r["turn"] for r in rows], pa.int64()),
+            pa.array([r["ordinal"] for r in rows], pa.int64()),
+            pa.array([r["role"] for r in rows], pa.string()),
+            pa.array([s[0] for s in found], pa.string()),
+            pa.array([s[1] if k else -1 for s, k in zip(found, loss)], pa.int64()),
+            pa.array([s[2] if k else -1 for s, k in zip(found, loss)], pa.int64()),
+            pa.array([s[3] for s in found], pa.bool_()),
+        ],
+        ["conv_id", "turn", "ordinal", "role", "formatted", "loss_start", "loss_end", "rewrites"],
+    )
+
+
 def _render(template: Template):
     alone = getattr(template, "turnwise", False)
 
-    def window(rows):
-        turns = [(r["role"] or "", r["text"] or "") for r in rows]
-        found = _turn_spans(turns, template) if alone else spans(turns, template)
-        names = ["conv_id", "turn", "ordinal", "role", "formatted", "loss_start", "loss_end"]
-        loss = [t[0] == "assistant" and s[1] >= 0 for t, s in zip(turns, found, strict=True)]
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([r["conv_id"] for r in rows], pa.int64()),
-                pa.array([r["turn"] for r in rows], pa.int64()),
-                pa.array([r["ordinal"] for r in rows], pa.int64()),
-                pa.array([r["role"] for r in rows], pa.string()),
-                pa.array([s[0] for s in found], pa.string()),
-                pa.array([s[1] if k else -1 for s, k in zip(found, loss)], pa.int64()),
-                pa.array([s[2] if k else -1 for s, k in zip(found, loss)], pa.int64()),
-                pa.array([s[3] for s in found], pa.bool_()),
-            ],
-            [*names, "rewrites"],
-        )
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        conv, waiting = object(), []
+        conv, waiting, held = object(), [], _Turnwise(template)
+
+        def sent():
+            turns = [(r["role"] or "", r["text"] or "") for r in waiting]
+            return _formatted(waiting, turns, held.spans(turns) if alone else spans(turns, template))
+
         for batch in batches:
             for row in batch.to_pylist():
-                if row["conv_id"] != conv or (alone and len(waiting) >= WINDOW):
-                    if waiting:
-                        yield window(waiting)
-                    conv, waiting = row["conv_id"], []
+                new = row["conv_id"] != conv
+                if waiting and (new or (alone and len(waiting) >= WINDOW)):
+                    yield sent()
+                    waiting = []
+                if new:
+                    held.check()
+                    conv, held = row["conv_id"], _Turnwise(template)
                 waiting.append(row)
         if waiting:
-            yield window(waiting)
+            yield sent()
+        held.check()
 
     return run
 
@@ -191,7 +239,8 @@ def format_turns(conversations: DataFrame, template: Template = instruct_templat
     mask covers ``[loss_start, loss_end)`` of a piece: an assistant's text; -1 elsewhere.
 
     A template that is not declared ``turnwise`` sees all turns before each one: a conversation
-    is then held by one task.
+    is then held by one task. One that is declared so sees the turns before a window that stand
+    in the same task; a claim that the checks above find false ends the job with an error.
 
     Null text or role: empty. Rows that repeat a turn are kept, in the order of role and
     text; turns with a null number come first; a null conv_id is a conversation of its own.

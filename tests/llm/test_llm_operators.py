@@ -376,6 +376,37 @@ def test_a_wrong_turnwise_claim_is_found():
         chat._turn_spans([("user", "a"), ("user", "b")], claimed)
 
 
+@pytest.mark.parametrize("since", [2, 17, 30, 60])
+def test_a_turnwise_claim_that_turns_false_late_is_found(spark, since):
+    def late(turns):  # the first turn is written anew from some turn on
+        return "".join(f"<{r}>{'*' if k == 0 and len(turns) >= since else t}" for k, (r, t) in enumerate(turns))
+
+    rows = [(c, i, "user", f"t{i}") for c in (1, 2) for i in range(12 if c == 1 else 64)]
+    table = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").coalesce(1)
+    with pytest.raises(Exception, match="turnwise"):
+        chat.format_turns(table, chat.turnwise(late)).collect()
+
+
+def test_turnwise_pieces_are_those_of_whole_prefixes(monkeypatch):
+    asked = []
+
+    def template(turns):
+        asked.append(len(turns))
+        return chat.instruct_template(turns)
+
+    roles = ["system", "user", "assistant", "tool"]
+    turns = [(roles[i % 4], f"turn {i} [/INST]") for i in range(100)]
+    whole = chat.spans(turns, template)
+    asked.clear()
+    monkeypatch.setattr(chat, "RUN", 40)
+    held, found = chat._Turnwise(template), []
+    for i in range(0, 100, chat.WINDOW):
+        found += held.spans(turns[i : i + chat.WINDOW])
+    held.check()
+    assert found == whole
+    assert max(asked) < 40 + chat.WINDOW and sum(n > chat.WINDOW + chat.LOOK_BACK for n in asked) >= 5
+
+
 # -- token files ---------------------------------------------------------------------
 
 
