@@ -31,6 +31,7 @@ CLASSES = {
     "digit": r"[^0-9]+",
     "stop": r"[^.,;:!?'\"()-]+",
 }
+HELPERS = ("_words", "_lines", "_ref", "_lang", "_own")  # columns while a text is measured
 
 
 def _let(value: Column, body) -> Column:
@@ -249,6 +250,20 @@ def common_counts(found: Column, common: Column, any_common: list[str] | None) -
     return _let(coded, counts)
 
 
+def _names_away(columns: list[str]) -> dict[str, str]:
+    """Other names, free among ``columns``, for those named like a helper."""
+    held = {c.lower() for c in columns} | set(HELPERS)
+    away = {}
+    for c in columns:
+        if c.lower() in HELPERS:
+            new = c + "_"
+            while new.lower() in held:
+                new += "_"
+            held.add(new.lower())
+            away[c] = new
+    return away
+
+
 def judge(
     docs: DataFrame,
     refs: DataFrame | None = None,
@@ -261,15 +276,18 @@ def judge(
     its language's than the two distances. Texts of under ``CLASS_GUARD`` marks or
     ``WORD_GUARD`` words are not held to the respective histogram: distance 0. Null, empty
     and blank texts fail the base rules. Every language has its own reference; a null one, or
-    one that given ``refs`` lack, is held to the pooled reference. Columns of ``docs`` named like an output are replaced;
-    others pass through. References are joined by language: broadcast if they are found to be
+    one that given ``refs`` lack, is held to the pooled reference. Rows that repeat are judged
+    one by one, and texts whole, however long. Columns of ``docs`` named like an output are
+    replaced; all others pass through, whatever their names. References are joined by language: broadcast if they are found to be
     of ``BROADCAST_BYTES`` at most, so that no text is shuffled.
     """
     outputs = [
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "class_js", "word_js", "kept",
     ]
-    held = docs.drop(*outputs, "_words", "_ref", "_lang", "_own")
+    held = docs.drop(*outputs)
+    away = _names_away(held.columns)
+    held = held.withColumnsRenamed(away)
     refs = references(held) if refs is None else refs
     pooled = refs.filter(F.col("lang") == POOLED).first()  # one row
     own = refs.filter(F.col("lang") != POOLED).select(
@@ -313,7 +331,7 @@ def judge(
         ~F.col("base_failed")
         & (F.col("class_js") <= class_distance)
         & (F.col("word_js") <= word_distance),
-    ).drop("_words", "_ref", "_lang", "_own")
+    ).drop(*HELPERS).withColumnsRenamed({new: old for old, new in away.items()})
 
 
 def keep_good(docs: DataFrame, refs: DataFrame | None = None) -> DataFrame:
