@@ -388,6 +388,7 @@ FROM calendar JOIN lines ON lines.month = calendar.month GROUP BY name, calendar
         ),
         "features": _query("features", "SELECT * EXCLUDE (month_start, cents) FROM features"),
         "features_labeled": _query("labeled", _LABELED),
+        "features_by_month": _query("labeled", _LABELED),
         "holiday_fanout": _query(
             "features",
             """

@@ -36,6 +36,7 @@ from shelfcast.operators import (
 )
 from shelfcast.operators.runlog import RunLog
 from shelfcast.plans import jobs
+from shelfcast.plans.months import MonthTables, update
 from shelfcast.session import cut_lineage, scratch_path
 from shelfcast.sources import tables
 from shelfcast.sources.holidays import read_holidays, uk_bank_holidays
@@ -775,6 +776,18 @@ def run_log(spark: SparkSession, folder: str) -> DataFrame:
     return log.read().select("run", "stage", "rows_in", "rows_out", "rejects")
 
 
+def features_by_month(spark: SparkSession, folder: str) -> DataFrame:
+    """Labelled features kept by month: older lines first, then the last month with late lines."""
+    kept = MonthTables(scratch_path(spark, "by_month"))
+    lines = star_transactions(spark, folder)
+    last = lines.agg(F.trunc(F.max("InvoiceDate"), "month")).first()[0]
+    later = (F.col("InvoiceDate") >= F.lit(last)) | (F.col("Quantity") > 45)
+    later = F.coalesce(later, F.lit(False))
+    for batch, part in (("first", lines.filter(~later)), ("second", lines.filter(later))):
+        update(part, kept, batch, _months(spark))
+    return _iso(kept.features(spark, rollup.TOP_PRODUCTS))
+
+
 REGISTERED: dict[str, Query] = {
     "clean_transactions": clean_transactions,
     "transactions_csv_scan": transactions_csv_scan,
@@ -791,6 +804,7 @@ REGISTERED: dict[str, Query] = {
     "calendar_file": calendar_file,
     "features": features_plain,
     "features_labeled": features_labeled,
+    "features_by_month": features_by_month,
     "holiday_fanout": holiday_fanout,
     "holiday_impact": holiday_impact,
     "holiday_products": holiday_products,
