@@ -31,13 +31,14 @@ JOBS = [
 
 def arguments() -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="shelfcast")
-    parser.add_argument("job", choices=[*JOBS, "all"])
+    parser.add_argument("job", choices=[*JOBS, "update", "all"])
     parser.add_argument("--root", required=True, help="shared folder for stage tables")
     parser.add_argument("--format", default="parquet", choices=["parquet", "csv"])
     parser.add_argument("--transactions", help="raw transaction lines")
     parser.add_argument("--transactions-format", default="csv", help="csv, parquet or orc")
     parser.add_argument("--timestamp-format", help="date pattern of a CSV that is not ISO")
     parser.add_argument("--star", help="folder with lineitem, orders and part tables")
+    parser.add_argument("--batch", help="name of the lines that update takes in")
     parser.add_argument("--holidays", help="calendar CSV; the bundled calendar if omitted")
     parser.add_argument(
         "--top", type=int, default=rollup.TOP_PRODUCTS, help="best sellers kept; 0 keeps all"
@@ -80,6 +81,9 @@ def main() -> None:
         "stock": lambda: jobs.stock_job(spark, stages).best_parameters,
         "clusters": lambda: jobs.clusters_job(spark, stages),
         "correlation": lambda: jobs.correlation_job(spark, stages),
+        "update": lambda: jobs.update_job(
+            transactions(), stages, args.batch or "", calendar, args.top or None
+        ),
         "report": lambda: jobs.report_job(
             spark, stages, args.product, args.first, args.last
         ),

@@ -27,6 +27,7 @@ from shelfcast.operators import (
     treetables,
 )
 from shelfcast.operators.runlog import Entry, RunLog
+from shelfcast.plans import months
 from shelfcast.schema import TxColumns
 from shelfcast.session import cut_lineage
 from shelfcast.sources import tables, transactions
@@ -102,6 +103,28 @@ def features_job(
         return counts
 
 
+def update_job(
+    tx: DataFrame,
+    stages: Stages,
+    batch: str,
+    holiday_table: DataFrame,
+    n: int | None = rollup.TOP_PRODUCTS,
+    c: TxColumns = TxColumns(),
+) -> dict[str, int]:
+    """A batch of raw lines into the tables kept by month, and from these the stages that
+    ``monthly`` and ``features`` write from all lines."""
+    spark, kept = tx.sparkSession, months.MonthTables(stages.path("by_month"))
+    calendar = holidays.holiday_months(holidays.parse_calendar(holiday_table))
+    months.update(tx, kept, batch, calendar, c)
+    monthly = rollup.restrict_to_top(kept.totals(spark), n)
+    counts = {
+        "monthly_sales": stages.write(monthly, "monthly_sales", ["Description", "InvoiceMonth"]),
+        "features_with_labels": stages.write(kept.features(spark, n), "features_with_labels"),
+    }
+    plain = _labeled(spark, stages).select(*schema.FEATURES.names)
+    return counts | {"features": stages.write(plain, "features")}
+
+
 def _features(spark: SparkSession, stages: Stages) -> DataFrame:
     return stages.read(spark, "features", schema.FEATURES)
 

@@ -54,7 +54,7 @@ class MonthTables:
 
     def totals(self, spark: SparkSession) -> DataFrame:
         table = read_or_empty(spark, self.path("product_months"), schema.MONTHLY_SALES)
-        return table.filter("TotalPrice IS NOT NULL")
+        return table.filter("TotalPrice IS NOT NULL").select(*schema.MONTHLY_SALES.names)
 
     def features(self, spark: SparkSession, n: int | None = None) -> DataFrame:
         """Labelled features of the ``n`` best sellers, or of every product."""

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfcast.operators import clean, features, holidays, rollup
-from shelfcast.plans import months
+from shelfcast.plans import jobs, months
 from shelfcast.sources.holidays import uk_bank_holidays
 
 COLUMNS = (
@@ -125,6 +125,18 @@ def test_a_run_cut_off_is_repeated(spark, calendar, tmp_path, monkeypatch):
     assert counted(tables.features(spark)) == whole(spark, base() + more, calendar)
 
 
+def test_the_update_job_writes_the_stages_of_a_whole_run(spark, calendar, tmp_path):
+    rows = base()
+    parts, full = jobs.Stages(str(tmp_path / "parts")), jobs.Stages(str(tmp_path / "full"))
+    jobs.update_job(lines(spark, rows[:20]), parts, "b1", uk_bank_holidays(spark), 3)
+    jobs.update_job(lines(spark, rows[20:]), parts, "b2", uk_bank_holidays(spark), 3)
+    jobs.monthly_job(lines(spark, rows), full, 3)
+    jobs.features_job(spark, full, uk_bank_holidays(spark))
+    for name in ("monthly_sales", "features_with_labels", "features"):
+        ours, theirs = (spark.read.parquet(s.path(name)) for s in (parts, full))
+        assert ours.columns == theirs.columns and counted(ours) == counted(theirs)
+
+
 def test_nothing_and_bad_names(spark, calendar, tmp_path):
     tables = months.MonthTables(str(tmp_path))
     done = months.update(lines(spark, [line("a", None, 1)]), tables, "b1", calendar)
