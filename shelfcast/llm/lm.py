@@ -1,18 +1,20 @@
 """Language-model scores from a log-bilinear model trained with noise-contrastive estimation.
 
-The model predicts one of its classes from the two tokens before it. Classes are the end of a
-text, every word that the training texts hold ``LEAST`` times, and buckets that rarer words
-are hashed to, about ``BUCKET_WORDS`` distinct ones each: their number grows with the corpus.
-The context vector is the sum of the two words' vectors, each scaled per position. Classes by
-frequency are cut into groups of about the square root of their number; a probability is that
-of the group, a softmax over groups, times that within the group, a softmax over its members,
-so both are normalised exactly for every context. A bucket is shared out by smoothed counts,
-so that the log-probability of a text is normalised over all words.
-
-Training reads every training document: each task fits the shared starting point on its own
-texts, the results are averaged, every class by how often it stood in the task, and that
-repeats. Word counts are exact. Words beyond a bounded table of common ones and the words with
-a class meet their counts in a join.
+The model's size is a parameter; its words are not. A word's hash gives it three codes: a
+head, a tail and a third one; the ``NAMED`` commonest have heads of their own. A word's vector
+as context is the sum of three code rows, so two words share it only if all their codes agree.
+The context vector is the sum of the vectors of the two tokens before, each scaled per
+position. A word's probability is that of its head, a softmax over heads, times that of its
+tail within the head, a softmax over tails that starts from the corpus' shares of the cell
+(head and tail), times the word's smoothed share of its cell's counts. All three are normalised
+exactly for every context, so the log-probability of a text is normalised over all words, and
+with all vectors at zero it is that of the unigram counts. No word is left out or merged
+with others: each keeps its own count, however rare.
+
+Training reads every training document. Texts become hashes once. A starting point is fitted on
+at most ``WARM`` of their tokens, drawn over all of them; from it each task fits its own part,
+about ``PART`` tokens, and the results, of a fixed size each, are averaged in two steps. Word counts are exact and grow with the corpus as a table. Words beyond a
+bounded table of common ones meet their counts in a join.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
@@ -30,68 +32,105 @@ from pyspark.sql import functions as F
 
 from shelfcast.llm.common import ship, stored, word_bytes
 
-END = b""  # the end token; no word is empty
-LEAST = 10  # times in the training texts from which a word is a class of its own
-BUCKET_WORDS = 64  # distinct rarer words of a bucket, about
-FLAT = 256  # classes up to which one group holds all
+END = b""  # the end token; no word is empty; its hash is 0
+NAMED = 256  # heads of one word each
+HEADS = TAILS = 256  # heads and tails that the other words are hashed to
+THIRDS = 1 << 13
 DIMENSIONS = 16
-ROUNDS = 2
+ROUNDS = 1  # passes over all training texts
+WARM = 1 << 20  # tokens of the starting point
+PART = 1 << 23  # tokens of a task that fits
 SEED = 4
-COMMON_WORDS = 200_000  # rows sent to every task at most beside the words with a class, each of
-COMMON_BYTES = 64  # bytes at most; other words are joined, and share the buckets
+COMMON_WORDS = 200_000  # rows sent to every task at most, each of
+COMMON_BYTES = 64  # bytes at most; other words are joined
 SMOOTHING = 0.1
 NOISE = 10  # noise samples that a data sample is told from
-SHARED = 64  # noise groups drawn for a batch, each counted NOISE / SHARED times
-OWN = 4  # noise words drawn for a token within its word's group
-BATCH = 16_384  # tokens of a step
+SHARED = 64  # noise heads drawn for a batch, each counted NOISE / SHARED times
+OWN = 2  # noise tails drawn for a token within its word's head
+BATCH = 1024  # tokens of a step
 RATE = 0.1
 STEADY = 1e-8  # squared gradients that Adagrad starts from
-CHUNK = 1 << 20  # tokens whose contexts are fitted together
+CHUNK = 1 << 20  # tokens that are fitted together
 SCORED = 1 << 17  # tokens that are scored together
 ROWS = 1 << 12  # contexts of a matrix product
+MERGED = 16  # models that reach the driver in a round, at most
 _FLUSH = 500_000  # distinct words held in a task before they are sent on
 
 
+def hashes(found: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(zlib.crc32, found), np.uint32, len(found))
+
+
 @dataclass
-class LogBilinear:
-    """``score(w | a, b) = (near * vectors[b] + far * vectors[a]) . outputs[w] + bias[w]``.
+class Cells:
+    """Which cell a hash belongs to, and the smoothed counts of the cells: those of a cell's
+    words and of one that stands for all its unseen ones."""
 
-    ``heads`` and ``lean`` are the outputs and biases of the groups; class ``w`` is in group
-    ``w // width``.
-    """
+    named: np.ndarray  # hashes with a head of their own, ascending
+    alone: np.ndarray  # their counts
+    mass: np.ndarray  # counts of the others by head and tail
+
+    @property
+    def heads(self) -> np.ndarray:
+        """Counts of the heads, the named ones first."""
+        return np.concatenate([self.alone, self.mass.sum(axis=1)])
+
+    def codes(self, tokens: np.ndarray) -> np.ndarray:
+        """Head, tail and third code of hashes."""
+        at = np.searchsorted(self.named, tokens)
+        own = np.append(self.named, 0)[at] == tokens
+        own &= at < len(self.named)
+        head = np.where(own, at, len(self.named) + tokens % HEADS)
+        rest = tokens // HEADS
+        return np.stack([head, rest % TAILS, rest // TAILS % THIRDS]).astype(np.uint16)
+
+    def share(self, codes: np.ndarray) -> np.ndarray:
+        """Counts of the cells of codes."""
+        hashed = codes[0].astype(int) - len(self.named)
+        own = np.append(self.alone, 0.0)[np.minimum(codes[0], len(self.named))]
+        return np.where(hashed < 0, own, self.mass[np.maximum(hashed, 0), codes[1]])
 
-    vectors: np.ndarray
-    outputs: np.ndarray
+
+@dataclass
+class LogBilinear:
+    """``score(head | a, b) = hidden . heads[head] + lean[head]`` and ``score(tail | head, a, b) =
+    (hidden * gate[head]) . tails[tail] + log mass[head, tail]``, where ``hidden`` is
+    ``near * vector(b) + far * vector(a)`` and a vector is ``by_head + by_tail + by_third``.
+    Named heads have no tails. Tokens are given as codes, one column each."""
+
+    by_head: np.ndarray
+    by_tail: np.ndarray
+    by_third: np.ndarray
     near: np.ndarray
     far: np.ndarray
-    bias: np.ndarray
     heads: np.ndarray
     lean: np.ndarray
+    gate: np.ndarray
+    tails: np.ndarray
 
     @classmethod
-    def start(cls, unigram: np.ndarray, dimensions: int = DIMENSIONS, seed: int = SEED):
+    def start(cls, cells: Cells, dimensions: int = DIMENSIONS, seed: int = SEED):
+        """The model of the unigram counts."""
         draw = np.random.default_rng(seed)
-        shape = (len(unigram), dimensions)
-        group = np.add.reduceat(unigram, np.arange(0, len(unigram), width_of(len(unigram))))
-        own = np.repeat(group, width_of(len(unigram)))[: len(unigram)]
+        heads = len(cells.heads)
+
+        def drawn(rows: int) -> np.ndarray:
+            return draw.normal(0, 0.2, (rows, dimensions)).astype(np.float32)
+
         return cls(
-            draw.normal(0, 0.3, shape).astype(np.float32),
-            draw.normal(0, 0.01, shape).astype(np.float32),
+            drawn(heads),
+            drawn(TAILS),
+            drawn(THIRDS),
             np.ones(dimensions, np.float32),
             np.full(dimensions, 0.5, np.float32),
-            np.log(unigram / own).astype(np.float32),
-            np.zeros((len(group), dimensions), np.float32),
-            np.log(group).astype(np.float32),
+            np.zeros((heads, dimensions), np.float32),
+            np.log(cells.heads / cells.heads.sum()).astype(np.float32),
+            np.ones((HEADS, dimensions), np.float32),
+            np.zeros((TAILS, dimensions), np.float32),
         )
 
-    @property
-    def width(self) -> int:
-        return width_of(len(self.bias))
-
     def arrays(self) -> list[np.ndarray]:
-        return [
-            self.vectors, self.outputs, self.near, self.far, self.bias, self.heads, self.lean
-        ]
+        return [getattr(self, f.name) for f in fields(self)]
 
     def flat(self) -> np.ndarray:
         return np.concatenate([a.ravel() for a in self.arrays()])
@@ -103,77 +142,30 @@ class LogBilinear:
             at += a.size
         return LogBilinear(*parts)
 
-    def rows(self) -> np.ndarray:
-        """The model as rows: one a class, then one a group, then that of the two scales."""
-        n, groups, d = len(self.bias), len(self.lean), len(self.near)
-        out = np.zeros((n + groups + 1, 2 * d + 1), np.float32)
-        out[:n] = np.hstack([self.vectors, self.outputs, self.bias[:, None]])
-        out[n:-1, : d + 1] = np.hstack([self.heads, self.lean[:, None]])
-        out[-1, : 2 * d] = np.concatenate([self.near, self.far])
-        return out
-
-    def with_rows(self, at: np.ndarray, values: np.ndarray) -> LogBilinear:
-        """The model with the rows ``at`` replaced."""
-        n, d = len(self.bias), len(self.near)
-        out = self.rows()
-        out[at] = values
-        return LogBilinear(
-            out[:n, :d].copy(),
-            out[:n, d : 2 * d].copy(),
-            out[-1, :d].copy(),
-            out[-1, d : 2 * d].copy(),
-            out[:n, 2 * d].copy(),
-            out[n:-1, :d].copy(),
-            out[n:-1, d].copy(),
-        )
-
-    def context(self, far: np.ndarray, near: np.ndarray) -> np.ndarray:
-        return self.vectors[near] * self.near + self.vectors[far] * self.far
-
-    def log10(self, far: np.ndarray, near: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """log10 P(word | far, near): normalised once for each distinct context and group."""
-        n, width = len(self.bias), self.width
-        pair, of = np.unique(far * n + near, return_inverse=True)
-        hidden = self.context(pair // n, pair % n)
-        group = word // width
-        out = np.empty(len(word))
-        by = np.argsort(of, kind="stable")
-        ends = np.searchsorted(of[by], np.arange(0, len(pair) + ROWS, ROWS))
-        for first, lo, hi in zip(range(0, len(pair), ROWS), ends, ends[1:]):
-            scores = hidden[first : first + ROWS] @ self.heads.T + self.lean
-            scores -= _log_sum(scores)
-            mine = by[lo:hi]
-            out[mine] = scores[of[mine] - first, group[mine]]
-        by = np.argsort(group, kind="stable")
-        ends = np.searchsorted(group[by], np.arange(len(self.lean) + 1))
-        for g, (lo, hi) in enumerate(zip(ends, ends[1:])):
-            outputs, bias = (a[g * width : (g + 1) * width] for a in (self.outputs, self.bias))
-            asked, place = np.unique(of[by[lo:hi]], return_inverse=True)
-            order = lo + np.argsort(place, kind="stable")
-            place = np.sort(place)
-            for first in range(0, len(asked), ROWS):
-                scores = hidden[asked[first : first + ROWS]] @ outputs.T + bias
-                scores -= _log_sum(scores)
-                a, b = np.searchsorted(place, [first, first + ROWS])
-                mine = by[order[a:b]]
-                out[mine] += scores[place[a:b] - first, word[mine] - g * width]
+    def vector(self, codes: np.ndarray) -> np.ndarray:
+        return self.by_head[codes[0]] + self.by_tail[codes[1]] + self.by_third[codes[2]]
+
+    def log10(self, cells: Cells, far, near, token) -> np.ndarray:
+        """log10 P(cell of token | far, near)."""
+        prior = np.log(cells.mass).astype(np.float32)
+        out = np.empty(token.shape[1])
+        for i in range(0, len(out), ROWS):
+            part = (slice(None), slice(i, i + ROWS))
+            head, tail, _ = token[part]
+            hidden = self.vector(near[part]) * self.near + self.vector(far[part]) * self.far
+            scores = hidden @ self.heads.T + self.lean
+            found = scores[np.arange(len(head)), head] - _log_sum(scores)
+            inner = np.flatnonzero(head >= len(cells.named))
+            row, tail = head[inner] - len(cells.named), tail[inner]
+            scores = (hidden[inner] * self.gate[row]) @ self.tails.T + prior[row]
+            found[inner] += scores[np.arange(len(row)), tail] - _log_sum(scores)
+            out[i : i + ROWS] = found
         return out / math.log(10)
 
-    def log10_table(self) -> np.ndarray:
-        """log10 P(w | a, b) at [a * classes + b, w], for few classes."""
-        n = len(self.bias)
-        far, near, word = (x.ravel() for x in np.indices((n, n, n)))
-        return self.log10(far, near, word).reshape(n * n, n)
-
-
-def width_of(classes: int) -> int:
-    """Classes of a group."""
-    return classes if classes <= FLAT else math.isqrt(classes - 1) + 1
-
 
 def _log_sum(scores: np.ndarray) -> np.ndarray:
-    top = scores.max(axis=1, keepdims=True)
-    return np.log(np.exp(scores - top).sum(axis=1, keepdims=True)) + top
+    top = scores.max(axis=1)
+    return np.log(np.exp(scores - top[:, None]).sum(axis=1)) + top
 
 
 def _summed(index: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -184,102 +176,116 @@ def _summed(index: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return held[starts], np.add.reduceat(values[order], starts, axis=0)
 
 
-def fit_nce(
-    model: LogBilinear,
-    codes: np.ndarray,
-    unigram: np.ndarray,
-    seed: int,
-    rate: float = RATE,
-    squares: list[np.ndarray] | None = None,
-) -> LogBilinear:
-    """``fit_trigrams`` on codes ``(a * classes + b) * classes + w``, for few classes."""
-    n = len(unigram)
-    parts = (codes // (n * n), codes // n % n, codes % n)
-    return fit_trigrams(model, *parts, unigram, seed, rate, squares)
+def _dense(index: np.ndarray, values: np.ndarray, shape: tuple) -> np.ndarray:
+    """The sums at every place."""
+    wide = math.prod(shape[1:])
+    flat = (index.astype(np.int64)[:, None] * wide + np.arange(wide)).ravel()
+    total = np.bincount(flat, values.ravel(), math.prod(shape))
+    return total.astype(np.float32).reshape(shape)
 
 
-def fit_trigrams(
+def fit(
     model: LogBilinear,
-    fars: np.ndarray,
-    nears: np.ndarray,
-    words: np.ndarray,
-    unigram: np.ndarray,
+    cells: Cells,
+    tokens: np.ndarray,
+    ends: np.ndarray,
     seed: int,
     rate: float = RATE,
     squares: list[np.ndarray] | None = None,
 ) -> LogBilinear:
-    """One pass of noise-contrastive estimation over trigrams, with Adagrad steps.
+    """One pass of noise-contrastive estimation over texts, hashes laid end to end, with Adagrad
+    steps.
 
-    Groups are told from noise groups that a batch shares, a word from noise words of its own
-    group; both are drawn from ``unigram``. A step touches the classes of its batch only.
-    ``squares`` carries the step sizes on.
+    Heads are told from noise heads that a batch shares. A word's tail is told from noise tails
+    drawn by the corpus' shares within its head: these stand in the model's odds and in the
+    noise's, so they cancel. ``squares`` carries the step sizes on.
     """
-    width = model.width
+    fars, nears = (cells.codes(x) for x in _before(tokens, ends))
+    words = cells.codes(tokens)
     draw = np.random.default_rng(seed)
     model = LogBilinear(*(a.copy() for a in model.arrays()))
-    vectors, outputs, near, far, bias, heads, lean = model.arrays()
     if squares is None:
         squares = [np.full_like(a, STEADY) for a in model.arrays()]
-    upto = np.concatenate([[0.0], np.cumsum(unigram)])
-    edges = np.minimum(np.arange(0, len(lean) + 1) * width, len(unigram))
-    group_share = np.diff(upto[edges])
-    group_share = group_share / group_share.sum()
-    group_shift = np.log(NOISE * group_share).astype(np.float32)
-    shift = np.log(OWN * unigram / np.repeat(group_share, width)[: len(unigram)])
-    shift = shift.astype(np.float32)
-    order = draw.permutation(len(words))
-
-    def step(values, slot, index, gradient):
-        index, total = _summed(index, gradient.astype(np.float32))
-        squares[slot][index] += total * total
-        values[index] -= rate * total / np.sqrt(squares[slot][index])
-
-    def step_all(values, slot, gradient):
-        squares[slot] += gradient * gradient
-        values -= rate * gradient / np.sqrt(squares[slot])
+    slot = {f.name: i for i, f in enumerate(fields(model))}
+    upto = np.concatenate([[0.0], np.cumsum(cells.mass.ravel())])
+    edges = upto[np.arange(HEADS + 1) * TAILS]
+    share = cells.heads / cells.heads.sum()
+    shift = np.log(NOISE * share).astype(np.float32)
+    order = draw.permutation(len(tokens))
+
+    def step(name: str, index: np.ndarray, gradient: np.ndarray) -> None:
+        values, square = getattr(model, name), squares[slot[name]]
+        if len(values) > len(index):
+            index, total = _summed(index, gradient)
+            square[index] += total * total
+            values[index] -= rate * total / np.sqrt(square[index])
+        else:  # a small table: all rows at once, untouched ones by nothing
+            total = _dense(index, gradient, values.shape)
+            square += total * total
+            values -= rate * total / np.sqrt(square)
+
+    def step_all(name: str, gradient: np.ndarray) -> None:
+        squares[slot[name]] += gradient * gradient
+        getattr(model, name)[:] -= rate * gradient / np.sqrt(squares[slot[name]])
 
     for i in range(0, len(order), BATCH):
         mine = order[i : i + BATCH]
-        word, b, a = words[mine], nears[mine], fars[mine]
         weight = np.float32(1 / len(mine))
-        group = word // width
-        at_b, at_a = vectors[b], vectors[a]
-        hidden = at_b * near + at_a * far
-        by_hidden = np.zeros_like(hidden)
-        if len(lean) > 1:
-            noise = draw.choice(len(lean), SHARED, p=group_share)
-            true = (hidden * heads[group]).sum(axis=1) + lean[group] - group_shift[group]
-            fake = hidden @ heads[noise].T + lean[noise] - group_shift[noise]
-            pull = -weight / (1 + np.exp(np.clip(true, -30, 30)))
-            push = weight * NOISE / SHARED / (1 + np.exp(np.clip(-fake, -30, 30)))
-            by_hidden += pull[:, None] * heads[group] + push @ heads[noise]
-            places = np.concatenate([group, noise])
-            step(heads, 5, places, np.concatenate([pull[:, None] * hidden, push.T @ hidden]))
-            step(lean, 6, places, np.concatenate([pull, push.sum(axis=0)]))
-        low, high = upto[edges[group]][:, None], upto[edges[group + 1]][:, None]
-        noise = np.searchsorted(upto, low + draw.random((len(mine), OWN)) * (high - low), "right")
-        noise = np.clip(noise - 1, edges[group][:, None], edges[group + 1][:, None] - 1)
-        at_word, at_noise = outputs[word], outputs[noise]
-        true = (hidden * at_word).sum(axis=1) + bias[word] - shift[word]
-        fake = np.einsum("nd,nkd->nk", hidden, at_noise) + bias[noise] - shift[noise]
-        pull = -weight / (1 + np.exp(np.clip(true, -30, 30)))
-        push = weight / (1 + np.exp(np.clip(-fake, -30, 30)))
-        by_hidden += pull[:, None] * at_word + np.einsum("nk,nkd->nd", push, at_noise)
-        by_noise = (push[:, :, None] * hidden[:, None, :]).reshape(-1, hidden.shape[1])
-        places = np.concatenate([word, noise.ravel()])
-        step(outputs, 1, places, np.concatenate([pull[:, None] * hidden, by_noise]))
-        step(bias, 4, places, np.concatenate([pull, push.ravel()]))
-        step(vectors, 0, np.concatenate([b, a]), np.concatenate([by_hidden * near, by_hidden * far]))
-        step_all(near, 2, (by_hidden * at_b).sum(axis=0))
-        step_all(far, 3, (by_hidden * at_a).sum(axis=0))
+        head, tail, _ = words[:, mine]
+        at_b, at_a = model.vector(nears[:, mine]), model.vector(fars[:, mine])
+        hidden = at_b * model.near + at_a * model.far
+
+        noise = draw.choice(len(share), SHARED, p=share).astype(np.uint16)
+        own, others = model.heads[head], model.heads[noise]
+        pull = -weight * _chance(shift[head] - (hidden * own).sum(axis=1) - model.lean[head])
+        push = weight * NOISE / SHARED * _chance(hidden @ others.T + (model.lean - shift)[noise])
+        by_hidden = pull[:, None] * own + push @ others
+        places = np.concatenate([head, noise])
+        by_heads = np.concatenate([pull[:, None] * hidden, push.T @ hidden])
+        by_lean = np.concatenate([pull, push.sum(axis=0)])
+
+        inside = np.flatnonzero(head >= len(cells.named))
+        head, tail = head[inside].astype(int) - len(cells.named), tail[inside]
+        low, high = edges[head], edges[head + 1]
+        cell = np.searchsorted(upto, low + draw.random((OWN, len(head))) * (high - low), "right")
+        noise = np.clip(cell - 1 - head * TAILS, 0, TAILS - 1).astype(np.uint16)
+        gate = model.gate[head]
+        gated = hidden[inside] * gate
+        own = model.tails[tail]
+        pull = -weight * _chance(math.log(OWN) - (gated * own).sum(axis=1))
+        by_gated = pull[:, None] * own
+        inner, by_tails = [tail], [pull[:, None] * gated]
+        for drawn in noise:
+            other = model.tails[drawn]
+            push = weight * _chance((gated * other).sum(axis=1) - math.log(OWN))
+            by_gated += push[:, None] * other
+            inner.append(drawn)
+            by_tails.append(push[:, None] * gated)
+        by_hidden[inside] += by_gated * gate
+
+        step("heads", places, by_heads)
+        step("lean", places, by_lean)
+        if len(inside):
+            step("tails", np.concatenate(inner), np.concatenate(by_tails))
+            step("gate", head.astype(np.uint16), by_gated * hidden[inside])
+        by_vector = np.concatenate([by_hidden * model.near, by_hidden * model.far])
+        context = np.concatenate([nears[:, mine], fars[:, mine]], axis=1)
+        for name, index in zip(("by_head", "by_tail", "by_third"), context, strict=True):
+            step(name, index, by_vector)
+        step_all("near", (by_hidden * at_b).sum(axis=0))
+        step_all("far", (by_hidden * at_a).sum(axis=0))
     return model
 
 
-def _before(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The classes two and one before, in texts laid end to end; ``ends`` are the places of class 0."""
-    n = len(ids)
-    back = np.zeros(n + 2, np.int64)
-    back[2:] = ids
+def _chance(odds: np.ndarray) -> np.ndarray:
+    return 0.5 + 0.5 * np.tanh(0.5 * odds)
+
+
+def _before(tokens: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes two and one before, in texts laid end to end; ``ends`` are the places of the ends."""
+    n = len(tokens)
+    back = np.zeros(n + 2, tokens.dtype)
+    back[2:] = tokens
     near, far = back[1 : n + 1].copy(), back[:n].copy()
     starts = np.concatenate([[0], ends[:-1] + 1])
     near[starts] = 0
@@ -289,12 +295,6 @@ def _before(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return far, near
 
 
-def _contexts(ids: np.ndarray, ends: np.ndarray, classes: int) -> np.ndarray:
-    """Codes of the trigrams of texts laid end to end, for few classes."""
-    far, near = _before(ids, ends)
-    return (far * classes + near) * classes + ids
-
-
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen: Counter = Counter()
 
@@ -349,205 +349,157 @@ def held_out(id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id).cast("string")) % 10 == 0, F.lit(False))
 
 
-def _local_fit(shared, round_: int):
+def _hash_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = [
+            hashes([*word_bytes(text), END]).tobytes() for text in batch.column("text").to_pylist()
+        ]
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], ["tokens"])
+
+
+def _local_fit(shared, round_: int, most: float = math.inf):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, first, buckets, unigram, start = shared.value
-        own, ids, ends = start, [], []
-        squares = [np.full_like(a, STEADY) for a in start.arrays()]
-        seen = np.zeros(len(unigram), np.int64)
-
-        def learn(own):
-            flat = np.fromiter(ids, np.int64, len(ids))
-            far, near = _before(flat, np.array(ends, np.int64))
-            np.add(seen, np.bincount(flat, minlength=len(seen)), out=seen)
+        cells, own = shared.value
+        squares = [np.full_like(a, STEADY) for a in own.arrays()]
+        held, ends, size, total = [], [], 0, 0
+
+        def learnt() -> LogBilinear:
+            tokens = np.frombuffer(b"".join(held), np.uint32)
             rate = RATE / (1 + round_)
-            return fit_trigrams(own, far, near, flat, unigram, SEED + round_, rate, squares)
+            return fit(own, cells, tokens, np.array(ends), SEED + round_, rate, squares)
 
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                for w in word_bytes(text):
-                    k = ids_of.get(w)
-                    ids.append(first + zlib.crc32(w) % buckets if k is None else k)
-                ids.append(0)
-                ends.append(len(ids) - 1)
-                if len(ids) >= CHUNK:
-                    own = learn(own)
-                    ids, ends = [], []
-        if ids:
-            own = learn(own)
-        tokens = int(seen.sum())
-        if tokens:
-            rows = own.rows()
-            times = np.full(len(rows), tokens, np.int64)
-            times[: len(seen)] = seen
-            at = np.flatnonzero(times)
-            for i in range(0, len(at), 4096):
-                yield _row_batch(at[i : i + 4096], rows[at[i : i + 4096]], times[at[i : i + 4096]])
+            for text in batch.column("tokens").to_pylist():
+                held.append(text)
+                size += len(text) // 4
+                ends.append(size - 1)
+                if size >= CHUNK or total + size >= most:
+                    own = learnt()
+                    held, ends, size, total = [], [], 0, total + size
+                if total >= most:
+                    yield _model_batch(own.flat(), total)
+                    return
+        if size:
+            own = learnt()
+        if total + size:
+            yield _model_batch(own.flat(), total + size)
 
     return run
 
 
-def _row_batch(at, rows, times) -> pa.RecordBatch:
+def _model_batch(flat: np.ndarray, tokens: int) -> pa.RecordBatch:
+    row = np.asarray(flat, np.float32).tobytes()
     return pa.RecordBatch.from_arrays(
-        [
-            pa.array(at, pa.int32()),
-            pa.array([r.tobytes() for r in np.asarray(rows, np.float32)], pa.binary()),
-            pa.array(times, pa.int64()),
-        ],
-        ["at", "row", "times"],
+        [pa.array([row], pa.binary()), pa.array([tokens], pa.int64())], ["model", "tokens"]
     )
 
 
-def _matrix(column) -> np.ndarray:
-    held = column.to_pylist()
-    return np.frombuffer(b"".join(held), np.float32).reshape(len(held), -1)
-
-
-def _mean_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Weighted means of rows that arrive sorted by ``at``; holds back the last one."""
-    at, total, times = np.empty(0, np.int64), None, np.empty(0, np.int64)
+def _mean_model(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Mean of models by their tokens; holds one at a time beside the sum."""
+    total, tokens = None, 0
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        more = batch.column("times").to_numpy()
-        rows = _matrix(batch.column("row")).astype(np.float64) * more[:, None]
-        places = np.concatenate([at, batch.column("at").to_numpy()])
-        rows = rows if total is None else np.concatenate([total, rows])
-        starts = np.flatnonzero(np.concatenate([[True], places[1:] != places[:-1]]))
-        total = np.add.reduceat(rows, starts, axis=0)
-        times = np.add.reduceat(np.concatenate([times, more]), starts)
-        at = places[starts]
-        if len(at) > 1:
-            yield _row_batch(at[:-1], total[:-1] / times[:-1, None], times[:-1])
-            at, total, times = at[-1:], total[-1:], times[-1:]
-    if len(at):
-        yield _row_batch(at, total / times[:, None], times)
+        for row, n in zip(batch.column("model"), batch.column("tokens").to_pylist()):
+            one = np.frombuffer(row.as_py(), np.float32).astype(np.float64) * n
+            total, tokens = one if total is None else total + one, tokens + n
+    if tokens:
+        yield _model_batch(total / tokens, tokens)
 
 
 @dataclass
 class Scorer:
-    """All that scoring needs but the counts of words outside ``common`` and ``classes``.
-
-    ``classes`` holds class and count of the end and of every word with a class of its own;
-    a bucket ``k`` is class ``len(classes) + k``.
-    """
+    """All that scoring needs but the counts of words outside ``common``; of bounded size."""
 
     model: LogBilinear
-    classes: dict[bytes, tuple[int, int]]
+    cells: Cells
     common: list[tuple[bytes, int]]
     total: int
     distinct: int
-    rare_total: np.ndarray
-    rare_distinct: np.ndarray
-
-
-def own_class():
-    """A word of ``word, n`` is a class of its own."""
-    short = F.octet_length("word").between(1, COMMON_BYTES)
-    return short & (F.col("n") >= LEAST)
 
 
-def train(training: DataFrame, counts: DataFrame, rounds: int = ROUNDS):
+def cells_of(counts: DataFrame) -> Cells:
+    """The cells of ``word, n``; at most a row a cell reaches the driver."""
+    commonest = counts.orderBy(F.desc("n"), "word").limit(NAMED).select(F.crc32("word").alias("h"))
+    named = sorted({r.h for r in commonest.collect()})
+    hash_, size = F.crc32("word"), HEADS * TAILS
+    cell = F.when(hash_.isin(named), size + hash_).otherwise(hash_ % size)
+    sums = counts.groupBy(cell.alias("cell")).agg(F.sum("n").alias("n"), F.count("*").alias("words"))
+    table = sums.orderBy("cell").toArrow()
+    place = table["cell"].to_numpy()
+    own = table["n"].to_numpy() + SMOOTHING * (table["words"].to_numpy() + 1)
+    mass = np.full(size, SMOOTHING)
+    mass[place[place < size]] = own[place < size]
+    # the head is the lower part of a hash
+    by_head = np.ascontiguousarray(mass.reshape(TAILS, HEADS).T)
+    return Cells(np.array(named, np.uint32), own[place >= size], by_head)
+
+
+def train(training: DataFrame, counts: DataFrame, rounds: int = ROUNDS) -> Scorer:
     """``Scorer`` learnt from all of ``training`` (column ``text``); ``counts`` are its words."""
     spark = training.sparkSession
     ship(spark)
-    total, distinct, ends = counts.agg(
-        F.coalesce(F.sum("n"), F.lit(0)),
-        F.count("*"),
-        F.coalesce(F.sum(F.when(F.octet_length("word") == 0, F.col("n"))), F.lit(0)),
-    ).first()
-    # grows with the corpus, as the model does: one row a class
-    top = counts.filter(own_class()).orderBy(F.desc("n"), "word").toArrow()
-    number = {END: (0, int(ends))}
-    for i, (w, n) in enumerate(zip(top["word"].to_pylist(), top["n"].to_pylist(), strict=True)):
-        number[w] = (i + 1, n)
-    rare = counts.filter(~own_class() & (F.octet_length("word") > 0))
-    buckets = max(1, -(-(int(distinct) - len(number) + (not ends)) // BUCKET_WORDS))
-    rare_total, rare_distinct = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
-    sums = (
-        rare.groupBy((F.crc32("word") % buckets).cast("int").alias("k"))
-        .agg(F.sum("n").alias("n"), F.count("*").alias("words"))
-        .toArrow()
-    )
-    rare_total[sums["k"].to_numpy()] = sums["n"].to_numpy()
-    rare_distinct[sums["k"].to_numpy()] = sums["words"].to_numpy()
-    seen = np.concatenate([[n for _, n in number.values()], rare_total]).astype(np.float64)
-    unigram = (seen + 1.0) / (seen + 1.0).sum()
-    model = LogBilinear.start(unigram)
-    ids = {w: k for w, (k, _) in number.items()}
-    for round_ in range(rounds if total else 0):
-        shared = spark.sparkContext.broadcast((ids, len(number), buckets, unigram, model))
-        schema = "at int, row binary, times bigint"
-        fitted = training.select("text").mapInArrow(_local_fit(shared, round_), schema)
-        mean = (
-            fitted.repartition("at").sortWithinPartitions("at").mapInArrow(_mean_rows, schema)
-        ).toArrow()  # a row a class at most
-        model = model.with_rows(mean["at"].to_numpy(), _matrix(mean["row"]))
+    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    cells = cells_of(counts)
+    model = LogBilinear.start(cells)
+    if total:
+        hashed = training.select("text").mapInArrow(_hash_texts, "tokens binary")
+        hashed = stored(hashed.repartition(-(-total // PART)))
+        row = F.xxhash64("tokens", F.monotonically_increasing_id())
+        passes = [(hashed.filter(row % -(-total // WARM) == 0).repartition(1), WARM)]
+        passes += [(hashed, math.inf)] * rounds
+    for round_, (rows, most) in enumerate(passes if total else []):
+        shared = spark.sparkContext.broadcast((cells, model))
+        schema = "model binary, tokens bigint"
+        fitted = rows.mapInArrow(_local_fit(shared, round_, most), schema)
+        means = fitted.repartition(MERGED).mapInArrow(_mean_model, schema).toArrow()
+        for mean in _mean_model(iter(means.to_batches())):
+            model = model.unflat(np.frombuffer(mean.column("model")[0].as_py(), np.float32))
         shared.unpersist()
-    common = common_words(counts)
-    return Scorer(model, number, common, int(total), int(distinct), rare_total, rare_distinct)
+    return Scorer(model, cells, common_words(counts), int(total), int(distinct))
 
 
 def _scored(shared, extra: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, entry, first, rare_total, rare_distinct = shared.value
-        weight = np.array([math.log10(n + SMOOTHING) for _, n in entry.values()] + [0.0])
-        number = [k for k, _ in entry.values()] + [-1]
-        known = np.array([n > 0 for _, n in entry.values()] + [False])
-        place = {w: i for i, w in enumerate(entry)}
-        tail, end, buckets = len(place), place[END], len(rare_total)
-        # a bucket is shared out among its words and one that stands for all unseen ones
-        share = np.log10(rare_total + SMOOTHING * (rare_distinct + 1))
+        model, cells, common = shared.value
+        place = {w: i for i, (w, _) in enumerate(common)}
+        count = np.array([n for _, n in common] + [0])
+        weight = np.log10(count + SMOOTHING)
+        weight[-1] = 0.0  # comes with the join
         pairs = pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())]))
 
-        def scored(held, at, ids, ends, unseen):
-            at, ids, ends = (np.array(x, np.int64) for x in (at, ids, ends))
-            far, near = _before(ids, ends)
-            plain = weight[at]
-            rare = ids >= first
-            fancy = model.log10(far, near, ids)
-            fancy[rare] += plain[rare] - share[ids[rare] - first]
-            starts = np.concatenate([[0], ends[:-1] + 1])
+        def scored(held: pa.StructArray, texts: list[list[bytes]], at, rare) -> pa.RecordBatch:
+            tokens = hashes([w for text in texts for w in text])
+            at = np.fromiter(at, np.int64, len(tokens))
+            sizes = np.array([len(text) for text in texts])
+            ends = np.cumsum(sizes) - 1
+            far, near = (cells.codes(x) for x in _before(tokens, ends))
+            own = cells.codes(tokens)
+            fancy = model.log10(cells, far, near, own) - np.log10(cells.share(own)) + weight[at]
+            starts = ends + 1 - sizes
+            unseen = [[{"word": w, "times": t} for w, t in x.items()] for x in rare]
             return pa.RecordBatch.from_arrays(
                 [
-                    *(pa.concat_arrays([h.field(i) for h in held]) for i in range(len(extra))),
-                    pa.array(np.diff(np.concatenate([[-1], ends])), pa.int64()),
-                    pa.array(np.add.reduceat(known[at].astype(np.int64), starts), pa.int64()),
-                    pa.array(np.add.reduceat(plain, starts), pa.float64()),
+                    *(held.field(i) for i in range(len(extra))),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(np.add.reduceat((count[at] > 0).astype(np.int64), starts)),
+                    pa.array(np.add.reduceat(weight[at], starts), pa.float64()),
                     pa.array(np.add.reduceat(fancy, starts), pa.float64()),
-                    pa.array(
-                        [[{"word": w, "times": t} for w, t in x.items()] for x in unseen], pairs
-                    ),
+                    pa.array(unseen, pairs),
                 ],
                 [*extra, "n_tokens", "n_known", "plain", "fancy", "tail"],
             )
 
-        held, at, ids, ends, unseen = [], [], [], [], []
         for batch in batches:
-            fields = pa.StructArray.from_arrays([batch.column(c) for c in extra], extra)
-            begun = 0
+            held = pa.StructArray.from_arrays([batch.column(c) for c in extra], extra)
+            begun, texts, at, rare = 0, [], [], []
             for row, text in enumerate(batch.column("text").to_pylist()):
-                missing = Counter()
-                for w in word_bytes(text):
-                    i = place.get(w, tail)
-                    k = number[i]
-                    if i == tail:
-                        missing[w] += 1
-                    at.append(i)
-                    ids.append(first + zlib.crc32(w) % buckets if k < 0 else k)
-                at.append(end)
-                ids.append(0)
-                ends.append(len(at) - 1)
-                unseen.append(missing)
-                if len(at) >= SCORED:
-                    held.append(fields.slice(begun, row + 1 - begun))
-                    yield scored(held, at, ids, ends, unseen)
-                    held, at, ids, ends, unseen = [], [], [], [], []
-                    begun = row + 1
-            if begun < batch.num_rows:
-                held.append(fields.slice(begun))
-        if ends:
-            yield scored(held, at, ids, ends, unseen)
+                found = [*word_bytes(text), END]
+                texts.append(found)
+                own = [place.get(w, len(common)) for w in found]
+                at.extend(own)
+                rare.append(Counter(w for w, i in zip(found, own) if i == len(common)))
+                if len(at) >= SCORED or row + 1 == batch.num_rows:
+                    yield scored(held.slice(begun, row + 1 - begun), texts, at, rare)
+                    begun, texts, at, rare = row + 1, [], [], []
 
     return run
 
@@ -555,16 +507,14 @@ def _scored(shared, extra: list[str]):
 def score(docs: DataFrame, scorer: Scorer, counts: DataFrame) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` per row.
 
-    ``docs`` has ``doc_id, held_out, text``. Scores are sums of log10 probabilities over the
-    words and the end token. A null or empty text is the end token alone. One row per row
-    that went in; ids may repeat or be null. Without any training text both scores rest on
-    the smoothing alone.
+    ``docs`` has ``doc_id, held_out, text``; other columns, whatever their names, are left out.
+    Scores are sums of log10 probabilities over the words and the end token of the whole text,
+    however long. A null or empty text is the end token alone. One row per row that went in;
+    ids may repeat or be null. Without any training text both scores rest on the smoothing
+    alone.
     """
     spark = docs.sparkSession
-    entry = {w: (-1, n) for w, n in scorer.common} | scorer.classes
-    shared = spark.sparkContext.broadcast(
-        (scorer.model, entry, len(scorer.classes), scorer.rare_total, scorer.rare_distinct)
-    )
+    shared = spark.sparkContext.broadcast((scorer.model, scorer.cells, scorer.common))
     extra = ["doc_id", "held_out"]
     parts = docs.select(*extra, "text").mapInArrow(
         _scored(shared, extra),

@@ -251,44 +251,121 @@ def test_language_model_counts_and_base_score(docs, monkeypatch):
         assert g[:5] == w[:5] and g[5] == pytest.approx(w[5], abs=1e-6) and g[6] < 0
 
 
+def model_of(counts):
+    """Cells by plain counting, and a model with drawn vectors."""
+    named = sorted({zlib.crc32(w) for w, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[: lm.NAMED]})
+    alone, mass = [0.1] * len(named), np.full((lm.HEADS, lm.TAILS), 0.1)
+    for w, n in counts.items():
+        h = zlib.crc32(w)
+        if h in named:
+            alone[named.index(h)] += n + 0.1
+        else:
+            mass[h % lm.HEADS, h // lm.HEADS % lm.TAILS] += n + 0.1
+    return lm.Cells(np.array(named, np.uint32), np.array(alone), mass)
+
+
+def dense_log10(model, cells, counts, far, near, word):
+    """log10 P(word | far, near) from every score, one at a time."""
+    def code(w):
+        h, named = zlib.crc32(w), cells.named.tolist()
+        head = named.index(h) if h in named else len(named) + h % lm.HEADS
+        return head, h // lm.HEADS % lm.TAILS, h // lm.HEADS // lm.TAILS % lm.THIRDS
+
+    def vector(w):
+        a, b, c = code(w)
+        return (model.by_head[a] + model.by_tail[b] + model.by_third[c]).astype(float)
+
+    def part(scores, at):
+        return math.log10(math.exp(scores[at]) / sum(math.exp(x) for x in scores))
+
+    hidden = vector(near) * model.near + vector(far) * model.far
+    head, tail, _ = code(word)
+    out = part([float(hidden @ u + b) for u, b in zip(model.heads, model.lean)], head)
+    k = head - len(cells.named)
+    if k >= 0:
+        gated = hidden * model.gate[k]
+        out += part([float(gated @ d) + math.log(m) for d, m in zip(model.tails, cells.mass[k])], tail)
+    whole = cells.mass[k, tail] if k >= 0 else cells.alone[head]
+    return out + math.log10((counts.get(word, 0) + 0.1) / whole)
+
+
 def test_language_model_is_normalised_and_learns():
     draw = np.random.default_rng(0)
-    ids = np.array([2 + (i % 2) * 3 + draw.integers(0, 3) for i in range(40_000)] + [0])
-    codes = lm._contexts(ids, np.array([len(ids) - 1]), 8)
-    unigram = (np.bincount(ids, minlength=8) + 1.0) / (len(ids) + 8)
-    model = lm.LogBilinear.start(unigram)
-    for k in range(3):
-        model = lm.fit_nce(model, codes, unigram, k)
-    table = model.log10_table()
-    assert np.allclose((10.0**table).sum(axis=1), 1, atol=1e-4)
-    assert table.ravel()[codes].mean() > np.log10(unigram)[ids].mean() + 0.15
-    assert (model.unflat(model.flat()).vectors == model.vectors).all()
-
-
-def test_language_model_has_a_class_for_every_repeated_word(spark):
-    """More words than one group holds, normalised over all words, learnt from the words themselves."""
+    every = [b"", *(b"w%d" % k for k in range(600))]
+    texts = []
+    for _ in range(400):  # words of even and odd number take turns
+        start = draw.integers(0, 2)
+        texts.append([*(b"w%d" % (2 * draw.integers(0, 300) + (start + i) % 2) for i in range(100)), b""])
+    counts = Counter(w for t in texts for w in t)
+    cells = model_of(counts)
+    tokens = lm.hashes([w for t in texts for w in t])
+    ends = np.cumsum([len(t) for t in texts]) - 1
+    assert (cells.codes(tokens)[0] >= len(cells.named)).any() and len(cells.named) == lm.NAMED
+    start = model = lm.LogBilinear.start(cells)
+    for k in range(6):
+        model = lm.fit(model, cells, tokens, ends, k)
+    far, near = lm._before(tokens, ends)
+    assert (near[np.concatenate([[0], ends[:-1] + 1])] == 0).all()
+    there = [cells.codes(x) for x in (far, near, tokens)]
+    plain = np.log10(cells.share(there[2]) / cells.heads.sum())
+    assert start.log10(cells, *there).mean() == pytest.approx(plain.mean(), abs=1e-4)
+    assert model.log10(cells, *there).mean() > plain.mean() + 0.15
+    assert (model.unflat(model.flat()).by_third == model.by_third).all()
+    # all cells at once
+    hashed = np.arange(lm.HEADS * lm.TAILS, dtype=np.uint32)
+    hashed = hashed[~np.isin(hashed, cells.named)]
+    cell = np.concatenate([cells.codes(cells.named), cells.codes(hashed)], axis=1)
+    missing = np.setdiff1d(np.arange(lm.HEADS * lm.TAILS), hashed)  # cells whose least hash is a named one
+    more = (missing + lm.HEADS * lm.TAILS).astype(np.uint32)
+    cell = np.concatenate([cell, cells.codes(more)], axis=1)
+    for a, b in ((b"", b""), (b"w1", b"w2"), (b"unseen", b"w599")):
+        context = [np.repeat(cells.codes(lm.hashes([w])), cell.shape[1], axis=1) for w in (a, b)]
+        assert (10.0 ** model.log10(cells, *context, cell)).sum() == pytest.approx(1, abs=1e-3)
+    for a, b, w in ((b"", b"", b"w7"), (b"w1", b"w2", b"w599"), (b"w3", b"never", b"unseen"), (b"w5", b"w8", b"")):
+        one = [cells.codes(lm.hashes([x])) for x in (a, b, w)]
+        share = math.log10((counts.get(w, 0) + 0.1) / cells.share(one[2])[0])
+        want = dense_log10(model, cells, counts, a, b, w)
+        assert model.log10(cells, *one)[0] + share == pytest.approx(want, abs=1e-4)
+    assert set(every) >= set(counts)
+
+
+def test_language_model_scores_every_word_against_a_dense_sum(spark, monkeypatch):
+    """Whole scores, of common, joined, unseen and very long words, word by word."""
+    monkeypatch.setattr(lm, "COMMON_WORDS", 300)
     draw = np.random.default_rng(1)
     texts = []
     for i in range(900):  # an odd word is followed by its own partner only
         texts.append(" ".join(f"p{k} q{k}" for k in draw.integers(0, 400, 40)) + f" once{i} bar")
-    rows = [(i, t) for i, t in enumerate(texts)] + [(-7, "p3 q3"), (-8, "p3 q4"), (-9, "never")]
+    odd = {-7: "p3 q3", -8: "p3 q4", -9: "never " + "x" * 5000 + " once5", -10: None, -11: "P3\tQ3 "}
+    rows = [*enumerate(texts), *odd.items(), (-7, "p3 q3"), (None, "bar")]
     table = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2)
     counts = lm.word_counts(table.filter("doc_id >= 0"))
     scorer = lm.train(table.filter("doc_id >= 0"), counts)
-    held = Counter(w for t in texts for w in words(t))
-    frequent = {w.encode() for w, n in held.items() if n >= lm.LEAST}
-    assert set(scorer.classes) == frequent | {b""} and len(frequent) == 801
-    model, rare = scorer.model, sum(n for n in held.values() if n < lm.LEAST)
-    assert len(model.bias) == 802 + len(scorer.rare_total) and len(model.lean) > 1
-    assert scorer.rare_total.sum() == rare and scorer.rare_distinct.sum() == 900
-    every = np.arange(len(model.bias))
-    for a, b in ((0, 0), (1, 700), (801, 802)):
-        there = np.full(len(every), a), np.full(len(every), b)
-        assert (10.0 ** model.log10(*there, every)).sum() == pytest.approx(1, abs=1e-4)
-    scores = lm.score(table.withColumn("held_out", F.lit(False)), scorer, counts)
-    got = {r.doc_id: (r.base_score, r.score) for r in scores.collect()}
-    assert got[-7][1] > got[-8][1] and got[-9][1] < 0
-    assert sum(s for i, (_, s) in got.items() if i >= 0) > sum(b for i, (b, _) in got.items() if i >= 0)
+    held = Counter(w.encode() for t in texts for w in [*words(t), ""])
+    want = model_of(held)
+    assert (scorer.cells.named == want.named).all() and len(scorer.common) <= 300
+    assert np.allclose(scorer.cells.alone, want.alone) and np.allclose(scorer.cells.mass, want.mass)
+    found = lm.score(table.withColumns({"held_out": F.lit(False), "plain": F.lit(1)}), scorer, counts).collect()
+    assert len(found) == len(rows)
+    got = {r.doc_id: (r.base_score, r.score) for r in found}
+    for i in (*odd, None, 0, 1):
+        text = dict(rows)[i]
+        tokens = [b"", b"", *(w.encode() for w in words(text)), b""]
+        each = [dense_log10(scorer.model, want, held, *tokens[j : j + 3]) for j in range(len(tokens) - 2)]
+        assert got[i][1] == pytest.approx(sum(each), abs=2e-3), i
+    assert got[-7] == got[-11] and got[-7][1] > got[-8][1]
+    assert sum(got[i][1] for i in range(900)) > sum(got[i][0] for i in range(900))
+
+
+def test_language_model_has_one_size(spark):
+    """Whatever the texts, a model, its cells and what a task sends are of the same size."""
+    sizes = set()
+    for n in (40, 400):
+        texts = [(i, " ".join(f"w{i * 20 + k}" for k in range(20))) for i in range(n)]
+        table = spark.createDataFrame(texts, "doc_id bigint, text string")
+        scorer = lm.train(table, lm.word_counts(table))
+        sizes.add((scorer.model.flat().size, scorer.cells.mass.size, len(scorer.cells.named)))
+    assert len(sizes) == 1
 
 
 def test_language_model_of_nothing(empty):
