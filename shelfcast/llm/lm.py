@@ -24,6 +24,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, fields
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -52,7 +53,7 @@ RATE = 0.1
 STEADY = 1e-8  # squared gradients that Adagrad starts from
 CHUNK = 1 << 20  # tokens that are fitted together
 SCORED = 1 << 17  # tokens that are scored together
-ROWS = 1 << 12  # contexts of a matrix product
+ROWS = 1 << 8  # contexts of a matrix product: what it makes stays in a core's cache
 MERGED = 16  # models that reach the driver in a round, at most
 _FLUSH = 500_000  # distinct words held in a task before they are sent on
 
@@ -153,19 +154,24 @@ class LogBilinear:
             part = (slice(None), slice(i, i + ROWS))
             head, tail, _ = token[part]
             hidden = self.vector(near[part]) * self.near + self.vector(far[part]) * self.far
-            scores = hidden @ self.heads.T + self.lean
+            scores = hidden @ self.heads.T
+            scores += self.lean
             found = scores[np.arange(len(head)), head] - _log_sum(scores)
             inner = np.flatnonzero(head >= len(cells.named))
             row, tail = head[inner] - len(cells.named), tail[inner]
-            scores = (hidden[inner] * self.gate[row]) @ self.tails.T + prior[row]
+            scores = (hidden[inner] * self.gate[row]) @ self.tails.T
+            scores += prior[row]
             found[inner] += scores[np.arange(len(row)), tail] - _log_sum(scores)
             out[i : i + ROWS] = found
         return out / math.log(10)
 
 
 def _log_sum(scores: np.ndarray) -> np.ndarray:
+    """Of the exponentials by row; ``scores`` are written over."""
     top = scores.max(axis=1)
-    return np.log(np.exp(scores - top[:, None]).sum(axis=1)) + top
+    scores -= top[:, None]
+    np.exp(scores, out=scores)
+    return np.log(scores @ np.ones(scores.shape[1], scores.dtype)) + top
 
 
 def _summed(index: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -200,8 +206,8 @@ def fit(
     drawn by the corpus' shares within its head: these stand in the model's odds and in the
     noise's, so they cancel. ``squares`` carries the step sizes on.
     """
-    fars, nears = (cells.codes(x) for x in _before(tokens, ends))
     words = cells.codes(tokens)
+    fars, nears = _before(cells, words, ends)
     draw = np.random.default_rng(seed)
     model = LogBilinear(*(a.copy() for a in model.arrays()))
     if squares is None:
@@ -281,17 +287,16 @@ def _chance(odds: np.ndarray) -> np.ndarray:
     return 0.5 + 0.5 * np.tanh(0.5 * odds)
 
 
-def _before(tokens: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes two and one before, in texts laid end to end; ``ends`` are the places of the ends."""
-    n = len(tokens)
-    back = np.zeros(n + 2, tokens.dtype)
-    back[2:] = tokens
-    near, far = back[1 : n + 1].copy(), back[:n].copy()
+def _before(cells: Cells, words: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Codes two and one before, in texts laid end to end; ``ends`` are the places of the ends."""
+    n, end = words.shape[1], cells.codes(hashes([END]))
+    back = np.concatenate([end, end, words], axis=1)
+    near, far = back[:, 1 : n + 1].copy(), back[:, :n].copy()
     starts = np.concatenate([[0], ends[:-1] + 1])
-    near[starts] = 0
-    far[starts] = 0
+    near[:, starts] = end
+    far[:, starts] = end
     second = starts + 1
-    far[second[second < n]] = 0
+    far[:, second[second < n]] = end
     return far, near
 
 
@@ -461,21 +466,33 @@ def _scored(shared, extra: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, cells, common = shared.value
         place = {w: i for i, (w, _) in enumerate(common)}
+        joined = len(common)  # the place of words whose counts come with the join
         count = np.array([n for _, n in common] + [0])
         weight = np.log10(count + SMOOTHING)
-        weight[-1] = 0.0  # comes with the join
-        pairs = pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())]))
+        weight[joined] = 0.0
 
-        def scored(held: pa.StructArray, texts: list[list[bytes]], at, rare) -> pa.RecordBatch:
-            tokens = hashes([w for text in texts for w in text])
-            at = np.fromiter(at, np.int64, len(tokens))
+        def scored(held: pa.StructArray, texts: list[list[bytes]]) -> pa.RecordBatch:
+            found = list(chain.from_iterable(texts))
+            tokens = hashes(found)
+            at = np.fromiter(map(place.get, found, repeat(joined)), np.int64, len(found))
             sizes = np.array([len(text) for text in texts])
             ends = np.cumsum(sizes) - 1
-            far, near = (cells.codes(x) for x in _before(tokens, ends))
             own = cells.codes(tokens)
+            far, near = _before(cells, own, ends)
             fancy = model.log10(cells, far, near, own) - np.log10(cells.share(own)) + weight[at]
             starts = ends + 1 - sizes
-            unseen = [[{"word": w, "times": t} for w, t in x.items()] for x in rare]
+            rare = np.flatnonzero(at == joined)
+            upto = [0, *np.searchsorted(rare, ends, "right").tolist()]
+            missing = [found[i] for i in rare.tolist()]
+            own_rare = [Counter(missing[i:j]) for i, j in zip(upto, upto[1:])]
+            pairs = pa.StructArray.from_arrays(
+                [
+                    pa.array(list(chain.from_iterable(own_rare)), pa.binary()),
+                    pa.array(list(chain.from_iterable(c.values() for c in own_rare)), pa.int64()),
+                ],
+                ["word", "times"],
+            )
+            offsets = np.cumsum([0, *map(len, own_rare)])
             return pa.RecordBatch.from_arrays(
                 [
                     *(held.field(i) for i in range(len(extra))),
@@ -483,23 +500,20 @@ def _scored(shared, extra: list[str]):
                     pa.array(np.add.reduceat((count[at] > 0).astype(np.int64), starts)),
                     pa.array(np.add.reduceat(weight[at], starts), pa.float64()),
                     pa.array(np.add.reduceat(fancy, starts), pa.float64()),
-                    pa.array(unseen, pairs),
+                    pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pairs),
                 ],
                 [*extra, "n_tokens", "n_known", "plain", "fancy", "tail"],
             )
 
         for batch in batches:
             held = pa.StructArray.from_arrays([batch.column(c) for c in extra], extra)
-            begun, texts, at, rare = 0, [], [], []
+            begun, size, texts = 0, 0, []
             for row, text in enumerate(batch.column("text").to_pylist()):
-                found = [*word_bytes(text), END]
-                texts.append(found)
-                own = [place.get(w, len(common)) for w in found]
-                at.extend(own)
-                rare.append(Counter(w for w, i in zip(found, own) if i == len(common)))
-                if len(at) >= SCORED or row + 1 == batch.num_rows:
-                    yield scored(held.slice(begun, row + 1 - begun), texts, at, rare)
-                    begun, texts, at, rare = row + 1, [], [], []
+                texts.append([*word_bytes(text), END])
+                size += len(texts[-1])
+                if size >= SCORED or row + 1 == batch.num_rows:
+                    yield scored(held.slice(begun, row + 1 - begun), texts)
+                    begun, size, texts = row + 1, 0, []
 
     return run
 

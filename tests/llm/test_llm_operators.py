@@ -304,9 +304,11 @@ def test_language_model_is_normalised_and_learns():
     start = model = lm.LogBilinear.start(cells)
     for k in range(6):
         model = lm.fit(model, cells, tokens, ends, k)
-    far, near = lm._before(tokens, ends)
-    assert (near[np.concatenate([[0], ends[:-1] + 1])] == 0).all()
-    there = [cells.codes(x) for x in (far, near, tokens)]
+    own = cells.codes(tokens)
+    there = [*lm._before(cells, own, ends), own]
+    first = np.concatenate([[0], ends[:-1] + 1])
+    assert (there[1][:, first] == cells.codes(lm.hashes([b""]))).all()
+    assert (there[1][:, first + 1] == own[:, first]).all() and (there[0][:, first + 2] == own[:, first]).all()
     plain = np.log10(cells.share(there[2]) / cells.heads.sum())
     assert start.log10(cells, *there).mean() == pytest.approx(plain.mean(), abs=1e-4)
     assert model.log10(cells, *there).mean() > plain.mean() + 0.15
