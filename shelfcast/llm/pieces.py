@@ -8,36 +8,39 @@ unigram model, the merges in order of rank for a merge (BPE) model, whose pieces
 those of the best path. Both give the ids of the SentencePiece library.
 
 The commonest segments go to the tasks as a table of bounded size; a document's other
-segments reach it by a join.
+segments reach it by a join. Both are Arrow tables, texts are cut by the kinds of neighbouring
+characters, and a batch looks each of its distinct segments up once.
 """
 
 from __future__ import annotations
 
 import heapq
-import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfcast.llm.common import ship, stored
+from shelfcast.llm.common import lean, ship, stored
 
 MARK = "▁"
 FOLDED = 40  # characters of a segment that goes through the lattice; longer ones: a heap
 ID_BITS = 21
 ID_SPAN = 1 << ID_BITS  # ids and ranks of a merge model are below it
 COMMON = 300_000  # segments sent to every task at most
+DEALT = 16  # tasks that look up the common ones
 SLICE = 200  # texts cut or decoded at a time
-_FLUSH = 150_000
+SHARE = 1 << 21  # segments of the texts, repeats counted, whose rare ones a task looks up
+_FLUSH = 1_000_000  # rows of counts that a task holds before it sums them, or sends them on
 # fixed values: kinds of piece and of model in the model file
 NORMAL, USER_DEFINED, BYTE = 1, 4, 6
 UNIGRAM, BPE = 1, 2
+_MARK, _SIGN, _LONER = 1, 2, 3  # kinds of characters, beside others
 
 
 @dataclass(frozen=True)
@@ -120,21 +123,63 @@ def load(path: str) -> Model:
 
 
 @lru_cache(maxsize=4)
-def _cutter(loners: str, signs: str) -> re.Pattern:
-    one, beside = re.escape(loners), re.escape(signs)
-    kinds = [rf"{MARK}*[^{MARK}{one}{beside}]+"]
-    if signs:
-        kinds.append(rf"{MARK}*[{beside}]+")
-    kinds.append(rf"{MARK}+")
-    if loners:
-        kinds.append(rf"[{one}]")
-    return re.compile("|".join(kinds))
-
-
-def segments(model: Model, text: str | None) -> list[str]:
-    """A normalised text cut before words, around characters that no piece spans, and between
+def _kinds(loners: str, signs: str) -> np.ndarray:
+    """The kind of every character up to the last special one, and that of all others."""
+    table = np.zeros(max(map(ord, MARK + loners + signs)) + 2, np.uint8)
+    table[ord(MARK)] = _MARK
+    table[[ord(c) for c in signs]] = _SIGN
+    table[[ord(c) for c in loners]] = _LONER
+    return table
+
+
+def _cut_some(model: Model, texts: list[str | None]) -> tuple[pa.Array, np.ndarray]:
+    whole = [model.normalise(text) if text else "" for text in texts]
+    sizes = np.array([len(text) for text in whole], np.int64)
+    joined = "".join(whole)
+    characters = np.frombuffer(joined.encode("utf-32-le"), "<u4")
+    table = _kinds(model.loners, model.signs)
+    kinds = table[np.minimum(characters, len(table) - 1)]
+    begins = kinds == _LONER
+    begins[1:] |= (kinds[1:] != kinds[:-1]) & (kinds[:-1] != _MARK)
+    begun = np.concatenate([[0], np.cumsum(sizes)])
+    begins[begun[:-1][sizes > 0]] = True
+    upto = np.concatenate([[0], np.cumsum(begins)])
+    raw = joined.encode("utf-8")
+    wide = np.ones(len(characters), np.uint8)
+    for least in (0x80, 0x800, 0x10000):
+        wide += characters >= least
+    at = (np.cumsum(wide, dtype=np.int64) - wide)[begins]
+    offsets = np.append(at, len(raw))
+    found = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(raw))
+    return found, np.diff(upto[begun])
+
+
+@dataclass
+class Cut:
+    """The distinct segments of some texts, and the places in it of those of text ``i``, one
+    after the other: ``places[starts[i]:starts[i + 1]]``."""
+
+    names: pa.Array
+    places: np.ndarray
+    starts: np.ndarray
+
+    @property
+    def short(self) -> np.ndarray:
+        """Which names go through the lattice."""
+        return pc.utf8_length(self.names).to_numpy() <= FOLDED
+
+
+def cut_texts(model: Model, texts: pa.Array) -> Cut:
+    """Normalised texts cut before words, around characters that no piece spans, and between
     signs and other characters if no piece holds both."""
-    return _cutter(model.loners, model.signs).findall(model.normalise(text)) if text else []
+    parts = [
+        _cut_some(model, texts.slice(i, SLICE).to_pylist()) for i in range(0, len(texts), SLICE)
+    ]
+    if not parts:
+        return Cut(pa.array([], pa.large_string()), np.zeros(0, int), np.zeros(1, int))
+    coded = pa.concat_arrays([found for found, _ in parts]).dictionary_encode()
+    starts = np.concatenate([[0], *[sizes for _, sizes in parts]]).cumsum()
+    return Cut(coded.dictionary, coded.indices.to_numpy(), starts)
 
 
 # -- the lattice ---------------------------------------------------------------------
@@ -143,24 +188,24 @@ def segments(model: Model, text: str | None) -> list[str]:
 def piece_table(spark: SparkSession, model: Model) -> DataFrame:
     """The pieces, their ids, scores and ranks by score, and an empty piece without an id."""
     ranks = {s: r for r, s in enumerate(sorted({s for _, _, s in model.normal()}, reverse=True))}
-    rows = [(p, i, s, ranks[s]) for p, i, s in model.normal()]
-    return spark.createDataFrame(
-        [*rows, ("", None, None, None)], "piece string, id bigint, score double, rank bigint"
-    )
+    rows = [*((p, i, s, ranks[s]) for p, i, s in model.normal()), ("", None, None, None)]
+    kinds = {"piece": pa.string(), "id": pa.int64(), "score": pa.float64(), "rank": pa.int64()}
+    columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds.values(), strict=True)]
+    return spark.createDataFrame(pa.table(columns, names=[*kinds]))
 
 
 def lattice(words: DataFrame, model: Model) -> DataFrame:
     """``segment, edges`` from distinct ``segment``; a segment without an edge has none.
 
+    Grouped where ``words`` are dealt by segment already.
+
     Edges are ``(start, stop, id, score)``. Of a merge model they are numbers made of rank,
     start, stop and id, so that they sort by rank, leftmost first; its merges begin at
     characters, which need no edge.
     """
     pieces = piece_table(words.sparkSession, model)  # bounded by the model file
     size = F.char_length("segment")
-    # dealt by segment before it grows, so that the edges need not be moved to be grouped
-    dealt = words.repartition("segment")
-    starts = dealt.select("segment", F.explode(F.sequence(F.lit(0), size - 1)).alias("start"))
+    starts = words.select("segment", F.explode(F.sequence(F.lit(0), size - 1)).alias("start"))
     spans = starts.select(
         "segment",
         "start",
@@ -244,7 +289,7 @@ def merge_fold(edges: Column, size: Column) -> Column:
 
     first = F.struct(
         (_bit(size + 1) - 1).alias("cuts"),
-        F.transform(F.array_sort(edges), spread).alias("held"),
+        F.transform(F.sort_array(edges), spread).alias("held"),
     )
     cuts = F.aggregate(
         F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(size - 1, F.size(edges)))),
@@ -298,8 +343,8 @@ def viterbi_fold(edges: Column, size: Column, unknown_score: float) -> Column:
 
 
 def encode_segments(words: DataFrame, model: Model) -> DataFrame:
-    """``segment, ids`` for distinct ``segment``: lattice and fold, or a heap if very long."""
-    found = lattice(words.filter(F.char_length("segment") <= FOLDED), model)
+    """``segment, ids`` for distinct ``segment`` of ``FOLDED`` characters at most."""
+    found = lattice(words, model)
     size = F.char_length("segment")
     if model.kind == BPE:
         cuts = merge_fold(F.col("edges"), size)
@@ -321,28 +366,15 @@ def encode_segments(words: DataFrame, model: Model) -> DataFrame:
                 F.col("edges"), lambda e: (e["start"] == at) & (e["stop"] == next_)
             )
             id_ = F.get(own, F.lit(0))["id"]
-        bare = F.encode(F.substring(F.col("segment"), at + 1, F.lit(1)), "UTF-8")
-        # without an edge: below zero, minus one less the character's bytes as a number
-        return F.coalesce(id_, -1 - F.conv(F.hex(bare), 16, 10).cast("bigint"))
+        # without an edge: below zero, minus one less the character's number
+        bare = F.ascii(F.substring(F.col("segment"), at + 1, F.lit(1)))
+        return F.coalesce(id_, -1 - bare)
 
     ids = F.transform(
         F.slice("cuts", 1, F.size("cuts") - 1),
-        lambda at, i: piece_ids(at, F.get("cuts", i + 1)).cast("bigint"),
-    )
-    lattice_ids = cut.select("segment", ids.alias("ids"))
-
-    def by_heap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = heap_encoder(model)
-        for batch in batches:
-            ids = [encode(s) for s in batch.column("segment").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("segment"), pa.array(ids, pa.list_(pa.int64()))], ["segment", "ids"]
-            )
-
-    long = words.filter(F.char_length("segment") > FOLDED).mapInArrow(
-        by_heap, "segment string, ids array<bigint>"
+        lambda at, i: piece_ids(at, F.get("cuts", i + 1)).cast("int"),
     )
-    return lattice_ids.unionByName(long)
+    return cut.select("segment", ids.alias("ids"))
 
 
 def heap_encoder(model: Model):
@@ -406,94 +438,155 @@ def heap_encoder(model: Model):
     return encode
 
 
-def _resolved(model: Model, ids) -> tuple[int, ...]:
-    """Codes of characters without an edge become their pieces, or their byte pieces."""
-    out: list[int] = []
-    for i in ids:
-        if i >= 0:
-            out.append(i)
-        else:
-            raw = (-1 - i).to_bytes(4, "big").lstrip(b"\0") or b"\0"
-            out.extend(model.fallback(raw.decode("utf-8")))
-    return tuple(out)
+def _joined(values: pa.Array, starts: np.ndarray) -> pa.Array:
+    """Runs of binary values put together: run ``i`` is ``starts[i]`` up to ``starts[i + 1]``."""
+    edges = np.concatenate([[0], np.cumsum(pc.binary_length(values))]).astype(np.int64)
+    data = values.buffers()[2] or pa.py_buffer(b"")
+    return pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(starts) - 1, [None, pa.py_buffer(edges[starts]), data]
+    )
+
+
+def _starts(lists: pa.Array) -> np.ndarray:
+    """Where lists begin in their values laid end to end, and the end; null ones are empty."""
+    sizes = pc.fill_null(pc.list_value_length(lists), 0)
+    return np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+
+
+def _uncoded(model: Model, codes: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """Segments and ids from lists of ids, in which a character without an edge has its code:
+    that becomes its piece, or its byte pieces."""
+    starts, values = _starts(codes), codes.flatten().to_numpy().astype(np.int64)
+    alone = np.unique(values[values < 0])
+    characters = [chr(-1 - i) for i in alone.tolist()]
+    spelling = pa.array([*model.pieces, *characters], pa.large_string())
+    place = np.where(values < 0, len(model.pieces) + np.searchsorted(alone, values), values)
+    names = _joined(spelling.cast(pa.large_binary()).take(pa.array(place)), starts)
+    if len(alone):
+        each = [[i] for i in range(len(model.pieces))] + [model.fallback(c) for c in characters]
+        lists = pa.array(each, pa.large_list(pa.int64())).take(pa.array(place))
+        values, starts = lists.flatten().to_numpy(), _starts(lists)[starts]
+    ids = pa.LargeListArray.from_arrays(pa.array(starts), pa.array(values.astype(np.int32)))
+    return names.cast(pa.large_string()), ids
 
 
 # -- texts ---------------------------------------------------------------------------
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Few texts at a time, since their segments and ids are Python objects for a while."""
+    """Few texts at a time, since their ids take space."""
     for batch in batches:
         for i in range(0, batch.num_rows, SLICE):
             yield batch.slice(i, SLICE)
 
 
 def _count(path_model: Model):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
+    """Counts of the short segments that a task meets more than once; those it meets once are
+    most of what it meets, and no common ones."""
 
-        def sent() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays(
-                [pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())],
-                ["segment", "n"],
-            )
-            seen.clear()
-            return out
+    def summed(tables: list[pa.Table]) -> pa.Table:
+        sums = pa.concat_tables(tables).group_by("segment").aggregate([("n", "sum")])
+        return sums.rename_columns(["segment", "n"]).combine_chunks()
 
-        for batch in _slices(batches):
-            for text in batch.column("text").to_pylist():
-                seen.update(segments(path_model, text))
-                if len(seen) > _FLUSH:
-                    yield sent()
-        if seen:
-            yield sent()
+    def repeated(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        found = table.filter(pc.greater(table["n"], 1))
+        found = found.cast(pa.schema([("segment", pa.string()), ("n", pa.int64())]))
+        yield from found.to_batches(max_chunksize=10_000)
+
+    @lean
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for batch in batches:
+            cut = cut_texts(path_model, batch.column("text"))
+            times = np.bincount(cut.places, minlength=len(cut.names))
+            table = pa.table({"segment": cut.names, "n": pa.array(times, pa.int64())})
+            held.append(table.filter(pa.array(cut.short)))
+            rows += held[-1].num_rows
+            if rows > _FLUSH:
+                held = [summed(held)]
+                rows = held[0].num_rows
+                if rows > _FLUSH:
+                    yield from repeated(held[0])
+                    held, rows = [], 0
+        if held:
+            yield from repeated(summed(held))
 
     return run
 
 
 def _missing(model: Model, common):
+    """``k, segment`` for the short segments of each text that are not common."""
+
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = common.value
-        for batch in _slices(batches):
-            rare = [
-                list(set(segments(model, t)).difference(known))
-                for t in batch.column("text").to_pylist()
-            ]
+        known, _ = common.value
+        for batch in batches:
+            cut = cut_texts(model, batch.column("text"))
+            far = pc.index_in(cut.names, value_set=known).is_null().to_numpy(zero_copy_only=False)
+            some = (far & cut.short)[cut.places]
+            texts = np.repeat(np.arange(batch.num_rows), np.diff(cut.starts))[some]
+            pairs = np.unique(texts * len(cut.names) + cut.places[some])
+            text, place = np.divmod(pairs, max(1, len(cut.names)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("k1"), batch.column("k2"), pa.array(rare, pa.list_(pa.string()))],
-                ["k1", "k2", "rare"],
+                [
+                    batch.column("k").take(pa.array(text)),
+                    cut.names.take(pa.array(place)).cast(pa.string()),
+                ],
+                ["k", "segment"],
             )
 
     return run
 
 
+@lean
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as compressed bytes, to be moved."""
+    codec = pa.Codec("zstd", compression_level=1)
+    for batch in batches:
+        texts = batch.column("text").cast(pa.binary()).to_pylist()
+        packed = [None if t is None else codec.compress(t, asbytes=True) for t in texts]
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("doc_id"),
+                batch.column("k"),
+                pa.array([None if t is None else len(t) for t in texts], pa.int64()),
+                pa.array(packed, pa.binary()),
+            ],
+            ["doc_id", "k", "size", "packed"],
+        )
+
+
 def _assemble(model: Model, common):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = common.value
-        for batch in _slices(batches):
-            out = []
-            for text, names, codes in zip(
-                batch.column("text").to_pylist(),
-                batch.column("names").to_pylist(),
-                batch.column("codes").to_pylist(),
-                strict=True,
-            ):
-                own = {
-                    n: np.array(_resolved(model, c), "<u4").tobytes()
-                    for n, c in zip(names or (), codes or (), strict=True)
-                }
-                found = segments(model, text)
-                out.append(
-                    b"".join([own[s] if s in own else known[s] for s in found])
-                )
-            sizes = np.array([len(x) // 4 for x in out], np.int64)
-            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-            values = np.frombuffer(b"".join(out), "<u4").astype(np.int32)
+        (known, known_ids), by_heap, codec = common.value, heap_encoder(model), pa.Codec("zstd")
+        for batch in batches:
+            sizes = batch.column("size").to_pylist()
+            packed = batch.column("packed").to_pylist()
+            texts = [
+                None if t is None else codec.decompress(t, size, asbytes=True)
+                for t, size in zip(packed, sizes, strict=True)
+            ]
+            texts = pa.array(texts, pa.binary()).cast(pa.string())
+            cut = cut_texts(model, texts)
+            own, own_ids = _uncoded(model, batch.column("found").flatten())
+            long = pa.array(np.flatnonzero(~cut.short))
+            long_ids = [by_heap(segment) for segment in cut.names.take(long).to_pylist()]
+            # a segment has the same ids in every text
+            held = pa.concat_arrays([known, own, cut.names.take(long)])
+            ids = pa.concat_arrays(
+                [known_ids, own_ids, pa.array(long_ids, pa.large_list(pa.int32()))]
+            )
+            place = pc.index_in(cut.names, value_set=held)
+            if place.null_count:
+                raise KeyError("a segment that was not looked up")
+            taken = ids.take(place).take(pa.array(cut.places))
+            offsets = _starts(taken)[cut.starts].astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
-                    batch.column("text"),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)),
+                    texts,
+                    pa.ListArray.from_arrays(pa.array(offsets), taken.flatten()),
                 ],
                 ["doc_id", "text", "ids"],
             )
@@ -534,40 +627,29 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
         .groupBy("segment")
         .agg(F.sum("n").alias("n"))
     )
-    dictionary = stored(encode_segments(counts.select("segment"), model))
     least = common_segments(counts)
-    known: dict[str, bytes] = {}
+    shares = -(-(counts.agg(F.sum("n")).first()[0] or 1) // SHARE)
+    known = pa.array([], pa.large_string()), pa.array([], pa.large_list(pa.int32()))
     if least is not None:
         top = counts.filter((F.col("n") >= least) & (F.char_length("segment") <= FOLDED))
-        table = dictionary.join(top.select("segment"), "segment").toArrow()  # COMMON rows at most
-        for batch in table.to_batches():
-            names, lists = batch.column("segment").to_pylist(), batch.column("ids")
-            for name, ids in zip(names, lists.to_pylist(), strict=True):
-                known[name] = np.array(_resolved(model, ids), "<u4").tobytes()
-        del table
+        # dealt by segment before they grow, so that the edges need not be moved to be grouped
+        dealt = top.select("segment").repartition(DEALT, "segment")
+        table = encode_segments(dealt, model).select("ids").toArrow()  # COMMON rows at most
+        known = _uncoded(model, table["ids"].combine_chunks())
     common = spark.sparkContext.broadcast(known)
-    keyed = rows.withColumns(
-        {"k1": F.xxhash64("doc_id", "text"), "k2": F.hash("text", "doc_id")}
-    )
-    rare = keyed.mapInArrow(
-        _missing(model, common), "k1 bigint, k2 int, rare array<string>"
-    ).select("k1", "k2", F.explode("rare").alias("segment"))
-    # equal rows share a key: each of its segments is looked up once
+    # texts that share a key share what was looked up for both, so a short one will do
+    keyed = rows.withColumn("k", F.hash("text", "doc_id"))
+    rare = keyed.mapInArrow(_missing(model, common), "k int, segment string")
+    dealt = rare.repartition(shares, "segment").distinct()
+    dictionary = encode_segments(dealt.select("segment").distinct(), model)
+    # ids spell their segment
     own = (
-        rare.distinct()
-        .join(dictionary, "segment")
-        .groupBy("k1", "k2")
-        .agg(F.collect_list(F.struct("segment", "ids")).alias("found"))
-        .select(
-            "k1",
-            "k2",
-            F.col("found.segment").alias("names"),
-            F.col("found.ids").alias("codes"),
-        )
+        dealt.join(dictionary, "segment").groupBy("k").agg(F.collect_list("ids").alias("found"))
     )
+    texts = keyed.mapInArrow(_packed, "doc_id bigint, k int, size bigint, packed binary")
     return (
-        keyed.join(own, ["k1", "k2"], "left")
-        .select("doc_id", "text", "names", "codes")
+        texts.join(own, "k", "left")
+        .select("doc_id", "size", "packed", "found")
         .mapInArrow(_assemble(model, common), "doc_id bigint, text string, ids array<int>")
     )
 
@@ -591,15 +673,18 @@ def decode(rows: DataFrame, model_path: str, ids: str = "ids", into: str = "deco
     base = rows.drop(into)
     schema = T.StructType([*base.schema.fields, T.StructField(into, T.StringType())])
 
+    pieces_raw = pa.array(raw, pa.large_binary())
+
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
+            lists = batch.column(ids)
+            whole = _joined(pieces_raw.take(lists.flatten()), _starts(lists)).to_pylist()
             out = []
-            for own in batch.column(ids).to_pylist():
-                if own is None:
-                    out.append(None)
-                    continue
-                text = b"".join([raw[i] for i in own]).decode("utf-8", "replace")
-                out.append(text[1:] if model.dummy_prefix and text.startswith(" ") else text)
+            for null, raw_text in zip(lists.is_null().to_pylist(), whole, strict=True):
+                text = None if null else raw_text.decode("utf-8", "replace")
+                cut = not null and model.dummy_prefix and text.startswith(" ")
+                out.append(text[1:] if cut else text)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(out, pa.string())], [*batch.schema.names, into]
             )

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -9,6 +10,7 @@ from itertools import combinations
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -752,6 +754,28 @@ def test_rare_segments_of_equal_rows_are_looked_up_once(spark):
     assert sorted(map(tuple, found.collect())) == [(7, 300, 1), (8, 1, 1)]
 
 
+def test_texts_are_cut_as_the_rule_says():
+    model, mark = pieces.load(PIECE_MODEL), pieces.MARK
+    one, beside = re.escape(model.loners), re.escape(model.signs)
+    kinds = [rf"{mark}*[^{mark}{one}{beside}]+", rf"{mark}*[{beside}]+", rf"{mark}+", rf"[{one}]"]
+    draw = random.Random(5)
+    signs = [" ", " ", mark, "a", "bc", "\n", "1", ",", ".", "é", "日", "\t", "\0", " the", "😀"]
+    texts = [None, "", " ", *("".join(draw.choices(signs, k=draw.randint(0, 12))) for _ in range(1500))]
+    for some in (texts, [], [None], ["a b"]):
+        cut = pieces.cut_texts(model, pa.array(some, pa.string()))
+        names = cut.names.to_pylist()
+        assert len(set(names)) == len(names)
+        for text, a, b in zip(some, cut.starts, cut.starts[1:], strict=False):
+            whole = re.findall("|".join(kinds), model.normalise(text)) if text else []
+            assert [names[i] for i in cut.places[a:b]] == whole
+
+
+def test_segments_met_once_are_not_moved_to_be_counted():
+    texts = pa.array(["one two two", "two " + 2 * f" {'x' * 50}", None])
+    found = pieces._count(pieces.load(PIECE_MODEL))(iter([pa.RecordBatch.from_arrays([texts], ["text"])]))
+    assert [tuple(r.values()) for b in found for r in b.to_pylist()] == [("▁two", 3)]
+
+
 def test_viterbi_equals_the_library_on_a_unigram_model(spark, docs, tmp_path):
     import sentencepiece
     from sentencepiece import sentencepiece_model_pb2 as proto
